@@ -30,8 +30,11 @@ TO_GREEK = {pair[1]: pair[0] for pair in GREEK_LOOKALIKES.split()}
 
 #: How many times more frequent a group's other script must be where the lexicon knows neither.
 FAR_MORE = 5
-#: Runs of letters and their marks.
-RUN = re.compile(r"(?:[^\W\d_][̀-ͯ҃-ً҇-ٰٟ]*)+")
+#: Runs of letters and their marks; in a word without markup also over single stray marks of the scan.
+LETTERS = r"(?:[^\W\d_][̀-ͯ҃-ً҇-ٰٟ]*)+"
+RUN = re.compile(LETTERS)
+RUN_OVER_STRAYS = re.compile(LETTERS + r"(?:['^~;.,|`·]" + LETTERS + ")*")
+MARKUP = re.compile(r"[\\<>{}()\[\]&#/*_=]|''")
 #: What may need a look outside plain ASCII: Java syntax, for the filter before any Python.
 MAYBE = r"[^\x00-\x7F]|^[^A-Za-z]*[aceopxysijhdqwlvukABEKMHOPCTYXISJQWZN]+[^A-Za-z]*$"
 
@@ -118,6 +121,10 @@ def majority_script(run: str) -> str:
     return max(sorted(set(kinds)), key=kinds.count)
 
 
+def runs_in(word: str) -> re.Pattern:
+    return RUN if MARKUP.search(word) else RUN_OVER_STRAYS
+
+
 def by_letters(word: str) -> tuple[str, list[str]]:
     """The consistent form as far as the letters tell it, and the runs that look alike in other scripts."""
     word = plain(word)
@@ -135,7 +142,7 @@ def by_letters(word: str) -> tuple[str, list[str]]:
             open_runs.append(run)
         return run
 
-    return RUN.sub(fix, word), open_runs
+    return runs_in(word).sub(fix, word), open_runs
 
 
 FORM = T.StructType([T.StructField("form", T.StringType()), T.StructField("runs", T.ArrayType(T.StructType([T.StructField("run", T.StringType()), T.StructField("skeleton", T.StringType()), T.StructField("script", T.StringType())])))])
@@ -158,7 +165,7 @@ def rewrite_udf(forms: pd.Series, runs: pd.Series) -> pd.Series:
     out = []
     for form, todo in zip(forms, runs, strict=True):
         wanted = {r["run"]: r["script"] for r in (todo if todo is not None else [])}
-        out.append(RUN.sub(lambda m: rewritten(m[0], wanted[m[0]]) if m[0] in wanted else m[0], form) if wanted else form)
+        out.append(runs_in(form).sub(lambda m: rewritten(m[0], wanted[m[0]]) if m[0] in wanted else m[0], form) if wanted else form)
     return pd.Series(out)
 
 
