@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import bpe, lookalikes, markup, pieces
+from foliant.llm import bpe, lookalikes, markup, mixing, pieces, residue
 from foliant.sources.tables import table
 
 
@@ -49,7 +49,28 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_token_ids(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "ids")
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids}
+def p8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mixture and how often each is used."""
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return mixing.shares(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with unfilled fields or junk in place of content."""
+    judged = residue.with_verdict(table(spark, sf_dir, "documents").select("doc_id", "text", "volume_id"))
+    return judged.filter("verdict.is_junk").select("doc_id")
+
+
+def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that stay."""
+    return residue.without_residue(table(spark, sf_dir, "documents").select("doc_id", "text", "volume_id")).select("doc_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
 
 P3_SQL = """
 SELECT hocr_id, (i - 1)::INTEGER AS page_idx
