@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import bpe, lookalikes, markup, mixing, pieces, residue
+from foliant.llm import bpe, lookalikes, markup, mixing, pieces, residue, scan
 from foliant.sources.tables import table
 
 
@@ -29,6 +29,11 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(table(spark, sf_dir, "hocr_structure"))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running titles, page numbers, broken words and misread words."""
+    return scan.noise(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "word_csv", "lexicon")))
+
+
 def _p6(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = {"ocr_words": (table(spark, sf_dir, "ocr_words"), "word_id", "ocrx_word"), "word_csv": (table(spark, sf_dir, "word_csv"), "csv_id", "word")}
     return lookalikes.inconsistent_words(sources, table(spark, sf_dir, "lexicon").select("word"))
@@ -70,7 +75,7 @@ def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(table(spark, sf_dir, "documents").select("doc_id", "text", "volume_id")).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
 
 P3_SQL = """
 SELECT hocr_id, (i - 1)::INTEGER AS page_idx
