@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -37,3 +38,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         found = os.environ.get("FOLIANT_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="foliant-")
         spark.sparkContext.setCheckpointDir(found)
     return found
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The rows written once as a table in the shared folder, and read from there: cuts the lineage.
+
+    Unlike a checkpoint the table is compressed, has statistics, and only the columns in use are read.
+    Any executor may be lost afterwards. Files stay until the folder is cleared, like a checkpoint's.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/foliant/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
