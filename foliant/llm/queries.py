@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import bpe, lookalikes, markup, mixing, pieces, residue, scan
+from foliant.llm import bpe, lookalikes, markup, mixing, pieces, residue, scan, truncation
 from foliant.sources.tables import table
 
 
@@ -34,6 +34,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.noise(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "word_csv", "lexicon")))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose end was cut off."""
+    return truncation.judged_pages(table(spark, sf_dir, "hocr_structure")).filter("truncated").select("hocr_id", "page_idx")
+
+
+def p5_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of truncated pages of each source."""
+    return truncation.truncation_shares(table(spark, sf_dir, "hocr_structure"))
+
+
 def _p6(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = {"ocr_words": (table(spark, sf_dir, "ocr_words"), "word_id", "ocrx_word"), "word_csv": (table(spark, sf_dir, "word_csv"), "csv_id", "word")}
     return lookalikes.inconsistent_words(sources, table(spark, sf_dir, "lexicon").select("word"))
@@ -75,7 +85,12 @@ def p9_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.without_residue(table(spark, sf_dir, "documents").select("doc_id", "text", "volume_id")).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
+def p5_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with whether and by what sign it was found cut off."""
+    return truncation.judged_pages(table(spark, sf_dir, "hocr_structure"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p5_found": p5_found, "p5_reasons": p5_reasons, "p5_shares": p5_shares, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
 
 P3_SQL = """
 SELECT hocr_id, (i - 1)::INTEGER AS page_idx
