@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.scan import AFTER_SUSPENDED, FILES_PER_PART, PAGE_NUMBER, SIGNS, norm
+from foliant.llm.scan import FILES_PER_PART, PAGE_NUMBER, norm, quick_norm
 from foliant.session import kept
 from foliant.sources.tables import only_current
 
@@ -73,7 +73,7 @@ def with_ends(pages: DataFrame) -> DataFrame:
 
 def inner_trigrams(pages: DataFrame) -> DataFrame:
     """(a, b, c, n): how often three words stand side by side inside a line, over all pages."""
-    toks = pages.select(F.explode("lines").alias("l")).select(F.transform(F.split(F.col("l.text"), " "), norm).alias("s"))
+    toks = pages.select(F.explode("lines").alias("l")).select(F.transform(F.split(F.col("l.text"), " "), quick_norm).alias("s"))
     three = F.transform(F.sequence(F.lit(0), F.size("s") - 3), lambda i: F.struct(F.get("s", i).alias("a"), F.get("s", i + 1).alias("b"), F.get("s", i + 2).alias("c")))
     return toks.filter(F.size("s") >= 3).select(F.explode(three).alias("t")).select("t.*").groupBy("a", "b", "c").agg(F.count("*").alias("n"))
 
@@ -104,7 +104,7 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     Null and empty pages are none; a file of null id or source counts like any other; files delivered
     again count once. Counts of trigrams and lengths are taken over all pages.
     """
-    pages = page_texts(hocr)
+    pages = kept(page_texts(hocr))  # a tenth of the markup; ends and trigrams are both made from it
     ends = kept(only_current(with_ends(pages), hocr, "hocr_id").dropDuplicates(["hocr_id", "page_idx"]).drop("loaded_at"))
     tri = kept(inner_trigrams(pages))
     known = tri.groupBy(F.col("b").alias("w")).agg(F.sum("n").alias("n")).filter((F.col("n") >= KNOWN_FROM) & (F.length("w") > 0)).select("w")
