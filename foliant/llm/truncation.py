@@ -83,8 +83,11 @@ def field_limits(ends: DataFrame) -> DataFrame:
     sizes = ends.select("ocr_system", "in_tag", F.explode(F.map_from_arrays(F.array(F.lit("chars"), F.lit("bytes")), F.array("chars", "bytes"))).alias("measure", "size"))
     counted = sizes.groupBy("ocr_system", "measure", "size").agg(F.count("*").alias("n"), F.avg(F.col("in_tag").cast("double")).alias("stopped"))
     found = counted.filter((F.col("n") >= LIMIT_FROM) & (F.col("stopped") >= 0.5))
-    # in plain ASCII both measures agree: the one that more pages share is the source's
-    return found.groupBy("ocr_system", "size").agg(F.max_by("measure", F.struct("n", "measure")).alias("measure"))
+    # pages cut at one number of characters spread over some numbers of bytes, and the other way round:
+    # the lengths that most pages share are the limits, the spread is none
+    most = found.groupBy(F.col("ocr_system").alias("_s")).agg(F.max("n").alias("most"))
+    real = found.join(most, F.col("ocr_system").eqNullSafe(F.col("_s"))).filter(F.col("n") >= 0.5 * F.col("most"))
+    return real.groupBy("ocr_system", "size").agg(F.max_by("measure", F.struct("n", "measure")).alias("measure"))
 
 
 def with_next_start(ends: DataFrame) -> DataFrame:
