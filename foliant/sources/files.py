@@ -43,7 +43,7 @@ def single_pairs(files: DataFrame) -> DataFrame:
 
 def texts(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path and whole text of UTF-8 files."""
-    return spark.read.option("wholetext", "true").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
 def text_lines(df: DataFrame, keys: list[str], text: str) -> DataFrame:
