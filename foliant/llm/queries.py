@@ -34,6 +34,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.noise(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "word_csv", "lexicon")))
 
 
+def p4_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every volume as repaired, continuous paragraphs."""
+    return scan.continuous_text(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "word_csv", "lexicon")))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages whose end was cut off."""
     return truncation.judged_pages(table(spark, sf_dir, "hocr_structure")).filter("truncated").select("hocr_id", "page_idx")
@@ -90,7 +95,7 @@ def p5_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.judged_pages(table(spark, sf_dir, "hocr_structure"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p5_found": p5_found, "p5_reasons": p5_reasons, "p5_shares": p5_shares, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_reasons": p5_reasons, "p5_shares": p5_shares, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
 
 P3_SQL = """
 SELECT hocr_id, (i - 1)::INTEGER AS page_idx
