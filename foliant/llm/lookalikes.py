@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliant.session import kept
 from foliant.sources.tables import only_current
 
 # Letters that look like a Latin letter, as pairs, by script.
@@ -183,7 +184,7 @@ def consistent_forms(words: DataFrame, lexicon: DataFrame | None = None) -> Data
     the skeleton's group does. Words count over all rows; a frequent word is combined before the shuffle.
     """
     forms = words.filter(F.col("word").rlike(MAYBE)).groupBy("word").agg(F.count("*").alias("n"))
-    read = forms.withColumn("_l", letters_udf("word")).select("word", "n", F.col("_l.form").alias("form"), F.col("_l.runs").alias("runs"))
+    read = kept(forms.withColumn("_l", letters_udf("word")).select("word", "n", F.col("_l.form").alias("form"), F.col("_l.runs").alias("runs")))  # each form is read once
     runs = read.select("word", "n", F.explode("runs").alias("r")).select("word", "n", "r.run", "r.skeleton", "r.script")
     member = runs.groupBy("skeleton", "script").agg(F.sum("n").alias("n"))
     if lexicon is not None:
@@ -215,7 +216,7 @@ def inconsistent_words(sources: dict[str, tuple[DataFrame, str, str]], lexicon:
     for name, (df, key, column) in sources.items():
         part = df.select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("row_id"), F.col(column).alias("word"), "loaded_at").filter(F.col("word").rlike(MAYBE))
         rows = part if rows is None else rows.unionByName(part)
-    wrong = consistent_forms(rows.select("word"), lexicon)
+    wrong = kept(consistent_forms(rows.select("word"), lexicon))
     found = rows.join(wrong.select("word", "form"), "word")
     out = None
     for name, (df, key, _) in sources.items():
