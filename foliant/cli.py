@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
 from foliant.operators import audit, batching, diff, hocr, profile, render, retry, roles
-from foliant.session import local_session
+from foliant.session import kept, local_session
 from foliant.sources import files, remote
 
 EXIT_COUNT_MISMATCH, EXIT_NO_INPUT = 2, 1
@@ -184,7 +184,11 @@ def ask(spark: SparkSession, o: argparse.Namespace) -> int:
             images = batching.selected_range(images, ["g"], ["name"], o.first or 1, o.last or 1_000_000)
         chunks = batching.numbered(images.drop("position"), ["g"], ["name"]).withColumn("chunk", batching.batch_of(F.col("position"), o.chunk_size))
         asked = chunks.groupBy("chunk").agg(F.array_sort(F.collect_list("path")).alias("images")).withColumn("prompt", F.lit(o.prompt))
-        got = remote.answers(asked, ["chunk"], ["prompt", "images"], make)
+        got = kept(remote.answers(asked, ["chunk"], ["prompt", "images"], make))  # asked once
+        failed = got.filter("status <> 'ok'").take(1)
+        if failed:  # one failed request ends the run
+            print(f"request failed: {failed[0].status} {failed[0].error}", file=sys.stderr)
+            return EXIT_NO_INPUT
         d = got.agg(render.in_order(F.col("chunk"), F.col("text"), "\n\n").alias("text")).select(F.lit("output.txt").alias("name"), "text")
         files.export_texts(d, o.output or ".", "name", "text")
         return 0

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
+from foliant.session import kept
 
 
 def batch_of(position: Column, size: int) -> Column:
@@ -16,8 +17,21 @@ def batch_of(position: Column, size: int) -> Column:
 
 
 def numbered(df: DataFrame, group: list[str], order: list[str], out: str = "position") -> DataFrame:
-    """Rows with their 1-based position within a group."""
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    """Rows with their 1-based position within a group; the order should tell all rows of a group apart.
+
+    A group may hold any share of the rows: rows are put into ranges of (group, order), numbered within
+    their range, and raised by what the group has in the ranges before, of which there are few.
+    """
+    ranged = kept(df.repartitionByRange(*group, *order).withColumn("_range", F.spark_partition_id()))
+    within = F.row_number().over(Window.partitionBy("_range", *group).orderBy(*order))
+    sizes = ranged.groupBy(*group, "_range").agg(F.count("*").alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    raised = sizes.select(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_range").alias("_at"), before.alias("_before"))
+    same = F.col("_range") == F.col("_at")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    full = ranged.withColumn("_within", within).join(raised, same)
+    return full.withColumn(out, (F.col("_within") + F.col("_before")).cast("int")).select(*df.columns, out)
 
 
 def batch_ranges(counts: DataFrame, keys: list[str], n: str, size: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MINUTE_US, DAY_S = 60_000_000, 86_400
+MINUTE_US, HOUR_US = 60_000_000, 3_600_000_000
 
 
 def micros(ts: Column) -> Column:
@@ -18,10 +18,17 @@ def micros(ts: Column) -> Column:
 
 
 def rolling_minute(calls: DataFrame, model: str = "model", ts: str = "ts", tokens: str = "tokens") -> DataFrame:
-    """Calls with requests and tokens of their model in the 60 seconds up to and with each."""
-    w = Window.partitionBy(model).orderBy("_us").rangeBetween(-(MINUTE_US - 1), 0)
-    d = calls.withColumn("_us", micros(F.col(ts)))
-    return d.withColumn("requests_60s", F.count("*").over(w)).withColumn("tokens_60s", F.coalesce(F.sum(tokens).over(w), F.lit(0))).drop("_us")
+    """Calls with requests and tokens of their model in the 60 seconds up to and with each.
+
+    A model may make any share of the calls: its time is cut into hours, and the calls of an hour's last
+    minute are also shown to the next hour, where they count but give no row. Null times give no row.
+    """
+    w = Window.partitionBy(model, "_hour").orderBy("_us").rangeBetween(-(MINUTE_US - 1), 0)
+    d = calls.withColumn("_us", micros(F.col(ts))).withColumn("_own", F.floor(F.col("_us") / HOUR_US)).filter(F.col("_us").isNotNull())
+    late = F.pmod("_us", F.lit(HOUR_US)) >= HOUR_US - MINUTE_US
+    d = d.withColumn("_hour", F.explode(F.when(late, F.array(F.col("_own"), F.col("_own") + 1)).otherwise(F.array("_own"))))
+    d = d.withColumn("requests_60s", F.count("*").over(w)).withColumn("tokens_60s", F.coalesce(F.sum(tokens).over(w), F.lit(0)))
+    return d.filter(F.col("_hour") == F.col("_own")).drop("_us", "_own", "_hour")
 
 
 def quota_day(ts: Column, reset_time: Column, zone: Column) -> Column:

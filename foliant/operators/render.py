@@ -125,19 +125,27 @@ PLAIN_HEAD = '<head>\n<title></title>\n<meta charset="utf-8"/>\n<meta name="ocr-
 HEAD_LINES = 25
 
 
-def merged_hocr(files: DataFrame, group: str) -> DataFrame:
-    """(group, n_pages, text): files (group, batch_dir, prefix, pages) of a group as one document.
+def merged_parts(files: DataFrame, group: str) -> DataFrame:
+    """(group, batch_dir, part, text): files (group, batch_dir, prefix, pages) of a group as the parts of one document.
 
-    The head is that of the first file's first 25 lines that has one, else a plain one. Batches follow
-    each other by name, pages in their order; null pages are left out.
+    Parts in order of (batch_dir, part) are the document: its head with part -1 and no batch, its pages by
+    number, its end with a null batch and part 0 (nulls last). No group is gathered in one place, so a
+    volume may hold any share of the pages. The head is that of the first file's first 25 lines that has one,
+    else a plain one; null pages are left out.
     """
     top = F.array_join(F.slice(F.split("prefix", "\n"), 1, HEAD_LINES), "\n")
-    one = files.select(group, "batch_dir", tx.head_of(top).alias("_head"), F.filter("pages", lambda p: p.isNotNull()).alias("_pages"))
-    g = one.groupBy(group).agg(
-        F.min(F.when(F.col("_head").isNotNull(), F.struct("batch_dir", "_head")))["_head"].alias("_head"),
-        F.sum(F.size("_pages")).alias("n_pages"), in_order(F.col("batch_dir"), F.array_join("_pages", "\n")).alias("_body"),
-    )
-    return g.select(group, "n_pages", F.concat(F.lit(MERGED_OPEN), F.coalesce("_head", F.lit(PLAIN_HEAD)), F.lit("\n<body>\n"), F.col("_body"), F.lit("\n</body>\n</html>\n")).alias("text"))
+    head = files.select(group, "batch_dir", tx.head_of(top).alias("_head")).groupBy(group).agg(F.min(F.when(F.col("_head").isNotNull(), F.struct("batch_dir", "_head")))["_head"].alias("_head"))
+    heads = head.select(group, F.lit("").alias("batch_dir"), F.lit(-1).alias("part"), F.concat(F.lit(MERGED_OPEN), F.coalesce("_head", F.lit(PLAIN_HEAD)), F.lit("\n<body>\n")).alias("text"))
+    pages = files.select(group, "batch_dir", F.posexplode("pages").alias("part", "text")).filter(F.col("text").isNotNull()).withColumn("text", F.concat("text", F.lit("\n")))
+    ends = head.select(group, F.lit(None).cast("string").alias("batch_dir"), F.lit(0).alias("part"), F.lit("</body>\n</html>\n").alias("text"))
+    return heads.unionByName(pages).unionByName(ends)
+
+
+def merged_hocr(files: DataFrame, group: str) -> DataFrame:
+    """(group, n_pages, text): the parts of each group as one text, for documents that fit into one."""
+    parts = F.array_sort(F.collect_list(F.struct(F.col("batch_dir").isNull().alias("end"), F.col("batch_dir"), F.col("part"), F.col("text"))))
+    n = F.count(F.when((F.col("part") >= 0) & F.col("batch_dir").isNotNull(), 1))
+    return merged_parts(files, group).groupBy(group).agg(n.alias("n_pages"), F.array_join(F.transform(parts, lambda x: x["text"]), "").alias("text"))
 
 
 # Output of the recognition step.

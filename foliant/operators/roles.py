@@ -21,14 +21,12 @@ def resolved(files: DataFrame, batch: list[str], name: str, mtime: str, role: Co
     """
     role = role_of(F.col(name)) if role is None else role
     f = files.filter(F.col(name).isNotNull()).select(*batch, F.col(name).alias("_name"), F.col(mtime).alias("_at"), role.alias("_role"))
-    oldest = lambda r: F.min(F.when(F.col("_role") == r, F.struct("_at", "_name")))["_name"]
-    newest_at = lambda r: F.max(F.when(F.col("_role") == r, F.col("_at")))
+    of = lambda r, at: F.min(F.when(F.col("_role") == r, F.struct(at.alias("at"), F.col("_name").alias("name"))))["name"]
+    time = F.unix_micros(F.col("_at").cast("timestamp"))
     g = f.groupBy(*batch).agg(
-        F.count("*").alias("n_files"), F.min("_name").alias("_only"), oldest("original").alias("_o"), newest_at("proofread").alias("_pt"), newest_at("corrected").alias("_ct"),
-        F.collect_set(F.when(F.col("_role") != "original", F.struct("_role", "_at", "_name"))).alias("_later"),
+        F.count("*").alias("n_files"), F.min("_name").alias("_only"), of("original", time).alias("_o"), of("corrected", -time).alias("_c"), of("proofread", -time).alias("_p"),
     )
-    first_of = lambda r, at: F.array_min(F.transform(F.filter("_later", lambda x: (x["_role"] == r) & x["_at"].eqNullSafe(F.col(at))), lambda x: x["_name"]))
-    later = F.coalesce(first_of("corrected", "_ct"), first_of("proofread", "_pt"))
+    later = F.coalesce("_c", "_p")
     single = F.col("n_files") == 1
     proofread = F.when(single, F.col("_only")).otherwise(F.coalesce(later, F.col("_o")))
     original = F.when(~single & later.isNotNull(), F.col("_o"))

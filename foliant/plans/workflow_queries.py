@@ -128,10 +128,12 @@ def joined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def merged_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corrected files of each volume as one document: pages, length, digest."""
+    """The corrected files of each volume as the parts of one document: parts, characters, digests of all pages added up."""
     f = current_files(spark, sf_dir).filter(F.col("role").isin("proofread", "corrected") & F.col("pages_html").isNotNull())
-    m = render.merged_hocr(f.select("volume_id", F.concat(F.lpad(F.col("hocr_id").cast("string"), 12, "0")).alias("batch_dir"), F.col("prefix_before_body").alias("prefix"), F.col("pages_html").alias("pages")), "volume_id")
-    return m.select("volume_id", F.col("n_pages").cast("long").alias("n_pages"), F.char_length("text").alias("n_chars"), F.md5(F.col("text").cast("binary")).alias("digest"))
+    m = render.merged_parts(f.select("volume_id", F.lpad(F.col("hocr_id").cast("string"), 12, "0").alias("batch_dir"), F.col("prefix_before_body").alias("prefix"), F.col("pages_html").alias("pages")), "volume_id")
+    page = (F.col("part") >= 0) & F.col("batch_dir").isNotNull()
+    digest = F.conv(F.substring(F.md5(F.rtrim(F.col("text"), F.lit("\n")).cast("binary")), 1, 8), 16, 10).cast("long")
+    return m.groupBy("volume_id").agg(F.count(F.when(page, 1)).alias("n_pages"), F.sum(F.when(page, F.char_length("text") - 1).otherwise(0)).alias("n_chars"), F.sum(F.when(page, digest).otherwise(0)).alias("digests"))
 
 
 def minute_use(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,6 +247,9 @@ ORACLE = {
           FROM (SELECT *, TRY_CAST(confidence AS DOUBLE) AS c FROM word_csv WHERE TRUE QUALIFY row_number() OVER (PARTITION BY csv_id ORDER BY loaded_at DESC) = 1) WHERE word IS NOT NULL) GROUP BY filename""",
     "polygon_boxes": f"SELECT word_id, bbox.x0 AS x0, bbox.y1 AS y1 FROM {WORDS} WHERE bbox IS NOT NULL",
     "joined_pages": f"SELECT hocr_id, count(*) AS n_pages, md5(string_agg(p, chr(10) ORDER BY i)) AS digest FROM (SELECT hocr_id, i, pages_html[i] AS p FROM {FILES}, unnest(range(1, len(pages_html) + 1)) AS t(i)) WHERE p IS NOT NULL GROUP BY hocr_id",
+    "merged_volumes": f"""
+        SELECT volume_id, count(p) AS n_pages, coalesce(sum(length(p)), 0)::BIGINT AS n_chars, coalesce(sum(('0x' || substr(md5(rtrim(p, chr(10))), 1, 8))::BIGINT), 0)::BIGINT AS digests
+        FROM (SELECT volume_id, unnest(pages_html || [NULL]) AS p FROM {FILES} WHERE role IN ('proofread', 'corrected') AND pages_html IS NOT NULL) GROUP BY volume_id""",
     "minute_use": f"""
         SELECT call_id, model, count(*) OVER w AS requests_60s, coalesce(sum(tokens) OVER w, 0)::BIGINT AS tokens_60s FROM (SELECT *, epoch_us(ts) AS us FROM {CALLS} WHERE model IS NOT NULL AND ts IS NOT NULL)
         WINDOW w AS (PARTITION BY model ORDER BY us RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW)""",
