@@ -63,17 +63,19 @@ REPORTING = re.compile(r"\b(?:letters?|spine|margin|hand|log|morning|readers|vie
 HEADING = re.compile(r"^(?:#{1,6}\s.*|=+ .* =+|\\(?:sub)*section\*?\{[^{}]*\}|(?:page|seite|feuillet|heading|page title|title)\b[\s\d.:()\w-]{0,24})$", re.I)
 FRAME = re.compile(r"^(?:[^.!?\n]{1,30}(?:\s[|·•»>/]\s[^.!?\n]{1,30})+|(?:[^\W\d_][\w ]{0,18}\n){1,}[^\W\d_][\w ]{0,18}|skip to (?:main )?content|©.{1,60}|\(c\) .{1,60}|all rights reserved.{0,40})$", re.I)
 
+# Names of fields without a sign of their own.
+FIELD_WORDS = ("shelfmark", "editor", "publisher", "provenance", "operator", "signature", "title", "author", "date", "name", "volume", "leaf", "page")
 # Forms of template fields; NAME is a field's name.
 _NAME = r"[A-Za-z][\w.]{1,40}"
 FIELD = re.compile(
     rf"\{{\{{\s*{_NAME}\s*\}}\}}|\{{%\s*{_NAME}\s*%\}}|<%=?\s*{_NAME}\s*%>|<<\s*{_NAME}\s*>>|«\s*{_NAME}\s*»|‹\s*{_NAME}\s*›|\$\{{{_NAME}\}}|#\{{{_NAME}\}}|@@{_NAME}@@|%\({_NAME}\)[sdr]|(?<![\w%])%[A-Za-z][A-Za-z_.]{{2,40}}%(?![\w%])"
-    rf"|(?<![\w%])%[sd](?![\w%])|(?<![\w$\\])\$[A-Za-z][A-Za-z.]*(?:_[A-Za-z.]+)*\$(?![\w$])|(?<!\w)__[A-Z][A-Z_]{{2,40}}__(?!\w)|\[\[\s*(?:[A-Za-z]\w*(?:[_.]\w+)+|[a-z]{{3,20}}|TBD|TODO|[A-Z_]{{4,}})\s*\]\]"
-    r"|\[(?:INSERT|ENTER|YOUR|FILL IN|TODO|TBD|Insert|Enter|Your|Fill in)\b[^\[\]\n]{0,60}\]|\[[^\[\]\n]{1,60}\b(?:eintragen|einfügen|EINFÜGEN|einsetzen|here|HERE)\]|\[(?:à compléter|à remplir|compléter|заполнить|вставить)\b[^\[\]\n]{0,60}\]|\[[A-Za-z][\w.]{1,40}\?\]"
+    rf"|(?<![\w%])%[sd](?![\w%])|(?<![\w$\\])\$(?=[A-Za-z._]{{4,40}}\$)[A-Za-z][A-Za-z.]*(?:_[A-Za-z.]+)*\$(?![\w$])|(?<!\w)__(?:[A-Z][A-Z_]{{2,40}}|[a-z]+(?:_[a-z]+)+|{'|'.join(FIELD_WORDS)})__(?!\w)|\[\[\s*(?:[A-Za-z]\w*(?:[_.]\w+)+|[a-z]{{3,20}}|TBD|TODO|[A-Z_]{{4,}})\s*\]\]"
+    r"|\[(?i:insert|enter|your|fill in|todo|tbd)\b[^\[\]\n]{0,60}\]|\[[^\[\]\n]{1,60}\b(?i:eintragen|einfügen|einsetzen|here)\]|\[(?i:à compléter|à remplir|compléter|insérer|saisir|заполнить|вставить)\b[^\[\]\n]{0,60}\]|\[[A-Za-z][\w.]{1,40}\?\]"
     r"|<[A-Za-z][\w.]{0,40} (?:here|HERE)>|&lt;[A-Z][A-Z_]{2,40}&gt;|<[A-Z]{2,}(?:_[A-Z]+)+>|<[a-z]+(?:_[a-z]+)+>|(?<![\w\\}\]^_$#%{])\{(?:[A-Za-z][\w.]{1,40}|\d{1,2})\}(?![\w{}])|\bXX[/.-]XX[/.-]XXXX\b|\b(?:DD[/.-]MM|MM[/.-]DD|TT[.]MM)[/.-](?:YYYY|JJJJ)\b"
 )
 #: What a field needs at least: the generous first pass over a text.
 MAYBE_FIELD = re.compile(r"[{}$%@<>‹«]|__|\[|XX|YYYY|JJJJ|&lt;")
-MATH = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\\(.*?\\\)|(?<!\\)\$(?!\w+\$)[^$\n]{1,80}\$|\\(?:new|renew)command\{[^\n]*", re.S)
+MATH = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\\(.*?\\\)|(?<!\\)\$(?=\S)(?![A-Za-z._]+\$)[^$\n]{0,80}[^$\s\\]\$|\\(?:new|renew)command\{[^\n]*", re.S)
 
 
 def without_code(text: str) -> str:
@@ -102,9 +104,6 @@ def unfilled_field(text: str) -> str | None:
     return None
 
 
-# Names of fields without a sign of their own.
-FIELD_WORDS = frozenset("shelfmark editor publisher provenance operator signature title author date name volume leaf page".split())
-
 
 def segments(text: str) -> list[str]:
     return [s for s in (p.strip() for p in SEGMENT.split(without_code(text))) if s]
