@@ -70,7 +70,7 @@ _NAME = r"[A-Za-z][\w.]{1,40}"
 FIELD = re.compile(
     rf"\{{\{{\s*{_NAME}\s*\}}\}}|\{{%\s*{_NAME}\s*%\}}|<%=?\s*{_NAME}\s*%>|<<\s*{_NAME}\s*>>|«\s*{_NAME}\s*»|‹\s*{_NAME}\s*›|\$\{{{_NAME}\}}|#\{{{_NAME}\}}|@@{_NAME}@@|%\({_NAME}\)[sdr]|(?<![\w%])%[A-Za-z][A-Za-z_.]{{2,40}}%(?![\w%])"
     rf"|(?<![\w%])%[sd](?![\w%])|(?<![\w$\\])\$(?=[A-Za-z._]{{4,40}}\$)[A-Za-z][A-Za-z.]*(?:_[A-Za-z.]+)*\$(?![\w$])|(?<!\w)__(?:[A-Z][A-Z_]{{2,40}}|[a-z]+(?:_[a-z]+)+|{'|'.join(FIELD_WORDS)})__(?!\w)|\[\[\s*(?:[A-Za-z]\w*(?:[_.]\w+)+|[a-z]{{3,20}}|TBD|TODO|[A-Z_]{{4,}})\s*\]\]"
-    r"|\[(?i:insert|enter|your|fill in|todo|tbd)\b[^\[\]\n]{0,60}\]|\[[^\[\]\n]{1,60}\b(?i:eintragen|einfügen|einsetzen|here)\]|\[(?i:à compléter|à remplir|compléter|insérer|saisir|заполнить|вставить)\b[^\[\]\n]{0,60}\]|\[[A-Za-z][\w.]{1,40}\?\]"
+    r"|<(?i:insert|enter|your|fill in)\s[^<>\n]{1,60}>|\[(?i:insert|enter|your|fill in|todo|tbd)\b[^\[\]\n]{0,60}\]|\[[^\[\]\n]{1,60}\b(?i:eintragen|einfügen|einsetzen|here)\]|\[(?i:à compléter|à remplir|compléter|insérer|saisir|заполнить|вставить)\b[^\[\]\n]{0,60}\]|\[[A-Za-z][\w.]{1,40}\?\]"
     r"|<[A-Za-z][\w.]{0,40} (?:here|HERE)>|&lt;[A-Z][A-Z_]{2,40}&gt;|<[A-Z]{2,}(?:_[A-Z]+)+>|<[a-z]+(?:_[a-z]+)+>|(?<![\w\\}\]^_$#%{])\{(?:[A-Za-z][\w.]{1,40}|\d{1,2})\}(?![\w{}])|\bXX[/.-]XX[/.-]XXXX\b|\b(?:DD[/.-]MM|MM[/.-]DD|TT[.]MM)[/.-](?:YYYY|JJJJ)\b"
 )
 #: What a field needs at least: the generous first pass over a text.
