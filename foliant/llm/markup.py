@@ -182,11 +182,8 @@ def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
         if text:
             out.append(mark + text)
 
-    def cells(n: Node) -> str:
-        parts: list[str] = []
-        for x in n.items:
-            parts.append(x if isinstance(x, str) else cells(x))
-        return SPACES.sub(" ", "".join(parts)).strip()
+    def cells(n: Node | str) -> str:
+        return SPACES.sub(" ", n if isinstance(n, str) else strings_of(n)).strip()
 
     inside = [(root, 0)]
     # an explicit stack: (node, index of its next item); pages may nest deeply
@@ -199,7 +196,7 @@ def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
                 continue
             if n.name == "pre":
                 flush()
-                out.extend("    " + x for x in cells_raw(n).strip("\n").split("\n"))
+                out.extend("    " + x for x in strings_of(n).replace(WORD_MARK, "").strip("\n").split("\n"))
                 continue
             if n.name == "tr":
                 flush()
@@ -232,8 +229,16 @@ def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
     return out
 
 
-def cells_raw(n: Node) -> str:
-    return "".join(x if isinstance(x, str) else cells_raw(x) for x in n.items).replace(WORD_MARK, "")
+def strings_of(node: Node) -> str:
+    """All strings below a node in order; deep trees without recursion."""
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        else:
+            todo += reversed(x.items)
+    return "".join(out)
 
 
 # Markdown, wiki and LaTeX in text lines.

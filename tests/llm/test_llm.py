@@ -71,6 +71,19 @@ def test_markup_edges():
     assert markup.clean_page(head) == ("t", [])
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="<>/divspan tr&;\"'`*_[]{}$\\\n#|=~x1!-", max_size=300))
+def test_markup_never_fails(text):
+    for page_text in (text, f"<div class='ocr_page'>{text}", page(text.replace("<", " "))):
+        got, found = markup.clean_page(page_text)
+        assert isinstance(got, str) and set(found) <= {"html", "markdown", "wiki", "latex"}
+
+
+def test_markup_of_deep_tables():
+    got, found = markup.clean_page("<table><tr>" + "<td><b>" * 3000 + "x" + "</b></td>" * 3000 + "</tr></table>")
+    assert (got, found) == ("x", ["html"])
+
+
 def test_density_leaves_out_navigation():
     nav = "<div>" + "".join(f"<a href='{i}'>Go {i}</a>" for i in range(9)) + "</div>"
     text, _ = markup.clean_page(f"<body>{nav}<div><p>{'A long paragraph of text that goes on. ' * 9}</p><p>{'And another one. ' * 9}</p></div></body>")
