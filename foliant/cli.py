@@ -7,8 +7,11 @@ Steps that need a service or codec take ``--client module:factory`` (see ``folia
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import fnmatch
 import importlib
+import json
+import logging
 import shutil
 import sys
 from pathlib import Path
@@ -22,6 +25,7 @@ from foliant.session import kept, local_session
 from foliant.sources import files, remote
 
 EXIT_COUNT_MISMATCH, EXIT_NO_INPUT = 2, 1
+log = logging.getLogger("foliant")
 
 
 def percent(s: str) -> int:
@@ -48,6 +52,7 @@ def positive(s: str) -> int:
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="foliant", description=__doc__)
     p.add_argument("-v", "--verbose", action="store_true")
+    p.add_argument("-l", "--log-to-file", nargs="?", const=".", metavar="DIR", help="keep a log of this run in DIR")
     sub = p.add_subparsers(dest="step", required=True)
     b = sub.add_parser("batch", help="cut a book's hOCR and images into batch folders")
     b.add_argument("-f", "--hocr", required=True)
@@ -194,27 +199,41 @@ def ask(spark: SparkSession, o: argparse.Namespace) -> int:
         return 0
     pairs = files.single_pairs(files.listing(spark, o.path))
     texts = hocr_files(spark, o.path).select("dir", F.col("name").alias("hocr"), "text")
-    work = pairs.join(texts, ["dir", "hocr"]).select("dir", "hocr", "image", tx.proofread_prompt(F.col("text"), "hocr").alias("prompt"))
-    attempts, start = o.max_attempts, o.temperature
+    saved = files.texts(spark, o.path, "*-proofread.lasttemp").select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("dir"), files.last_temperature(F.col("text")).alias("saved"))
+    start = F.when(F.col("saved") == 0, retry.STEP).otherwise(F.coalesce("saved", F.lit(o.temperature)))
+    work = pairs.join(texts, ["dir", "hocr"]).join(saved, "dir", "left").select("dir", "hocr", "image", tx.proofread_prompt(F.col("text"), "hocr").alias("prompt"), start.alias("start"))
+    attempts = o.max_attempts
 
     def factory():
         model = make()
 
-        def corrected(prompt, image):
+        def corrected(prompt, image, first):
+            last = [""]
+
             def one(t):
-                answer = model(prompt, image, t)
-                status = "ok" if (answer or "").rstrip().endswith("</html>") else "no closing </html> tag"
-                return retry.Outcome(status, text=answer)
+                last[0] = model(prompt, image, t) or ""
+                return retry.Outcome("ok" if last[0].rstrip().endswith("</html>") else "no closing </html> tag", text=last[0])
 
-            run = retry.correct_page(one, start, attempts)
-            if run.text is None:
-                raise RuntimeError(f"not valid after {attempts} attempts: {run.statuses}")
+            run = retry.correct_page(one, first, attempts)
+            if run.text is None:  # what the side files of a failed page hold
+                raise RuntimeError(json.dumps({"temperature": run.temperatures[-1], "attempts": len(run.statuses), "status": run.statuses[-1], "answer": last[0]}))
             return run.text
 
         return corrected
 
-    got = remote.answers(work, ["dir", "hocr"], ["prompt", "image"], factory).filter("status = 'ok'")
-    files.export_texts(got.select(F.concat_ws("/", "dir", tx.proofread_name(F.col("hocr"))).alias("name"), "text"), o.path, "name", "text")
+    got = kept(remote.answers(work, ["dir", "hocr"], ["prompt", "image", "start"], factory))  # asked once
+    at = lambda name: F.concat_ws("/", "dir", name).alias("name")
+    files.export_texts(got.filter("status = 'ok'").select(at(tx.proofread_name(F.col("hocr"))), "text"), o.path, "name", "text")
+    now = F.lit(dt.datetime.now().replace(microsecond=0)).cast("timestamp")
+    failed = got.filter("status <> 'ok'").select("dir", "hocr", "error", F.from_json("error", "temperature double, attempts int, status string, answer string").alias("e"))
+    n = F.coalesce(F.col("e.attempts"), F.lit(1))
+    sides = (
+        (tx.temperature_file(F.col("hocr")), F.coalesce(F.col("e.temperature").cast("string"), F.lit(""))),
+        (tx.failed_file(F.col("hocr"), now, n), F.coalesce("e.answer", F.lit(""))),
+        (tx.failed_file(F.col("hocr"), now, n, "err"), F.coalesce("e.status", "error")),
+    )
+    for name, text in sides:
+        files.export_texts(failed.select(at(name), text.alias("text")), o.path, "name", "text")
     return 0
 
 
@@ -262,6 +281,13 @@ STEPS = {"batch": batch, "report": report, "audit": audit_folder, "extract": ask
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     o = parser().parse_args(args)
+    if o.log_to_file:
+        Path(o.log_to_file).mkdir(parents=True, exist_ok=True)
+        handler = logging.FileHandler(Path(o.log_to_file) / f"foliant-{dt.datetime.now():%Y-%m-%dT%H%M}.log", encoding="utf-8")
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+        log.setLevel(logging.DEBUG)
+        log.addHandler(handler)
+    log.info("step %s with %s", o.step, {k: v for k, v in vars(o).items() if k != "client"})
     return STEPS[o.step](spark or local_session(), o)
 
 

@@ -184,9 +184,20 @@ def preview(c: Column, size: int = 100) -> Column:
     return F.substring(c, 1, size)
 
 
-def answer_name(at: Column, kind: str = "output") -> Column:
-    """File name of an answer or prompt, with the minute it was made."""
-    return F.concat(F.lit(f"{kind}-"), F.date_format(at, "yyyy-MM-dd'T'HHmm"), F.lit(".txt"))
+def answer_name(at: Column, kind: str = "output", ext: str = "txt") -> Column:
+    """File name of an answer or prompt, with the minute it was made; the extension is its document's."""
+    return F.concat(F.lit(f"{kind}-"), F.date_format(at, "yyyy-MM-dd'T'HHmm"), F.lit(f".{ext}"))
+
+
+def temperature_file(name: Column) -> Column:
+    """Side file of an hOCR file that keeps the last temperature tried."""
+    return F.regexp_replace(name, r"\.hocr$", "-proofread.lasttemp")
+
+
+def failed_file(name: Column, at: Column, attempt: Column, kind: str = "hocr") -> Column:
+    """Side file of a failed attempt: its answer (``hocr``) or its error (``err``)."""
+    end = F.concat(F.lit(f"-proofread.{kind}."), F.date_format(at, "yyyy-MM-dd'T'HHmm"), F.lit("."), attempt.cast("string"), F.lit(".failed"))
+    return F.concat(F.regexp_replace(name, r"\.hocr$", ""), end)
 
 
 def result_name(at: Column, ext: str, prefix: str = "ocr-results") -> Column:

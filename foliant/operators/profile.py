@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 OVERLAP = 10
 
 
+def column_means(rows: Column) -> Column:
+    """Mean brightness of each pixel column of a grey image, given as an array of rows of equal length."""
+    width = F.size(F.get(rows, F.lit(0)))
+    total = lambda c: F.aggregate(rows, F.lit(0.0), lambda a, r: a + F.get(r, c).cast("double"))
+    return F.when(F.size(rows) > 0, F.transform(F.sequence(F.lit(0), width - 1), lambda c: total(c) / F.size(rows)))
+
+
+def column_counts(rows: Column) -> Column:
+    """Number of set pixels of each pixel column of an edge image, given as an array of rows of equal length."""
+    width = F.size(F.get(rows, F.lit(0)))
+    count = lambda c: F.size(F.filter(rows, lambda r: F.get(r, c) > 0))
+    return F.when(F.size(rows) > 0, F.transform(F.sequence(F.lit(0), width - 1), count))
+
+
 def centre_window(profile: Column, part: int) -> tuple[Column, Column]:
     """(start, values) of the middle 1/``part``-th of a profile; start counts from 0."""
     width = F.size(profile)

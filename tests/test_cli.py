@@ -71,6 +71,10 @@ def asker():
     return ask
 
 
+def silent():
+    return lambda prompt, image, temperature: "no page"
+
+
 def test_steps_with_clients(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s" / "a.png").write_bytes(b"x")
@@ -90,3 +94,12 @@ def test_steps_with_clients(spark, tmp_path):
     (b / "x.hocr").write_text(document("one"), "utf-8")
     assert cli.main(["proofread", str(tmp_path / "p"), "--client", f"{here}:asker"], spark) == 0
     assert ">ONE<" in (b / "x-proofread.hocr").read_text("utf-8")
+    c = tmp_path / "q" / "b2"
+    c.mkdir(parents=True)
+    (c / "a.png").write_bytes(b"x")
+    (c / "x.hocr").write_text(document("one"), "utf-8")
+    (c / "x-proofread.lasttemp").write_text("0.0", "utf-8")
+    assert cli.main(["-l", str(tmp_path / "log"), "proofread", str(tmp_path / "q"), "-m", "2", "--client", f"{here}:silent"], spark) == 0
+    assert not (c / "x-proofread.hocr").exists() and (c / "x-proofread.lasttemp").read_text("utf-8") == "0.2"
+    failed = sorted(p.name.split(".")[1] for p in c.glob("*.failed"))
+    assert failed == ["err", "hocr"] and len(list((tmp_path / "log").iterdir())) == 1

@@ -153,6 +153,12 @@ def test_splits(spark):
     assert got == [(20, 20, 20), (None, 17, 17)]
 
 
+def test_column_profiles(spark):
+    df = spark.createDataFrame([([[0, 10, 255], [0, 30, 255]],), ([],), (None,)], "rows array<array<int>>")
+    got = [(r[0], r[1]) for r in df.select(profile.column_means(F.col("rows")), profile.column_counts(F.col("rows"))).collect()]
+    assert got == [([0.0, 20.0, 255.0], [0, 2, 2]), (None, None), (None, None)]
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "b1").mkdir()
     (tmp_path / "b1" / "a.JPG").write_bytes(b"x")
