@@ -115,11 +115,16 @@ WORD = T.StructType([T.StructField("text", T.StringType()), T.StructField("title
 LINE = T.StructType([T.StructField("title", T.StringType()), T.StructField("text", T.StringType()), T.StructField("words", T.ArrayType(WORD))])
 
 
+CUT_TAG = re.compile(r"<[^<>]*\Z")
+BLANKS = re.compile(r"[ \t\r\n\f\v]+")
+
+
 def read_page(page: str) -> list[tuple]:
+    """(title, text, words) of a page's lines; a tag that the page's end cuts off is left out."""
     reader = _Reader()
-    reader.feed(page)
+    reader.feed(CUT_TAG.sub("", page))
     reader.close()
-    return [(x["title"], " ".join("".join(x["text"]).split()), [("".join(w["text"]).strip(), w["title"], w["style"]) for w in x["words"]]) for x in reader.lines]
+    return [(x["title"], BLANKS.sub(" ", "".join(x["text"])).strip(" "), [("".join(w["text"]).strip(" \t\r\n\f\v"), w["title"], w["style"]) for w in x["words"]]) for x in reader.lines]
 
 
 @F.pandas_udf(T.ArrayType(LINE))

@@ -54,6 +54,22 @@ def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.groupBy("hocr_id").agg(F.count("*").alias("n_lines"), F.sum(F.size(F.filter("words", lambda w: F.length(w["text"]) > 0))).cast("long").alias("n_words"))
 
 
+def parsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines as the parser reads them, of the places that the table of lines has."""
+    read = current_pages(spark, sf_dir).select("hocr_id", "page_idx", F.posexplode(hocr.page_lines_udf("html")).alias("line_idx", "l"))
+    places = current_lines(spark, sf_dir).select("hocr_id", "page_idx", "line_idx")
+    return read.join(places, ["hocr_id", "page_idx", "line_idx"], "left_semi").select("hocr_id", "page_idx", "line_idx", F.col("l.text").alias("text"))
+
+
+def parsed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words as the parser reads them, of the places that the table of words has."""
+    every = current_pages(spark, sf_dir).select("hocr_id", "page_idx", F.posexplode(hocr.page_lines_udf("html")).alias("line_idx", "l"))
+    read = hocr.words(every.select("hocr_id", "page_idx", "line_idx", F.col("l.words").alias("words")), ["hocr_id", "page_idx"])
+    at = ["hocr_id", "page_idx", "line_idx", "word_idx"]
+    places = current_words(spark, sf_dir).filter(F.length(tx.strip(F.col("ocrx_word"))) > 0).select(*at)
+    return read.join(places, at, "left_semi").select(*at, "text")
+
+
 def parsed_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words by style, as the parser reads them."""
     w = hocr.words(hocr.lines(current_pages(spark, sf_dir), ["hocr_id", "page_idx"], "html"), ["hocr_id", "page_idx"])
@@ -188,7 +204,7 @@ def answer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "layout_paragraphs": layout_paragraphs, "page_info": page_info, "parsed_lines": parsed_lines, "parsed_styles": parsed_styles, "round_trip": round_trip, "head_metadata": head_metadata, "head_top": head_top,
+    "layout_paragraphs": layout_paragraphs, "page_info": page_info, "parsed_lines": parsed_lines, "parsed_text": parsed_text, "parsed_words": parsed_words, "parsed_styles": parsed_styles, "round_trip": round_trip, "head_metadata": head_metadata, "head_top": head_top,
     "document_lines": document_lines, "html_escaped": html_escaped, "latex_escaped": latex_escaped, "diff_lines": diff_lines, "styled_lines": styled_lines, "capitals": capitals, "usual_edges": usual_edges,
     "line_classes": line_classes, "band_words": band_words, "foot_lines": foot_lines, "body_lines": body_lines, "foot_references": foot_references, "markdown_books": markdown_books, "latex_books": latex_books, "answer_status": answer_status,
 }
@@ -227,6 +243,8 @@ ORACLE = {
           nullif(regexp_extract(tag, 'bbox\\s+[0-9]+\\s+[0-9]+\\s+[0-9]+\\s+([0-9]+)', 1), '')::INTEGER AS height, nullif(regexp_extract(tag, 'ppageno\\s+([0-9]+)', 1), '') AS page_num,
           nullif(regexp_extract(html, '(?is)<!--[^>]*?overall page[^>]*?image[:\\s]+([^\\s]+)', 1), '') AS image
         FROM (SELECT *, regexp_extract(html, '(?i)<div\\b[^>]*>') AS tag FROM {PAGES})""",
+    "parsed_text": f"SELECT hocr_id, page_idx, line_idx, ocr_line AS text FROM {LINES}",
+    "parsed_words": f"SELECT hocr_id, page_idx, line_idx, word_idx, ocrx_word AS text FROM {WORDS} WHERE length(trim(ocrx_word, {SPACE})) > 0",
     "head_metadata": f"""
         SELECT hocr_id, length(k)::INTEGER AS n_chars, md5(k) AS digest FROM (SELECT hocr_id, array_to_string(list_filter(string_split(prefix_before_body, chr(10)),
           lambda x: NOT regexp_matches(x, '(?i)<meta\\s[^>]*name\\s*=\\s*["'']?(font-metrics|layout|layout-data-table)["''\\s/>]')), chr(10)) AS k FROM {FILES})""",
