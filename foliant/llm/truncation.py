@@ -4,7 +4,9 @@ Method: word trigrams in pure SQL. Trigrams inside the lines of all pages are co
 final trigram is joined with them: a final word that hardly occurs inside texts, while trigrams that
 begin with the same two words, or at least known words, go on from just these letters, was cut. A page
 that ends within a word or sentence is complete if the trigram that goes on over to the volume's next
-page is one that occurs inside texts. Beside the words, the ends themselves tell: a page that stops
+page is one that occurs inside texts; it was cut if none does, though what may follow its last words is
+nearly all known (the share of followers seen once tells how often a new one is due), and other pages
+do not usually end with its final trigram. Beside the words, the ends themselves tell: a page that stops
 within a tag, or has exactly the length at which most pages of that length of its source stop within a
 tag (a field limit, in characters or bytes).
 
@@ -22,6 +24,9 @@ from foliant.sources.tables import only_current
 
 #: Times a word must stand inside lines to count as known; pages of one exact length that make a field limit.
 KNOWN_FROM, LIMIT_FROM = 4, 4
+#: Lines of the next page that are tried as its start (running titles come first), and how often a follower
+#: may be due that was never seen, for a seam without a known one to tell a cut.
+STARTS, NEW_DUE = 3, 0.02
 LINE_TAG = r"(?i)<(?:span|div|p)\b[^<>]*?\bocr_line\b[^<>]*(?:>|$)"
 #: Marks that producers put behind a page's end; they tell nothing by themselves.
 END_MARKS = r"(?:\s*(?:…|\.\.+|\[(?:\.{3}|…)\]|\((?:cont|forts|suite)\.?\)))+\s*$"
@@ -60,22 +65,48 @@ def with_ends(pages: DataFrame) -> DataFrame:
     pageno = last["text"].rlike(PAGE_NUMBER) & (F.col("n") > 1) & (yes(last["y0"] - before["y1"] > 1.2 * F.col("med")) | yes(last["x0"] - left > 150) | last["y0"].isNull())
     foot = yes((F.col("n") > 1) & (high(last) < 0.85 * F.col("med")))
     start = F.when(header, second).otherwise(first)
+    worded = F.filter(F.transform(F.slice("lines", F.when(header, 2).otherwise(1), STARTS), lambda x: F.split(x["text"], " ")), lambda s: F.exists(s, lambda t: t.rlike(r"[\p{L}\p{N}]")))
+    starts = F.transform(worded, lambda s: norm(F.get(F.filter(s, lambda t: t.rlike(r"[\p{L}\p{N}]")), F.lit(0))))
     tail = F.split(F.regexp_replace(last["text"], END_MARKS, ""), " ")
     prior = F.split(F.coalesce(before["text"], F.lit("")), " ")
     words = F.when(F.size(tail) >= 3, tail).otherwise(F.concat(F.when(F.col("n") > F.when(header, 2).otherwise(1), prior).otherwise(F.array().cast("array<string>")), tail))
     return d.select(
         "hocr_id", "volume_id", "ocr_system", "loaded_at", "page_idx", "chars", "bytes", "in_tag", "closed",
         F.when(pageno, "pageno").when(foot, "foot").otherwise("body").alias("ends_with"),
-        F.get(F.split(start["text"], " "), F.lit(0)).alias("start"), yes(high(start) > 1.3 * F.col("med")).alias("starts_heading"),
+        F.get(F.split(start["text"], " "), F.lit(0)).alias("start"), starts.alias("starts"), yes(high(start) > 1.3 * F.col("med")).alias("starts_heading"),
         F.get(words, F.size(words) - 1).alias("last"), norm(F.get(words, F.size(words) - 2)).alias("w1"), norm(F.get(words, F.size(words) - 3)).alias("w2"),
     )
 
 
 def inner_trigrams(pages: DataFrame) -> DataFrame:
-    """(a, b, c, n): how often three words stand side by side inside a line, over all pages."""
-    toks = pages.select(F.explode("lines").alias("l")).select(F.transform(F.split(F.col("l.text"), " "), quick_norm).alias("s"))
-    three = F.transform(F.sequence(F.lit(0), F.size("s") - 3), lambda i: F.struct(F.get("s", i).alias("a"), F.get("s", i + 1).alias("b"), F.get("s", i + 2).alias("c")))
-    return toks.filter(F.size("s") >= 3).select(F.explode(three).alias("t")).select("t.*").groupBy("a", "b", "c").agg(F.count("*").alias("n"))
+    """(a, b, c, n, ends): how often three words stand side by side inside a line, and at a page's end."""
+    toks = pages.select(F.size("lines").alias("_n"), F.posexplode("lines").alias("_i", "l")).select((F.col("_i") == F.col("_n") - 1).alias("is_last"), F.transform(F.split(F.col("l.text"), " "), quick_norm).alias("s"))
+    three = F.transform(F.sequence(F.lit(0), F.size("s") - 3), lambda i: F.struct(F.get("s", i).alias("a"), F.get("s", i + 1).alias("b"), F.get("s", i + 2).alias("c"), (F.col("is_last") & (i == F.size("s") - 3)).alias("end")))
+    return toks.filter(F.size("s") >= 3).select(F.explode(three).alias("t")).select("t.*").groupBy("a", "b", "c").agg(F.count_if(~F.col("end")).alias("n"), F.count_if("end").alias("ends"))
+
+
+def broken_seams(seam: DataFrame, tri: DataFrame, known: DataFrame) -> DataFrame:
+    """(hocr_id, page_idx) of pages (hocr_id, page_idx, w2, w1, w, starts) that the volume's next page does not go on from.
+
+    What follows the last two words decides, or else what follows the last one: if hardly a follower is new
+    to it by the share of those seen once, and none of the next page's starts is one seen inside. A start
+    that is no known word, a misreading or markup, leaves a page undecided, and so does a final trigram
+    that ends pages more often than it stands inside.
+    """
+    inside = tri.filter("n > 0")
+    pairs = inside.groupBy("a", "b").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once"))
+    singles = pairs.groupBy(F.col("a").alias("w")).agg(F.sum("n").alias("n_1"), F.count_if(F.col("n") == 1).alias("once_1"))
+    due = lambda n, once: F.coalesce((F.col(once) + 1) / (F.col(n) + 1) <= NEW_DUE, F.lit(False))
+    d = seam.join(pairs.select(F.col("a").alias("w1"), F.col("b").alias("w"), F.col("n").alias("n_2"), F.col("once").alias("once_2")), ["w1", "w"], "left").join(singles, "w", "left")
+    d = d.withColumn("by_two", due("n_2", "once_2")).withColumn("by_one", due("n_1", "once_1")).filter("by_two OR by_one")
+    usual = tri.filter("ends - 1 > n").select(F.col("a").alias("w2"), F.col("b").alias("w1"), F.col("c").alias("w"))
+    d = d.join(usual, ["w2", "w1", "w"], "left_anti").select("hocr_id", "page_idx", "w1", "w", "by_two", "by_one", F.explode("starts").alias("n1"))
+    d = d.join(known.select(F.col("w").alias("n1"), F.lit(True).alias("k_n1")), "n1", "left")
+    d = d.join(inside.select(F.col("a").alias("w1"), F.col("b").alias("w"), F.col("c").alias("n1"), F.col("n").alias("tri_n")), ["w1", "w", "n1"], "left")
+    d = d.join(pairs.select(F.col("a").alias("w"), F.col("b").alias("n1"), F.col("n").alias("pair_n")), ["w", "n1"], "left")
+    odd = F.col("k_n1").isNull() & F.col("n1").rlike(r"\p{L}")
+    per_page = d.groupBy("hocr_id", "page_idx", "by_two", "by_one").agg(F.count("tri_n").alias("threes"), F.count("pair_n").alias("twos"), F.count("k_n1").alias("words"), F.count_if(odd).alias("odd"))
+    return per_page.filter("odd = 0 AND words > 0 AND threes = 0 AND (by_two OR (by_one AND twos = 0))").select("hocr_id", "page_idx")
 
 
 def field_limits(ends: DataFrame) -> DataFrame:
@@ -94,11 +125,11 @@ def with_next_start(ends: DataFrame) -> DataFrame:
     """Each page's end with the start of the volume's next page, ordered in parts so that no volume is one task."""
     part = F.floor(F.col("hocr_id") / FILES_PER_PART)
     w = Window.partitionBy("volume_id", "part").orderBy("hocr_id", "page_idx")
-    head = F.struct("start", "starts_heading")
+    head = F.struct("start", "starts", "starts_heading")
     d = ends.withColumn("part", part).withColumn("head", head).withColumn("after", F.lead("head").over(w)).withColumn("_r", F.row_number().over(w))
     heads = d.filter("_r = 1").select(F.col("volume_id").alias("_v"), F.col("part").alias("_p"), F.lead("head").over(Window.partitionBy("volume_id").orderBy("part")).alias("next_part"))
     d = d.join(heads, d["volume_id"].eqNullSafe(F.col("_v")) & (d["part"] == F.col("_p")), "left")
-    return d.withColumn("after", F.coalesce("after", "next_part")).withColumn("next", F.col("after.start")).withColumn("next_heading", F.coalesce("after.starts_heading", F.lit(False))).drop("part", "head", "after", "_r", "_v", "_p", "next_part")
+    return d.withColumn("after", F.coalesce("after", "next_part")).withColumn("next", F.col("after.start")).withColumn("next_starts", F.col("after.starts")).withColumn("next_heading", F.coalesce("after.starts_heading", F.lit(False))).drop("part", "head", "after", "_r", "_v", "_p", "next_part")
 
 
 def judged_pages(hocr: DataFrame) -> DataFrame:
@@ -110,14 +141,14 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     pages = kept(page_texts(hocr))  # a tenth of the markup; ends and trigrams are both made from it
     ends = kept(only_current(with_ends(pages), hocr, "hocr_id").dropDuplicates(["hocr_id", "page_idx"]).drop("loaded_at"))
     tri = kept(inner_trigrams(pages))
-    known = tri.groupBy(F.col("b").alias("w")).agg(F.sum("n").alias("n")).filter((F.col("n") >= KNOWN_FROM) & (F.length("w") > 0)).select("w")
+    known = tri.groupBy(F.col("b").alias("w")).agg(F.sum(F.col("n") + F.col("ends")).alias("n")).filter((F.col("n") >= KNOWN_FROM) & (F.length("w") > 0)).select("w")
     limits = field_limits(ends)
     d = with_next_start(ends)
     d = d.withColumn("last", F.regexp_replace(F.coalesce("last", F.lit("")), END_MARKS, "")).withColumn("w", norm("last")).withColumn("n1", F.coalesce(norm("next"), F.lit("")))
-    d = d.withColumn("joined", F.concat("w", "n1")).withColumn("compound", F.concat("w", F.lit("-"), "n1"))
-    for c in ("w", "joined", "compound", "n1"):
+    d = d.withColumn("joined", F.concat("w", "n1"))
+    for c in ("w", "joined", "n1"):
         d = d.join(known.select(F.col("w").alias(c), F.lit(True).alias(f"k_{c}")), c, "left")
-    d = d.na.fill(False, ["k_w", "k_joined", "k_compound", "k_n1"])
+    d = d.na.fill(False, ["k_w", "k_joined", "k_n1"])
     for m in ("chars", "bytes"):
         of = limits.filter(F.col("measure") == m).select(F.col("ocr_system").alias("_s"), F.col("size").alias("_n"), F.lit(True).alias(f"at_{m}"))
         d = d.join(of, d["ocr_system"].eqNullSafe(F.col("_s")) & (d[m] == F.col("_n")), "left").drop("_s", "_n")
@@ -127,19 +158,19 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     wordlike = F.col("last").rlike(r"[\p{L}\p{M}]$") & ~F.col("w").rlike(r"\p{N}")
     fragment = open_end.filter(wordlike & ~F.col("k_w") & ~(F.col("k_joined") & (F.col("ends_with") == "body"))).select("hocr_id", "page_idx", "w2", "w1", "w")
     # final trigrams joined with those inside: the same two words going on from the fragment's letters
-    inside = tri.select(F.col("a").alias("w2"), F.col("b").alias("w1"), "c")
+    inside = tri.filter("n > 0").select(F.col("a").alias("w2"), F.col("b").alias("w1"), "c")
     grown = fragment.join(inside, ["w2", "w1"]).filter(F.col("c").startswith(F.col("w")) & (F.length("c") > F.length("w"))).select("hocr_id", "page_idx")
     openings = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - 1, F.lit(1))), lambda k: F.substring("w", F.lit(1), k))).alias("w")).distinct()
     begun = fragment.join(openings, "w").select("hocr_id", "page_idx")
     cut_word = grown.unionByName(begun).distinct().withColumn("cut_word", F.lit(True))
 
-    # an open page's known last word that the next page doesn't go on from: no trigram inside goes over the seam, and a new sentence begins
+    # a known last word that the next page doesn't go on from; on an unclosed page it is enough that a new sentence begins and no trigram or pair inside goes over the seam
+    seam = open_end.filter((F.col("ends_with") == "body") & wordlike & F.col("k_w"))
     upper = F.col("next").rlike(r"^\p{Lu}\p{Ll}") & ~F.col("last").rlike(r"\p{Lu}$")
-    seam = open_end.filter(~F.col("closed") & (F.col("ends_with") == "body") & wordlike & F.col("k_w") & F.col("k_n1") & upper & ~F.col("next_heading")).select("hocr_id", "page_idx", "w1", "w", "n1")
-    pairs = tri.groupBy(F.col("a").alias("w"), F.col("b").alias("n1")).agg(F.sum("n").alias("pair_n"))
-    threes = tri.select(F.col("a").alias("w1"), F.col("b").alias("w"), F.col("c").alias("n1"), F.col("n").alias("tri_n"))
-    over = seam.join(pairs, ["w", "n1"], "left").join(threes, ["w1", "w", "n1"], "left")
-    broken = over.filter(F.col("pair_n").isNull() & F.col("tri_n").isNull()).select("hocr_id", "page_idx").distinct().withColumn("cut_sentence", F.lit(True))
+    unclosed = seam.filter(~F.col("closed") & F.col("k_n1") & upper & ~F.col("next_heading")).select("hocr_id", "page_idx", "w", "n1")
+    unclosed = unclosed.join(tri.filter("n > 0").select(F.col("a").alias("w"), F.col("b").alias("n1")), ["w", "n1"], "left_anti").select("hocr_id", "page_idx")
+    broken = broken_seams(seam.select("hocr_id", "page_idx", "w2", "w1", "w", F.col("next_starts").alias("starts")), tri, known)
+    broken = broken.unionByName(unclosed).distinct().withColumn("cut_sentence", F.lit(True))
 
     d = _by_page(_by_page(d, cut_word), broken)
     reason = F.when(F.col("in_tag"), "tag").when(F.col("limit"), "limit").when(F.col("cut_word"), "word").when(F.col("cut_sentence"), "sentence")

@@ -206,6 +206,15 @@ def test_truncated_pages(spark):
     assert truncation.judged_pages(df.limit(0)).count() == 0
 
 
+def test_cut_between_known_words(spark):
+    known = ["then the leaf of the book was bound and then", "and then the book of the leaf was read"] * 60
+    ends = ["so the leaf of the", "so the leaf of the", "so the leaf of the"]
+    nexts = [["was bound and then the leaf", "was read"], ["BOUND THE", "THEN THE", "book was read and then the leaf"], ["mis5ead and then the leaf", "was read"]]
+    rows = [(10 * k, f"v{k}", "s", None, [page(*known, end), page(*start, *known)], T1) for k, (end, start) in enumerate(zip(ends, nexts, strict=True))]
+    got = {(r.hocr_id, r.page_idx): r.reason for r in truncation.judged_pages(spark.createDataFrame(rows, HOCR)).collect()}
+    assert {k: v for k, v in got.items() if v} == {(0, 0): "sentence"} and len(got) == 6
+
+
 def test_field_limit(spark):
     body = page(*["the leaf of the collection was read again"] * 9)
     rows = [(k, "v", "s", None, [(f"<!-- {k:05d} -->" + body * 2)[:1501]], T1) for k in range(8)] + [(100, "v", "s", None, ["<div class='ocr_page'>" + "x " * 739 + "</div>"], T1)]
