@@ -27,6 +27,8 @@ KNOWN_FROM, LIMIT_FROM = 4, 4
 #: Lines of the next page that are tried as its start (running titles come first), and how often a follower
 #: may be due that was never seen, for a seam without a known one to tell a cut.
 STARTS, NEW_DUE = 3, 0.02
+#: Share of a known last word, beside the words that go on from its letters after the same two words, up to which it is a fragment.
+FRAGMENT_SHARE = 0.2
 LINE_TAG = r"(?i)<(?:span|div|p)\b[^<>]*?\bocr_line\b[^<>]*(?:>|$)"
 #: Marks that producers put behind a page's end; they tell nothing by themselves.
 END_MARKS = r"(?:\s*(?:…|\.\.+|\[(?:\.{3}|…)\]|\((?:cont|forts|suite)\.?\)))+\s*$"
@@ -109,6 +111,30 @@ def broken_seams(seam: DataFrame, tri: DataFrame, known: DataFrame) -> DataFrame
     return per_page.filter("odd = 0 AND words > 0 AND threes = 0 AND (by_two OR (by_one AND twos = 0))").select("hocr_id", "page_idx")
 
 
+def known_fragments(ends: DataFrame, tri: DataFrame) -> DataFrame:
+    """(hocr_id, page_idx) of pages (hocr_id, page_idx, w2, w1, w, starts) whose known last word is part of a longer one.
+
+    A form may be known because it is one, or because it was misread or cut often enough; so trigrams judge,
+    by shares: after the same two words longer words with these letters stand inside, this one hardly or
+    never. The page is complete if a trigram inside goes over the seam, with the word or with what the
+    next page makes of it, or if the word has its place inside and a pair goes over.
+    """
+    inside = tri.filter("n > 0")
+    letter = lambda c: F.substring(c, 1, 1).alias("first")
+    longer = inside.select(F.col("a").alias("w2"), F.col("b").alias("w1"), letter("c"), "c", "n")
+    at = ends.select("w2", "w1", "w").distinct()
+    at = at.join(inside.select(F.col("a").alias("w2"), F.col("b").alias("w1"), F.col("c").alias("w"), F.col("n").alias("own")), ["w2", "w1", "w"], "left").na.fill(0, ["own"])
+    grown = at.select("*", letter("w")).join(longer, ["w2", "w1", "first"]).filter(F.col("c").startswith(F.col("w")) & (F.length("c") > F.length("w"))).groupBy("w2", "w1", "w", "own").agg(F.sum("n").alias("grown"))
+    parts = grown.filter((F.col("own") + 1) / (F.col("own") + F.col("grown") + 1) <= FRAGMENT_SHARE)
+    d = ends.join(parts, ["w2", "w1", "w"]).select("hocr_id", "page_idx", "w2", "w1", "w", "own", F.explode_outer("starts").alias("n1"))
+    over = inside.select(F.col("a").alias("w1"), F.col("b").alias("w"), F.col("c").alias("n1"), F.lit(1).alias("goes_on"))
+    made = inside.select(F.col("a").alias("w2"), F.col("b").alias("w1"), F.col("c").alias("whole"), F.lit(1).alias("made"))
+    pairs = inside.select(F.col("a").alias("w"), F.col("b").alias("n1")).distinct().withColumn("pair", F.lit(1))
+    d = d.join(over, ["w1", "w", "n1"], "left").join(pairs, ["w", "n1"], "left").withColumn("whole", F.concat("w", "n1")).join(made, ["w2", "w1", "whole"], "left")
+    complete = F.col("goes_on").isNotNull() | F.col("made").isNotNull() | ((F.col("own") > 0) & F.col("pair").isNotNull())
+    return d.groupBy("hocr_id", "page_idx").agg(F.count_if(complete).alias("complete")).filter("complete = 0").select("hocr_id", "page_idx")
+
+
 def field_limits(ends: DataFrame) -> DataFrame:
     """(ocr_system, measure, size): lengths at which a source's pages mostly stop within a tag."""
     sizes = ends.select("ocr_system", "in_tag", F.explode(F.map_from_arrays(F.array(F.lit("chars"), F.lit("bytes")), F.array("chars", "bytes"))).alias("measure", "size"))
@@ -162,7 +188,8 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     grown = fragment.join(inside, ["w2", "w1"]).filter(F.col("c").startswith(F.col("w")) & (F.length("c") > F.length("w"))).select("hocr_id", "page_idx")
     openings = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - 1, F.lit(1))), lambda k: F.substring("w", F.lit(1), k))).alias("w")).distinct()
     begun = fragment.join(openings, "w").select("hocr_id", "page_idx")
-    cut_word = grown.unionByName(begun).distinct().withColumn("cut_word", F.lit(True))
+    maybe = open_end.filter(wordlike & F.col("k_w") & ~(F.col("k_joined") & (F.col("ends_with") == "body"))).select("hocr_id", "page_idx", "w2", "w1", "w", F.col("next_starts").alias("starts"))
+    cut_word = grown.unionByName(begun).unionByName(known_fragments(maybe, tri)).distinct().withColumn("cut_word", F.lit(True))
 
     # a known last word that the next page doesn't go on from; on an unclosed page it is enough that a new sentence begins and no trigram or pair inside goes over the seam
     seam = open_end.filter((F.col("ends_with") == "body") & wordlike & F.col("k_w"))

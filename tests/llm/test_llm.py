@@ -215,6 +215,13 @@ def test_cut_between_known_words(spark):
     assert {k: v for k, v in got.items() if v} == {(0, 0): "sentence"} and len(got) == 6
 
 
+def test_cut_known_fragment(spark):
+    known = ["and there the leaf of the book was bound", "so sign l was read with the leaf"] * 8  # l is known by its count
+    rows = [(1, "v", "s", None, [page(*known, "and there the l"), page("bound in the book", *known)], T1), (9, "w", "s", None, [page(*known, "and so sign l"), page("was read with", *known)], T1), (20, "x", "s", None, [page(*known, "and there the l"), page("eaf of the book", *known)], T1)]
+    got = {(r.hocr_id, r.page_idx): r.reason for r in truncation.judged_pages(spark.createDataFrame(rows, HOCR)).collect()}
+    assert {k: v for k, v in got.items() if v} == {(1, 0): "word"} and len(got) == 6
+
+
 def test_field_limit(spark):
     body = page(*["the leaf of the collection was read again"] * 9)
     rows = [(k, "v", "s", None, [(f"<!-- {k:05d} -->" + body * 2)[:1501]], T1) for k in range(8)] + [(100, "v", "s", None, ["<div class='ocr_page'>" + "x " * 739 + "</div>"], T1)]
