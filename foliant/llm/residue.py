@@ -114,7 +114,7 @@ def has_phrase(segment: str) -> bool:
     low = segment.lower()
     if any(k in low for k in TRIGGERS) and (ERROR_PHRASES.search(segment) or SCRIPT_PHRASES.search(segment) or FILLER_PHRASES.search(segment)):
         return True
-    words = low.split(None, 400)
+    words = low.split()
     return any(a == b for a, b in zip(words, words[1:], strict=False)) and bool(REPEATED.search(segment))
 
 

@@ -328,6 +328,11 @@ def test_unfilled_fields():
     assert [t for t in other if residue.unfilled_field(t)] == []
 
 
+def test_filler_late_in_a_segment():
+    body = " ".join(f"leaf{i}" for i in range(900))
+    assert residue.has_phrase(f"{body} dolor dolor dolor dolor dolor dolor") and not residue.has_phrase(f"{body} dolor dolor")
+
+
 def test_residue(spark):
     junk = ["404 Not Found", "Error 503: the service is not available.", "Please enable JavaScript to view this scan.", "Lorem ipsum dolor sit amet ipsum.", "The page timed out. Try again later."]
     good = ["The leaf was bound in 1712.", "See page 145.", "Plate 12 is missing.", "A paragraph about the folio and its binding.", "An error message on the spine label was corrected: 429 had been read as 129."]
