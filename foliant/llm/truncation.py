@@ -1,14 +1,22 @@
 """Text cut off by field limits or in transfer: truncated pages, and the share of them by source.
 
-Method: word trigrams in pure SQL. Trigrams inside the lines of all pages are counted, and each page's
-final trigram is joined with them: a final word that hardly occurs inside texts, while trigrams that
-begin with the same two words, or at least known words, go on from just these letters, was cut. A page
-that ends within a word or sentence is complete if the trigram that goes on over to the volume's next
-page is one that occurs inside texts; it was cut if none does, though what may follow its last words is
-nearly all known (the share of followers seen once tells how often a new one is due), and other pages
-do not usually end with its final trigram. Beside the words, the ends themselves tell: a page that stops
-within a tag, or has exactly the length at which most pages of that length of its source stop within a
-tag (a field limit, in characters or bytes).
+Method: trigrams inside texts against trigrams at their ends, in pure SQL. The final trigram of every
+page is joined with the counts of all pages; a page was cut if its final trigram goes on often inside
+pages and almost never ends one. Since books go on over the page, words alone do not tell an end: the
+trigrams are taken at two levels.
+
+* **Markup.** The words are a page's tags, each with whether text or blank follows. Pages end in the
+  trigrams that close them, which never stand inside; a page that stops in its text, in a tag or before
+  its elements are closed ends in a trigram that goes on everywhere else. An unfinished last tag is
+  matched as the beginning of a word.
+* **Words.** Pages whose markup was closed after the cut end in part of a word: after the same two words,
+  else the same word, else anywhere, longer words with its letters stand inside, and the part hardly or
+  never. A page that ends between two words was cut if what its last words are followed by is nearly all
+  known (the share of followers seen once tells how often a new one is due), the next page starts with
+  none of it, and other pages do not usually end with its final trigram.
+
+A closing trigram under which most pages end in part of a word is a repair's: all its pages were cut. So
+were pages of exactly the length at which a source's pages mostly stop by their markup (a field limit).
 
 Everything is built from Spark's SQL expressions; no row goes through Python.
 """
@@ -22,37 +30,103 @@ from foliant.llm.scan import FILES_PER_PART, PAGE_NUMBER, norm, quick_norm
 from foliant.session import kept
 from foliant.sources.tables import only_current
 
-#: Times a word must stand inside lines to count as known; pages of one exact length that make a field limit.
+#: Times a word must stand inside lines to count as known; pages that make a field limit or a closing style.
 KNOWN_FROM, LIMIT_FROM = 4, 4
+#: Share of a final trigram's stops in its stops and continuations up to which it is almost never terminal.
+TERMINAL_SHARE = 0.4
 #: Lines of the next page that are tried as its start (running titles come first), and how often a follower
 #: may be due that was never seen, for a seam without a known one to tell a cut.
 STARTS, NEW_DUE = 3, 0.02
-#: Share of a known last word, beside the words that go on from its letters after the same two words, up to which it is a fragment.
+#: Share of a last word, beside the words that go on from its letters, up to which it is a fragment.
 FRAGMENT_SHARE = 0.2
-LINE_TAG = r"(?i)<(?:span|div|p)\b[^<>]*?\bocr_line\b[^<>]*(?:>|$)"
+#: Share of a form in the words that begin with its letters up to which it is no word, but what cuts and misreadings left of them.
+NOISE_SHARE = 0.01
 #: Marks that producers put behind a page's end; they tell nothing by themselves.
-END_MARKS = r"(?:\s*(?:…|\.\.+|\[(?:\.{3}|…)\]|\((?:cont|forts|suite)\.?\)))+\s*$"
+END_MARKS = r"(?:\s*(?:…|\.\.+|\x{FFFD}+|\[(?:\.{3}|…)\]|\((?:cont|forts|suite)\.?\)))+\s*$"
+#: Stands for the unfinished end of a tag, and between the parts of a context.
+UNFINISHED, AND = "?", "\x1f"
+#: Marks of a line, and of its box, in a page's text while it is taken apart.
+_LINE, _BOX = "\x01", "\x02"
 
 
 def page_texts(hocr: DataFrame) -> DataFrame:
-    """One row per non-empty page: its length, whether it stops within a tag, and its lines with their boxes."""
+    """One row per non-empty page: its lengths, its tags as words, and its lines with their boxes.
+
+    The page is split at its tags once. A comment counts as one tag; an unfinished tag or comment at the
+    end bears the mark ``UNFINISHED`` and what there is of its name.
+    """
+    keys = ["hocr_id", "volume_id", "ocr_system", "loaded_at", "page_idx", "chars", "bytes"]
+    blanks = F.lit(" \t\r\n")
     pages = hocr.select("hocr_id", "volume_id", "ocr_system", "loaded_at", F.posexplode("pages_html").alias("page_idx", "html")).filter(F.length(F.trim("html")) > 0)
-    bare = F.when(F.col("html").contains("<!--"), F.regexp_replace("html", r"(?s)<!--.*?(?:-->|\z)", " ")).otherwise(F.col("html"))
-    d = pages.select("hocr_id", "volume_id", "ocr_system", "loaded_at", "page_idx", F.char_length("html").alias("chars"), F.octet_length("html").alias("bytes"), bare.alias("t"))
-    d = d.withColumn("in_tag", F.substring("t", -400, 400).rlike(r"<[^<>]*\z")).withColumn("closed", F.substring("t", -100, 100).rlike(r"(?i)</div>\s*\z"))
-    d = d.withColumn("tags", F.regexp_extract_all("t", F.lit(LINE_TAG), F.lit(0))).withColumn("parts", F.split("t", LINE_TAG))
+    pages = pages.withColumn("chars", F.char_length("html")).withColumn("bytes", F.octet_length("html")).withColumn("t", F.rtrim("html", blanks))
+    # each pattern runs only over the pages that may need it
+    pages = pages.withColumn("t", F.when(F.substring("t", -1, 1).isin("…", ".", "\ufffd", "]", ")"), F.regexp_replace("t", END_MARKS, "")).otherwise(F.col("t")))
+    pages = pages.withColumn("t", F.when(F.col("t").contains(_LINE) | F.col("t").contains(_BOX), F.translate("t", _LINE + _BOX, "")).otherwise(F.col("t")))
+    d = pages.select(*keys, "t", F.split("t", "<").alias("c"))
+    odd = F.exists("c", lambda x: x.startswith("!--") & ~F.substring_index(x, ">", 1).endswith("--"))  # a comment with a bracket in it, or cut
+    one_word = F.regexp_replace(F.regexp_replace("t", r"(?s)<!--.*?-->", "<!-->"), r"(?s)<!--(?!>).*$", "<!--")
+    d = d.select(*keys, F.when(odd, F.split(one_word, "<")).otherwise(F.col("c")).alias("c"))
+    d = d.select(*keys, F.get("c", F.lit(0)).alias("first"), F.size("c").alias("n"), F.transform(F.slice("c", 2, F.size("c")), lambda x: F.split(x, ">", 2)).alias("c"))
+    last = F.col("n") - 2
+
+    def chunk(x: Column, i: Column) -> Column:
+        head, after = x[0], F.get(x, F.lit(1))
+        name = F.when(head.startswith("!--"), "!--").otherwise(F.lower(F.substring_index(F.substring_index(F.substring_index(head, " ", 1), "\n", 1), "\t", 1)))
+        behind = F.when(after == "", "").when(F.btrim(after, blanks) == "", "·b").otherwise("·w")
+        word = F.when(after.isNotNull(), F.concat(name, behind)).when(i == last, F.concat(F.lit(UNFINISHED), name))
+        is_line = head.contains("ocr_line") & head.rlike(r"(?i)^(?:span|div|p)\b.*?\bocr_line\b")
+        box = F.when(is_line, F.concat(F.lit(_LINE), F.regexp_extract(head, r"bbox (\d+ \d+ \d+ \d+)", 1), F.lit(_BOX))).otherwise(" ")
+        said = F.when(after.isNotNull(), F.concat(box, after)).when(i == last, box).otherwise(F.concat(F.lit("<"), head))
+        return F.struct(word.alias("word"), said.alias("said"))
+
+    d = d.withColumn("x", F.transform("c", chunk))
+    opens = F.when(F.btrim("first", blanks) != "", F.array(F.lit("^"), F.lit("^"), F.lit("text·w"))).otherwise(F.array(F.lit("^"), F.lit("^")))
+    tags = F.concat(opens, F.filter(F.col("x.word"), lambda w: w.isNotNull()))
+    text = F.concat("first", F.array_join(F.col("x.said"), ""))
+    for reference, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        text = F.replace(text, F.lit(reference), F.lit(sign))
+    d = d.select(*keys, tags.alias("tags"), text.alias("t"))
+    tidy = lambda x: F.trim(F.regexp_replace(x, r"[\s\p{Z}]+", " "))
+    number = lambda box, k: F.get(F.split(box, " "), F.lit(k)).try_cast("int")
+
+    def line(x: Column) -> Column:
+        box = F.substring_index(x, _BOX, 1)
+        return F.struct(number(box, 0).alias("x0"), number(box, 1).alias("y0"), number(box, 3).alias("y1"), F.trim(F.substring_index(x, _BOX, -1)).alias("text"))
+
+    none = F.lit(None).cast("int")
+    boxed = F.transform(F.slice(F.split(tidy(F.col("t")), _LINE), 2, F.length("t")), line)
+    loose = F.transform(F.split("t", "\n"), lambda x: F.struct(none.alias("x0"), none.alias("y0"), none.alias("y1"), tidy(x).alias("text")))
+    lines = F.filter(F.when(F.col("t").contains(_LINE), boxed).otherwise(loose), lambda x: F.length(x["text"]) > 0)
+    return d.select(*keys, "tags", lines.alias("lines"))
+
+
+# Trigrams of markup.
+
+
+def markup_trigrams(pages: DataFrame) -> DataFrame:
+    """(x, y, z, inside, ends): trigrams of tags within pages and at their ends, over all pages."""
+    n = F.size("tags")
+    each = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.get("tags", i).alias("x"), F.get("tags", i + 1).alias("y"), F.get("tags", i + 2).alias("z"), (i == n - 3).alias("end")))
+    return pages.filter(n >= 3).select(F.explode(each).alias("t")).groupBy("t.x", "t.y", "t.z").agg(F.count_if(~F.col("t.end")).alias("inside"), F.count_if("t.end").alias("ends"))
+
+
+def markup_verdicts(trigrams: DataFrame) -> DataFrame:
+    """(x, y, z, stops, goes_on, is_cut) of each final trigram.
+
+    It goes on wherever its first two tags are followed, inside a page, by its third or by one that begins
+    with it; an unfinished tag also where a page ends with the finished one.
+    """
+    prefixes = F.transform(F.sequence(F.lit(0), F.length("z")), lambda k: F.substring("z", F.lit(1), k))
+    finished = trigrams.filter(~F.col("z").startswith(UNFINISHED))
+    on = finished.select("x", "y", F.explode(prefixes).alias("part"), "inside", "ends").groupBy("x", "y", "part").agg(F.sum("inside").alias("inside_on"), F.sum("ends").alias("ends_on"))
+    unfinished = F.col("z").startswith(UNFINISHED)
+    final = trigrams.filter("ends > 0").select("x", "y", "z", F.col("ends").alias("stops"), F.when(unfinished, F.substring("z", 2, F.length("z"))).otherwise(F.col("z")).alias("part"))
+    d = final.join(on, ["x", "y", "part"], "left").na.fill(0, ["inside_on", "ends_on"])
+    goes_on = F.col("inside_on") + F.when(unfinished, F.col("ends_on")).otherwise(0)
+    return d.select("x", "y", "z", "stops", goes_on.alias("goes_on")).withColumn("is_cut", (F.col("goes_on") > 0) & (F.col("stops") / (F.col("stops") + F.col("goes_on")) <= TERMINAL_SHARE))
 
-    def text(part: Column) -> Column:
-        plain = F.regexp_replace(part, r"<[^<>]*(?:>|\z)", " ")
-        for reference, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-            plain = F.replace(plain, F.lit(reference), F.lit(sign))
-        return F.trim(F.regexp_replace(plain, r"[\s\p{Z}]+", " "))
 
-    number = lambda tag, k: F.try_element_at(F.split(F.regexp_extract(tag, r"bbox (\d+ \d+ \d+ \d+)", 1), " "), F.lit(k)).try_cast("int")
-    boxed = F.zip_with("tags", F.slice("parts", 2, 1_000_000), lambda tag, part: F.struct(number(tag, 1).alias("x0"), number(tag, 2).alias("y0"), number(tag, 4).alias("y1"), text(part).alias("text")))
-    loose = F.transform(F.split("t", "\n"), lambda part: F.struct(F.lit(None).cast("int").alias("x0"), F.lit(None).cast("int").alias("y0"), F.lit(None).cast("int").alias("y1"), text(part).alias("text")))
-    lines = F.filter(F.when(F.size("tags") > 0, boxed).otherwise(loose), lambda x: F.length(x["text"]) > 0)
-    return d.select("hocr_id", "volume_id", "ocr_system", "loaded_at", "page_idx", "chars", "bytes", "in_tag", "closed", lines.alias("lines"))
+# Trigrams of words.
 
 
 def with_ends(pages: DataFrame) -> DataFrame:
@@ -73,7 +147,7 @@ def with_ends(pages: DataFrame) -> DataFrame:
     prior = F.split(F.coalesce(before["text"], F.lit("")), " ")
     words = F.when(F.size(tail) >= 3, tail).otherwise(F.concat(F.when(F.col("n") > F.when(header, 2).otherwise(1), prior).otherwise(F.array().cast("array<string>")), tail))
     return d.select(
-        "hocr_id", "volume_id", "ocr_system", "loaded_at", "page_idx", "chars", "bytes", "in_tag", "closed",
+        "hocr_id", "volume_id", "ocr_system", "loaded_at", "page_idx", "chars", "bytes", *(F.get("tags", F.size("tags") - k).alias(c) for k, c in ((3, "x"), (2, "y"), (1, "z"))),
         F.when(pageno, "pageno").when(foot, "foot").otherwise("body").alias("ends_with"),
         F.get(F.split(start["text"], " "), F.lit(0)).alias("start"), starts.alias("starts"), yes(high(start) > 1.3 * F.col("med")).alias("starts_heading"),
         F.get(words, F.size(words) - 1).alias("last"), norm(F.get(words, F.size(words) - 2)).alias("w1"), norm(F.get(words, F.size(words) - 3)).alias("w2"),
@@ -82,12 +156,13 @@ def with_ends(pages: DataFrame) -> DataFrame:
 
 def inner_trigrams(pages: DataFrame) -> DataFrame:
     """(a, b, c, n, ends): how often three words stand side by side inside a line, and at a page's end."""
-    toks = pages.select(F.size("lines").alias("_n"), F.posexplode("lines").alias("_i", "l")).select((F.col("_i") == F.col("_n") - 1).alias("is_last"), F.transform(F.split(F.col("l.text"), " "), quick_norm).alias("s"))
+    lines = pages.select(F.size("lines").alias("_n"), F.posexplode("lines").alias("_i", "l")).select((F.col("_i") == F.col("_n") - 1).alias("is_last"), F.col("l.text").alias("text"))
+    toks = lines.select("is_last", F.transform(F.split(F.when(F.col("is_last"), F.regexp_replace("text", END_MARKS, "")).otherwise(F.col("text")), " "), quick_norm).alias("s"))
     three = F.transform(F.sequence(F.lit(0), F.size("s") - 3), lambda i: F.struct(F.get("s", i).alias("a"), F.get("s", i + 1).alias("b"), F.get("s", i + 2).alias("c"), (F.col("is_last") & (i == F.size("s") - 3)).alias("end")))
     return toks.filter(F.size("s") >= 3).select(F.explode(three).alias("t")).select("t.*").groupBy("a", "b", "c").agg(F.count_if(~F.col("end")).alias("n"), F.count_if("end").alias("ends"))
 
 
-def broken_seams(seam: DataFrame, tri: DataFrame, known: DataFrame) -> DataFrame:
+def broken_seams(seam: DataFrame, tri: DataFrame) -> DataFrame:
     """(hocr_id, page_idx) of pages (hocr_id, page_idx, w2, w1, w, starts) that the volume's next page does not go on from.
 
     What follows the last two words decides, or else what follows the last one: if hardly a follower is new
@@ -96,6 +171,7 @@ def broken_seams(seam: DataFrame, tri: DataFrame, known: DataFrame) -> DataFrame
     that ends pages more often than it stands inside.
     """
     inside = tri.filter("n > 0")
+    known = inside.groupBy(F.col("c").alias("n1")).agg(F.sum("n").alias("_n")).filter((F.col("_n") >= KNOWN_FROM) & (F.length("n1") > 0)).select("n1", F.lit(True).alias("k_n1"))
     pairs = inside.groupBy("a", "b").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once"))
     singles = pairs.groupBy(F.col("a").alias("w")).agg(F.sum("n").alias("n_1"), F.count_if(F.col("n") == 1).alias("once_1"))
     due = lambda n, once: F.coalesce((F.col(once) + 1) / (F.col(n) + 1) <= NEW_DUE, F.lit(False))
@@ -103,7 +179,7 @@ def broken_seams(seam: DataFrame, tri: DataFrame, known: DataFrame) -> DataFrame
     d = d.withColumn("by_two", due("n_2", "once_2")).withColumn("by_one", due("n_1", "once_1")).filter("by_two OR by_one")
     usual = tri.filter("ends - 1 > n").select(F.col("a").alias("w2"), F.col("b").alias("w1"), F.col("c").alias("w"))
     d = d.join(usual, ["w2", "w1", "w"], "left_anti").select("hocr_id", "page_idx", "w1", "w", "by_two", "by_one", F.explode("starts").alias("n1"))
-    d = d.join(known.select(F.col("w").alias("n1"), F.lit(True).alias("k_n1")), "n1", "left")
+    d = d.join(known, "n1", "left")
     d = d.join(inside.select(F.col("a").alias("w1"), F.col("b").alias("w"), F.col("c").alias("n1"), F.col("n").alias("tri_n")), ["w1", "w", "n1"], "left")
     d = d.join(pairs.select(F.col("a").alias("w"), F.col("b").alias("n1"), F.col("n").alias("pair_n")), ["w", "n1"], "left")
     odd = F.col("k_n1").isNull() & F.col("n1").rlike(r"\p{L}")
@@ -111,34 +187,58 @@ def broken_seams(seam: DataFrame, tri: DataFrame, known: DataFrame) -> DataFrame
     return per_page.filter("odd = 0 AND words > 0 AND threes = 0 AND (by_two OR (by_one AND twos = 0))").select("hocr_id", "page_idx")
 
 
-def known_fragments(ends: DataFrame, tri: DataFrame) -> DataFrame:
-    """(hocr_id, page_idx) of pages (hocr_id, page_idx, w2, w1, w, starts) whose known last word is part of a longer one.
+def continuations(tri: DataFrame, asked: DataFrame) -> DataFrame:
+    """asked (ctx, w) with ``own``, how often w stands inside lines in its context, and ``longer``, how often a longer word with its letters does.
+
+    A context is two words before, one, or none (see ``contexts``). Only contexts asked for are looked at,
+    and each asked word meets one row of sums: no pair of pages or words is formed.
+    """
+    inside = tri.filter("n > 0")
+    two = inside.select(F.concat_ws(AND, "a", "b").alias("ctx"), "c", "n")
+    one = inside.groupBy(F.concat(F.lit(AND), "b").alias("ctx"), "c").agg(F.sum("n").alias("n"))
+    none = one.groupBy("c").agg(F.sum("n").alias("n")).select(F.lit("").alias("ctx"), "c", "n")
+    every = two.unionByName(one).join(asked.filter("ctx <> ''").select("ctx").distinct(), "ctx", "left_semi").unionByName(none)
+    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.length("c"), F.lit(1))), lambda k: F.substring("c", F.lit(1), k))
+    sums = every.filter(F.length("c") > 0).select("ctx", "c", "n", F.explode(parts).alias("w")).groupBy("ctx", "w").agg(F.sum(F.when(F.col("c") == F.col("w"), F.col("n")).otherwise(0)).alias("own"), F.sum(F.when(F.col("c") != F.col("w"), F.col("n")).otherwise(0)).alias("longer"))
+    return asked.join(sums, ["ctx", "w"], "left").na.fill(0, ["own", "longer"])
+
+
+def contexts() -> dict[str, Column]:
+    """The contexts of a page's last word (w2, w1, w), from the nearest."""
+    return {"3": F.concat_ws(AND, F.coalesce("w2", F.lit("")), F.coalesce("w1", F.lit(""))), "2": F.concat(F.lit(AND), F.coalesce("w1", F.lit(""))), "1": F.lit("")}
 
-    A form may be known because it is one, or because it was misread or cut often enough; so trigrams judge,
-    by shares: after the same two words longer words with these letters stand inside, this one hardly or
-    never. The page is complete if a trigram inside goes over the seam, with the word or with what the
-    next page makes of it, or if the word has its place inside and a pair goes over.
+
+def word_evidence(pages: DataFrame, tri: DataFrame) -> DataFrame:
+    """Pages (hocr_id, page_idx, w2, w1, w, n1) with own_K and longer_K for K of 3, 2, 1 words, and whether ``n1`` and ``joined`` are known."""
+    roles = [F.struct(F.lit(k).alias("role"), c.alias("ctx"), F.col("w").alias("w")) for k, c in contexts().items()]
+    roles += [F.struct(F.lit(c).alias("role"), F.lit("").alias("ctx"), F.col(c).alias("w")) for c in ("joined", "n1")]
+    each = pages.select("hocr_id", "page_idx", F.explode(F.array(*roles)).alias("r")).select("hocr_id", "page_idx", "r.*").filter(F.length("w") > 0)
+    found = continuations(tri, each.select("ctx", "w").distinct())
+    got = each.join(found, ["ctx", "w"])
+    pick = lambda role, c: F.coalesce(F.max(F.when(F.col("role") == role, F.col(c))), F.lit(0))
+    return got.groupBy("hocr_id", "page_idx").agg(*(pick(k, c).alias(f"{c}_{k}") for k in "321" for c in ("own", "longer")), (pick("joined", "own") >= KNOWN_FROM).alias("k_joined"), (pick("n1", "own") >= KNOWN_FROM).alias("k_n1"))
+
+
+def goes_over(ends: DataFrame, tri: DataFrame) -> DataFrame:
+    """(hocr_id, page_idx) of pages (hocr_id, page_idx, w2, w1, w, own, starts) whose known last word goes on over the seam.
+
+    A trigram inside goes over it with the word or with what the next page makes of it, or the word has
+    its place inside and a pair goes over.
     """
     inside = tri.filter("n > 0")
-    letter = lambda c: F.substring(c, 1, 1).alias("first")
-    longer = inside.select(F.col("a").alias("w2"), F.col("b").alias("w1"), letter("c"), "c", "n")
-    at = ends.select("w2", "w1", "w").distinct()
-    at = at.join(inside.select(F.col("a").alias("w2"), F.col("b").alias("w1"), F.col("c").alias("w"), F.col("n").alias("own")), ["w2", "w1", "w"], "left").na.fill(0, ["own"])
-    grown = at.select("*", letter("w")).join(longer, ["w2", "w1", "first"]).filter(F.col("c").startswith(F.col("w")) & (F.length("c") > F.length("w"))).groupBy("w2", "w1", "w", "own").agg(F.sum("n").alias("grown"))
-    parts = grown.filter((F.col("own") + 1) / (F.col("own") + F.col("grown") + 1) <= FRAGMENT_SHARE)
-    d = ends.join(parts, ["w2", "w1", "w"]).select("hocr_id", "page_idx", "w2", "w1", "w", "own", F.explode_outer("starts").alias("n1"))
+    d = ends.select("hocr_id", "page_idx", "w2", "w1", "w", "own", F.explode("starts").alias("n1"))
     over = inside.select(F.col("a").alias("w1"), F.col("b").alias("w"), F.col("c").alias("n1"), F.lit(1).alias("goes_on"))
     made = inside.select(F.col("a").alias("w2"), F.col("b").alias("w1"), F.col("c").alias("whole"), F.lit(1).alias("made"))
     pairs = inside.select(F.col("a").alias("w"), F.col("b").alias("n1")).distinct().withColumn("pair", F.lit(1))
     d = d.join(over, ["w1", "w", "n1"], "left").join(pairs, ["w", "n1"], "left").withColumn("whole", F.concat("w", "n1")).join(made, ["w2", "w1", "whole"], "left")
     complete = F.col("goes_on").isNotNull() | F.col("made").isNotNull() | ((F.col("own") > 0) & F.col("pair").isNotNull())
-    return d.groupBy("hocr_id", "page_idx").agg(F.count_if(complete).alias("complete")).filter("complete = 0").select("hocr_id", "page_idx")
+    return d.filter(complete).select("hocr_id", "page_idx").distinct()
 
 
 def field_limits(ends: DataFrame) -> DataFrame:
-    """(ocr_system, measure, size): lengths at which a source's pages mostly stop within a tag."""
-    sizes = ends.select("ocr_system", "in_tag", F.explode(F.map_from_arrays(F.array(F.lit("chars"), F.lit("bytes")), F.array("chars", "bytes"))).alias("measure", "size"))
-    counted = sizes.groupBy("ocr_system", "measure", "size").agg(F.count("*").alias("n"), F.avg(F.col("in_tag").cast("double")).alias("stopped"))
+    """(ocr_system, measure, size): lengths at which a source's pages mostly stop by their markup."""
+    sizes = ends.select("ocr_system", "is_cut", F.explode(F.map_from_arrays(F.array(F.lit("chars"), F.lit("bytes")), F.array("chars", "bytes"))).alias("measure", "size"))
+    counted = sizes.groupBy("ocr_system", "measure", "size").agg(F.count("*").alias("n"), F.avg(F.col("is_cut").cast("double")).alias("stopped"))
     found = counted.filter((F.col("n") >= LIMIT_FROM) & (F.col("stopped") >= 0.5))
     # pages cut at one number of characters spread over some numbers of bytes, and the other way round:
     # the lengths that most pages share are the limits, the spread is none
@@ -162,45 +262,40 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     """(hocr_id, page_idx, ocr_system, truncated, reason) of every non-empty page of the current files.
 
     Null and empty pages are none; a file of null id or source counts like any other; files delivered
-    again count once. Counts of trigrams and lengths are taken over all pages.
+    again count once. Counts of trigrams and lengths are taken over all pages. Reasons, the first that
+    holds: ``tag`` (within a tag), ``markup`` (before its elements are closed), ``word`` (within a word),
+    ``repair`` (closed by a repair), ``limit``, ``sentence`` (between two words).
     """
     pages = kept(page_texts(hocr))  # a tenth of the markup; ends and trigrams are both made from it
-    ends = kept(only_current(with_ends(pages), hocr, "hocr_id").dropDuplicates(["hocr_id", "page_idx"]).drop("loaded_at"))
+    ends = kept(with_next_start(only_current(with_ends(pages), hocr, "hocr_id").dropDuplicates(["hocr_id", "page_idx"]).drop("loaded_at")))
     tri = kept(inner_trigrams(pages))
-    known = tri.groupBy(F.col("b").alias("w")).agg(F.sum(F.col("n") + F.col("ends")).alias("n")).filter((F.col("n") >= KNOWN_FROM) & (F.length("w") > 0)).select("w")
-    limits = field_limits(ends)
-    d = with_next_start(ends)
+    final = kept(markup_verdicts(markup_trigrams(pages)).select("x", "y", "z", "is_cut", "goes_on"))
+
+    d = ends.join(final, ["x", "y", "z"], "left").na.fill(False, ["is_cut"])
     d = d.withColumn("last", F.regexp_replace(F.coalesce("last", F.lit("")), END_MARKS, "")).withColumn("w", norm("last")).withColumn("n1", F.coalesce(norm("next"), F.lit("")))
     d = d.withColumn("joined", F.concat("w", "n1"))
-    for c in ("w", "joined", "n1"):
-        d = d.join(known.select(F.col("w").alias(c), F.lit(True).alias(f"k_{c}")), c, "left")
-    d = d.na.fill(False, ["k_w", "k_joined", "k_n1"])
+    wordlike = F.col("last").rlike(r"[\p{L}\p{M}]$") & ~F.col("w").rlike(r"\p{N}")
+    closed = d.filter(~F.col("is_cut") & (F.col("ends_with") != "pageno") & wordlike).select("hocr_id", "page_idx", "w2", "w1", "w", "n1", "joined", "next_starts", "ends_with")
+    seen = kept(_by_page(closed, word_evidence(closed, tri)).na.fill(0, [f"{c}_{k}" for k in "321" for c in ("own", "longer")]).na.fill(False, ["k_joined", "k_n1"]))
+    whole = F.col("k_joined") & (F.col("ends_with") == "body")
+    known = (F.col("own_1") >= KNOWN_FROM) & (F.col("own_1") > NOISE_SHARE * F.col("longer_1"))
+    share = lambda k: (F.col(f"own_{k}") + 1) / (F.col(f"own_{k}") + F.col(f"longer_{k}") + 1) <= FRAGMENT_SHARE
+    nearer = lambda k: (F.col(f"longer_{k}") > 0) & (F.col(f"own_{k}") == 0) | share(k)
+    part = seen.filter(~known & ~whole & (nearer("3") | nearer("2") | share("1"))).select("hocr_id", "page_idx")
+    doubtful = seen.filter(known & ~whole & share("3")).select("hocr_id", "page_idx", "w2", "w1", "w", F.col("own_3").alias("own"), F.col("next_starts").alias("starts"))
+    part = part.unionByName(doubtful.select("hocr_id", "page_idx").exceptAll(goes_over(doubtful, tri))).withColumn("cut_word", F.lit(True))
+    seam = seen.filter((F.col("ends_with") == "body") & known)
+    broken = broken_seams(seam.select("hocr_id", "page_idx", "w2", "w1", "w", F.col("next_starts").alias("starts")), tri).withColumn("cut_sentence", F.lit(True))
+
+    d = kept(_by_page(_by_page(d.select("hocr_id", "page_idx", "ocr_system", "x", "y", "z", "chars", "bytes", "is_cut", "goes_on"), part), broken).na.fill(False, ["cut_word", "cut_sentence"]))
+    repairs = d.filter(~F.col("is_cut")).groupBy("x", "y", "z").agg(F.count("*").alias("n"), F.avg(F.col("cut_word").cast("double")).alias("parts")).filter((F.col("n") >= LIMIT_FROM) & (F.col("parts") >= 0.5))
+    d = d.join(repairs.select("x", "y", "z", F.lit(True).alias("repair")), ["x", "y", "z"], "left").na.fill(False, ["repair"])
+    limits = field_limits(d)
     for m in ("chars", "bytes"):
         of = limits.filter(F.col("measure") == m).select(F.col("ocr_system").alias("_s"), F.col("size").alias("_n"), F.lit(True).alias(f"at_{m}"))
         d = d.join(of, d["ocr_system"].eqNullSafe(F.col("_s")) & (d[m] == F.col("_n")), "left").drop("_s", "_n")
-    d = kept(d.withColumn("limit", F.coalesce("at_chars", "at_bytes", F.lit(False))))
-
-    open_end = d.filter(~F.col("in_tag") & ~F.col("limit") & (F.col("ends_with") != "pageno"))
-    wordlike = F.col("last").rlike(r"[\p{L}\p{M}]$") & ~F.col("w").rlike(r"\p{N}")
-    fragment = open_end.filter(wordlike & ~F.col("k_w") & ~(F.col("k_joined") & (F.col("ends_with") == "body"))).select("hocr_id", "page_idx", "w2", "w1", "w")
-    # final trigrams joined with those inside: the same two words going on from the fragment's letters
-    inside = tri.filter("n > 0").select(F.col("a").alias("w2"), F.col("b").alias("w1"), "c")
-    grown = fragment.join(inside, ["w2", "w1"]).filter(F.col("c").startswith(F.col("w")) & (F.length("c") > F.length("w"))).select("hocr_id", "page_idx")
-    openings = known.select(F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length("w") - 1, F.lit(1))), lambda k: F.substring("w", F.lit(1), k))).alias("w")).distinct()
-    begun = fragment.join(openings, "w").select("hocr_id", "page_idx")
-    maybe = open_end.filter(wordlike & F.col("k_w") & ~(F.col("k_joined") & (F.col("ends_with") == "body"))).select("hocr_id", "page_idx", "w2", "w1", "w", F.col("next_starts").alias("starts"))
-    cut_word = grown.unionByName(begun).unionByName(known_fragments(maybe, tri)).distinct().withColumn("cut_word", F.lit(True))
-
-    # a known last word that the next page doesn't go on from; on an unclosed page it is enough that a new sentence begins and no trigram or pair inside goes over the seam
-    seam = open_end.filter((F.col("ends_with") == "body") & wordlike & F.col("k_w"))
-    upper = F.col("next").rlike(r"^\p{Lu}\p{Ll}") & ~F.col("last").rlike(r"\p{Lu}$")
-    unclosed = seam.filter(~F.col("closed") & F.col("k_n1") & upper & ~F.col("next_heading")).select("hocr_id", "page_idx", "w", "n1")
-    unclosed = unclosed.join(tri.filter("n > 0").select(F.col("a").alias("w"), F.col("b").alias("n1")), ["w", "n1"], "left_anti").select("hocr_id", "page_idx")
-    broken = broken_seams(seam.select("hocr_id", "page_idx", "w2", "w1", "w", F.col("next_starts").alias("starts")), tri, known)
-    broken = broken.unionByName(unclosed).distinct().withColumn("cut_sentence", F.lit(True))
-
-    d = _by_page(_by_page(d, cut_word), broken)
-    reason = F.when(F.col("in_tag"), "tag").when(F.col("limit"), "limit").when(F.col("cut_word"), "word").when(F.col("cut_sentence"), "sentence")
+    limit = F.coalesce("at_chars", "at_bytes", F.lit(False))
+    reason = F.when(F.col("is_cut") & F.col("z").startswith(UNFINISHED), "tag").when(F.col("is_cut"), "markup").when(F.col("cut_word"), "word").when(F.col("repair"), "repair").when(limit, "limit").when(F.col("cut_sentence"), "sentence")
     return d.select("hocr_id", "page_idx", "ocr_system", reason.isNotNull().alias("truncated"), reason.alias("reason"))
 
 

@@ -222,6 +222,24 @@ def test_cut_known_fragment(spark):
     assert {k: v for k, v in got.items() if v} == {(1, 0): "word"} and len(got) == 6
 
 
+def test_cut_in_a_long_tag(spark):
+    rows = [(1, "v", "s", None, [page("the leaf of the book"), page("the leaf of the book", close=False) + '<span class="ocrx_word" title="' + "x" * 450, page("the leaf")], T1)]
+    got = {(r.hocr_id, r.page_idx): r.reason for r in truncation.judged_pages(spark.createDataFrame(rows, HOCR)).collect()}
+    assert got == {(1, 0): None, (1, 1): "tag", (1, 2): None}
+
+
+def test_cuts_come_from_trigrams(spark, monkeypatch):
+    known = ["every leaf of the collection was bound here", "the leaf of the collection was read again"] * 4
+    rows = [(1, "v", "s", None, [page(*known, "ends with the coll"), page("the leaf", close=False), page(*known)[:-9], page(*known)], T1)]
+    df = spark.createDataFrame(rows, HOCR)
+    found = lambda: [r.page_idx for r in truncation.judged_pages(df).filter("truncated").orderBy("page_idx").collect()]
+    assert found() == [0, 1, 2]
+    monkeypatch.setattr(truncation, "markup_trigrams", lambda pages: spark.createDataFrame([], "x string, y string, z string, inside long, ends long"))
+    assert found() == [0]
+    monkeypatch.setattr(truncation, "inner_trigrams", lambda pages: spark.createDataFrame([], "a string, b string, c string, n long, ends long"))
+    assert found() == []
+
+
 def test_field_limit(spark):
     body = page(*["the leaf of the collection was read again"] * 9)
     rows = [(k, "v", "s", None, [(f"<!-- {k:05d} -->" + body * 2)[:1501]], T1) for k in range(8)] + [(100, "v", "s", None, ["<div class='ocr_page'>" + "x " * 739 + "</div>"], T1)]
