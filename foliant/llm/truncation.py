@@ -114,15 +114,18 @@ def markup_verdicts(trigrams: DataFrame) -> DataFrame:
     """(x, y, z, stops, goes_on, is_cut) of each final trigram.
 
     It goes on wherever its first two tags are followed, inside a page, by its third or by one that begins
-    with it; an unfinished tag also where a page ends with the finished one.
+    with it; an unfinished tag also where a page ends with the finished one, and if its first two tags are
+    followed by none, wherever any tag begins with it.
     """
     prefixes = F.transform(F.sequence(F.lit(0), F.length("z")), lambda k: F.substring("z", F.lit(1), k))
     finished = trigrams.filter(~F.col("z").startswith(UNFINISHED))
     on = finished.select("x", "y", F.explode(prefixes).alias("part"), "inside", "ends").groupBy("x", "y", "part").agg(F.sum("inside").alias("inside_on"), F.sum("ends").alias("ends_on"))
     unfinished = F.col("z").startswith(UNFINISHED)
     final = trigrams.filter("ends > 0").select("x", "y", "z", F.col("ends").alias("stops"), F.when(unfinished, F.substring("z", 2, F.length("z"))).otherwise(F.col("z")).alias("part"))
-    d = final.join(on, ["x", "y", "part"], "left").na.fill(0, ["inside_on", "ends_on"])
-    goes_on = F.col("inside_on") + F.when(unfinished, F.col("ends_on")).otherwise(0)
+    anywhere = on.groupBy("part").agg(F.sum(F.col("inside_on") + F.col("ends_on")).alias("anywhere"))
+    d = final.join(on, ["x", "y", "part"], "left").join(anywhere, "part", "left").na.fill(0, ["inside_on", "ends_on", "anywhere"])
+    there = F.col("inside_on") + F.col("ends_on")
+    goes_on = F.when(~unfinished, F.col("inside_on")).when(there > 0, there).otherwise(F.col("anywhere"))
     return d.select("x", "y", "z", "stops", goes_on.alias("goes_on")).withColumn("is_cut", (F.col("goes_on") > 0) & (F.col("stops") / (F.col("stops") + F.col("goes_on")) <= TERMINAL_SHARE))
 
 
