@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.scan import FILES_PER_PART, PAGE_NUMBER, norm, quick_norm
+from foliant.llm.scan import FILES_PER_PART, PAGE_NUMBER, norm
 from foliant.session import kept
 from foliant.sources.tables import only_current
 
@@ -71,10 +71,12 @@ def page_texts(hocr: DataFrame) -> DataFrame:
 
     def chunk(x: Column, i: Column) -> Column:
         head, after = x[0], F.get(x, F.lit(1))
-        name = F.when(head.startswith("!--"), "!--").otherwise(F.lower(F.substring_index(F.substring_index(F.substring_index(head, " ", 1), "\n", 1), "\t", 1)))
-        behind = F.when(after == "", "").when(F.btrim(after, blanks) == "", "·b").otherwise("·w")
+        # the commonest tags are told by their first letters
+        name = F.when(head == "/span", "/span").when(head.startswith("span "), "span").when(head.startswith("!--"), "!--").otherwise(F.lower(F.substring_index(F.substring_index(F.substring_index(head, " ", 1), "\n", 1), "\t", 1)))
+        may_be_blank = after.startswith("\n") | after.startswith(" ") | after.startswith("\t") | after.startswith("\r")
+        behind = F.when(after == "", "").when(~may_be_blank, "·w").when(F.btrim(after, blanks) == "", "·b").otherwise("·w")
         word = F.when(after.isNotNull(), F.concat(name, behind)).when(i == last, F.concat(F.lit(UNFINISHED), name))
-        is_line = head.contains("ocr_line") & head.rlike(r"(?i)^(?:span|div|p)\b.*?\bocr_line\b")
+        is_line = ~head.startswith("/") & head.contains("ocr_line") & head.rlike(r"(?i)^(?:span|div|p)\b.*?\bocr_line\b")
         box = F.when(is_line, F.concat(F.lit(_LINE), F.regexp_extract(head, r"bbox (\d+ \d+ \d+ \d+)", 1), F.lit(_BOX))).otherwise(" ")
         said = F.when(after.isNotNull(), F.concat(box, after)).when(i == last, box).otherwise(F.concat(F.lit("<"), head))
         return F.struct(word.alias("word"), said.alias("said"))
@@ -106,8 +108,10 @@ def page_texts(hocr: DataFrame) -> DataFrame:
 def markup_trigrams(pages: DataFrame) -> DataFrame:
     """(x, y, z, inside, ends): trigrams of tags within pages and at their ends, over all pages."""
     n = F.size("tags")
-    each = F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.get("tags", i).alias("x"), F.get("tags", i + 1).alias("y"), F.get("tags", i + 2).alias("z"), (i == n - 3).alias("end")))
-    return pages.filter(n >= 3).select(F.explode(each).alias("t")).groupBy("t.x", "t.y", "t.z").agg(F.count_if(~F.col("t.end")).alias("inside"), F.count_if("t.end").alias("ends"))
+    three = F.arrays_zip(F.col("tags").alias("x"), F.slice("tags", 2, n).alias("y"), F.slice("tags", 3, n).alias("z"))
+    each = pages.filter(n >= 3).select((n - 3).alias("_end"), F.posexplode(three).alias("_i", "t")).filter(F.col("t.z").isNotNull())
+    end = F.col("_i") == F.col("_end")
+    return each.groupBy("t.x", "t.y", "t.z").agg(F.count_if(~end).alias("inside"), F.count_if(end).alias("ends"))
 
 
 def markup_verdicts(trigrams: DataFrame) -> DataFrame:
@@ -160,9 +164,14 @@ def with_ends(pages: DataFrame) -> DataFrame:
 def inner_trigrams(pages: DataFrame) -> DataFrame:
     """(a, b, c, n, ends): how often three words stand side by side inside a line, and at a page's end."""
     lines = pages.select(F.size("lines").alias("_n"), F.posexplode("lines").alias("_i", "l")).select((F.col("_i") == F.col("_n") - 1).alias("is_last"), F.col("l.text").alias("text"))
-    toks = lines.select("is_last", F.transform(F.split(F.when(F.col("is_last"), F.regexp_replace("text", END_MARKS, "")).otherwise(F.col("text")), " "), quick_norm).alias("s"))
-    three = F.transform(F.sequence(F.lit(0), F.size("s") - 3), lambda i: F.struct(F.get("s", i).alias("a"), F.get("s", i + 1).alias("b"), F.get("s", i + 2).alias("c"), (F.col("is_last") & (i == F.size("s") - 3)).alias("end")))
-    return toks.filter(F.size("s") >= 3).select(F.explode(three).alias("t")).select("t.*").groupBy("a", "b", "c").agg(F.count_if(~F.col("end")).alias("n"), F.count_if("end").alias("ends"))
+    said = F.when(F.col("is_last"), F.regexp_replace("text", END_MARKS, "")).otherwise(F.col("text"))
+    plain = F.translate(F.replace(F.lower(said), F.lit("ß"), F.lit("ss")), "ς", "σ")
+    toks = lines.select("is_last", F.transform(F.split(plain, " "), lambda t: F.btrim(t, F.lit(".,;:"))).alias("s"))  # as quick_norm has it
+    n = F.size("s")
+    three = F.arrays_zip(F.col("s").alias("a"), F.slice("s", 2, n).alias("b"), F.slice("s", 3, n).alias("c"))
+    each = toks.filter(n >= 3).select("is_last", (n - 3).alias("_end"), F.posexplode(three).alias("_i", "t")).filter(F.col("t.c").isNotNull())
+    end = F.col("is_last") & (F.col("_i") == F.col("_end"))
+    return each.groupBy("t.a", "t.b", "t.c").agg(F.count_if(~end).alias("n"), F.count_if(end).alias("ends"))
 
 
 def broken_seams(seam: DataFrame, tri: DataFrame) -> DataFrame:
@@ -272,7 +281,7 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     pages = kept(page_texts(hocr))  # a tenth of the markup; ends and trigrams are both made from it
     ends = kept(with_next_start(only_current(with_ends(pages), hocr, "hocr_id").dropDuplicates(["hocr_id", "page_idx"]).drop("loaded_at")))
     tri = kept(inner_trigrams(pages))
-    final = kept(markup_verdicts(markup_trigrams(pages)).select("x", "y", "z", "is_cut", "goes_on"))
+    final = kept(markup_verdicts(kept(markup_trigrams(pages))).select("x", "y", "z", "is_cut"))
 
     d = ends.join(final, ["x", "y", "z"], "left").na.fill(False, ["is_cut"])
     d = d.withColumn("last", F.regexp_replace(F.coalesce("last", F.lit("")), END_MARKS, "")).withColumn("w", norm("last")).withColumn("n1", F.coalesce(norm("next"), F.lit("")))
@@ -290,7 +299,7 @@ def judged_pages(hocr: DataFrame) -> DataFrame:
     seam = seen.filter((F.col("ends_with") == "body") & known)
     broken = broken_seams(seam.select("hocr_id", "page_idx", "w2", "w1", "w", F.col("next_starts").alias("starts")), tri).withColumn("cut_sentence", F.lit(True))
 
-    d = kept(_by_page(_by_page(d.select("hocr_id", "page_idx", "ocr_system", "x", "y", "z", "chars", "bytes", "is_cut", "goes_on"), part), broken).na.fill(False, ["cut_word", "cut_sentence"]))
+    d = kept(_by_page(_by_page(d.select("hocr_id", "page_idx", "ocr_system", "x", "y", "z", "chars", "bytes", "is_cut"), part), broken).na.fill(False, ["cut_word", "cut_sentence"]))
     repairs = d.filter(~F.col("is_cut")).groupBy("x", "y", "z").agg(F.count("*").alias("n"), F.avg(F.col("cut_word").cast("double")).alias("parts")).filter((F.col("n") >= LIMIT_FROM) & (F.col("parts") >= 0.5))
     d = d.join(repairs.select("x", "y", "z", F.lit(True).alias("repair")), ["x", "y", "z"], "left").na.fill(False, ["repair"])
     limits = field_limits(d)
