@@ -1,11 +1,16 @@
 """Template residue and error-page text: records with unfilled fields or junk in place of content.
 
-Method: a regularised linear classifier over hashed word n-grams, length and title features. Segments
-(paragraphs) of documents get weak labels from response-status and phrase patterns; hosts of the records
-(here their volumes) are held out to validate. A document is junk if the classifier calls every segment
-junk that is no heading or frame of a site, or if a segment holds a template field that was never filled;
-fields are looked for only in segments that a first, generous pass marks, then checked exactly, so that
-code samples, filled templates and texts that write about fields stay.
+Method: a regularised linear classifier over hashed n-grams, length and title features of segments
+(paragraphs), with two outputs: the segment is junk (an error message, script notice or filler), or it
+holds a template field that was never filled. The words of a segment are its n-grams for the first; for the
+second, n-grams of its signs with the shapes of the words between them. Weak labels come from
+response-status and stock phrases, and from the syntaxes of template languages; hosts of the records (here
+their volumes) are held out to validate, and so are phrases that no label was made from.
+
+A document is junk if the classifier calls every segment of its content junk (headings and the frame of a
+site are no content). It has an unfilled field if a segment has signs that may be one, the classifier sees
+one there, and an exact check finds it outside code, formulas and quotations; forms that are as well a link
+or emphasis count by the classifier alone.
 """
 
 from __future__ import annotations
@@ -17,65 +22,86 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliant.session import ensure_checkpoint_dir
-
-#: Bound of the labelled sample of segments, for each class; the classifier is fitted on the driver.
-SAMPLE_PER_CLASS = 8_000
+#: Bound of the labelled sample: documents of each stratum (texts with signs, texts of at most ``SHORT``
+#: characters, other texts), segments of one document, and segments of one output and label. The classifier is
+#: fitted on the driver.
+SAMPLE_DOCUMENTS = {"signs": 5_000, "short": 40_000, "other": 3_000}
+SHORT, SEGMENTS_EACH, SAMPLE_SEGMENTS = 600, 6, 8_000
 #: Hash space of the n-grams, strength of the L2 penalty, passes and probability from which a segment is junk.
-DIMENSIONS, PENALTY, PASSES, JUNK_FROM = 1 << 16, 1e-4, 12, 0.5
-#: Share of hosts held out, in hundredths.
-HELD_OUT = 20
+DIMENSIONS, PENALTY, PASSES, JUNK_FROM = 1 << 16, 1e-6, 120, 0.5
+#: Probability from which a segment is looked at exactly for an unfilled field.
+FIELD_FROM = 0.2
+#: Power of the inverse size of its class in a row's weight: 1 weighs both classes alike.
+POWER = 0.75
+#: Folds of hosts; each is held out once to validate.
+FOLDS = 5
 
 FENCED = re.compile(r"(?ms)^[ \t]*(```|~~~)[^\n]*\n.*?(?:^[ \t]*\1[ \t]*$|\Z)|\\begin\{(verbatim|lstlisting)\}.*?\\end\{\2\}|<(pre|code)\b[^>]*>.*?</\3>")
 INDENTED = re.compile(r"(?m)^(?: {4,}|\t)\S.*$")
 CODE_SPAN = re.compile(r"`[^`\n]+`")
 QUOTED = re.compile(r"“[^”\n]*”|„[^“”\n]*[“”]|«[^»\n]*»|\"[^\"\n]*\"")
-SEGMENT = re.compile(r"(?:\r?\n|\r| | |\x85)[ \t ]*(?:\r?\n|\r| | |\x85)\s*")
+SEGMENT = re.compile(r"(?:\r?\n|\r| | |\x85)[ \t\xa0]*(?:\r?\n|\r| | |\x85)\s*")
 WORDS = re.compile(r"[^\W\d_]+|\d+|[{}<>%$@#\[\]]")
 
-# Phrases of error pages and script notices, the weak labels' positive evidence.
-ERROR_PHRASES = re.compile(
-    r"\b(?:page|file|url|scan|image|resource)s? (?:was |were |could )?not (?:be )?found\b(?! in\b)|\b(?:error|erreur|fehler|code ошибки|код ошибки)\s*:?\s*[45]\d\d\b|\b(?:http|status)(?: code)? ?[45]\d\d\b"
-    r"|\b[45]\d\d (?:not found|forbidden|unauthorized|bad request|bad gateway|service unavailable|internal server error|gateway time-?out|too many requests|gone)\b"
-    r"|\b(?:is|are) (?:temporarily|currently) unavailable\b|\bcould not be (?:loaded|processed|displayed|retrieved|opened)\b|\btimed out\b|\brate limit(?:ed)?\b|\brequest limit\b|\baccess denied\b|\bpermission to (?:read|view|access)\b"
-    r"|\bno longer (?:here|available)\b|\brefused by the server\b|\bempty answer\b|\binvalid answer\b|\bsomething went wrong\b|\b(?:does not exist|no server)\b.*\b(?:server|available)\b|\bsession has expired\b|\bbad gateway\b|\binternal server error\b"
-    r"|^traceback \(most recent|\"error\"\s*:\s*\{|\bintrouvable\b.{0,20}$|\bnicht (?:gefunden|verfügbar)\b.*\bfehler\b|\bстраница не найдена\b|\bfailed with status\b|\bchecking your browser\b",
-    re.I,
+# Phrases of error pages, script notices and filler, the weak labels' evidence of junk (Java syntax, lower case).
+LABEL_PHRASES = (
+    r"\b(?:error|status|http)(?: code)?:? ?[45]\d\d\b",
+    r"\b[45]\d\d (?:not found|forbidden|bad gateway|service unavailable|internal server error|too many requests)\b",
+    r"\b(?:page|file|url|scan|image|resource)s? not found\b|\b(?:was|were|could) not (?:be )?found\b(?! in\b)",
+    r"\b(?:temporarily|currently) unavailable\b",
+    r"\bcould not be (?:loaded|processed|displayed|opened)\b",
+    r"\btimed out\b",
+    r"\baccess denied\b|\bpermission to (?:read|view)\b",
+    r"\bno longer (?:here|available)\b",
+    r"\bbad gateway\b|\binternal server error\b|\bsomething went wrong\b",
+    r"\bfehler:? ?[45]\d\d\b|\berreur:? ?[45]\d\d\b|ошибки:? ?[45]\d\d",
+    r"\bnicht gefunden\b|\bnicht verfügbar\b|\bintrouvable\b|страница не найдена",
+    r"^traceback \(most recent",
+    r"<noscript",
+    r"\b(?:enable|allow|requires?|needs?) (?:java ?script|js|scripts|active scripting)\b",
+    r"\bjava ?script (?:is |has been )?(?:turned off|disabled|required)\b",
+    r"\b(?:activer|activez|aktivieren sie|включите) javascript\b",
+    r"\blorem\b.*\b(?:ipsum|dolor)\b|\bipsum\b.*\b(?:lorem|dolor)\b|\bdolor\b.*\b(?:lorem|ipsum)\b",
+    r"\b(?:sample|placeholder) (?:text|paragraph)\b|\btexte provisoire\b|\bblindtext\b",
+    r"\bfoo bar\b|\btest page\b|\btest test\b",
 )
-SCRIPT_PHRASES = re.compile(
-    r"<noscript|\b(?:enable|allow|requires?|needs?|activer|activez|aktivieren|turn on|включите)\b.{0,20}\b(?:java ?script|js|scripts?|active scripting)\b|\bjava ?script (?:is |has been )?(?:turned off|disabled|required)"
-    r"|\bdoes not (?:support scripting|work without js)\b|\bonly works with scripts\b|\bbuilt with js\b|\bneeds scripts to run\b|\bjavascript\b.{0,12}\bactiv|\bscripts and cookies\b",
-    re.I,
+# Phrases that no label is made from; segments that hold them tell how the classifier does on unseen ones.
+UNSEEN_PHRASES = (
+    r"\bsession has expired\b",
+    r"\bchecking your browser\b",
+    r"\brate limited\b|\brequest limit\b",
+    r"\bdoes not exist on this server\b|\brefused by the server\b",
+    r"\b(?:empty|invalid) answer\b",
+    r"\bdoes not support scripting\b|\bonly works with scripts\b|\bbuilt with js\b",
+    r"\byour text goes here\b",
 )
-FILLER_PHRASES = re.compile(r"\blorem\b.*\bipsum\b|\bipsum\b.*\b(?:dolor|lorem)\b|\bdolor\b.*\bipsum\b|\b(?:your|sample|placeholder) (?:text|paragraph)\b.*\b(?:here|replace|body)\b|\bblindtext\b|\btexte provisoire\b|\bfoo bar\b|\btest page\b", re.I)
-# One of these is in every text that the phrases above match; a cheap test before them.
-TRIGGERS = (
-    "not f", "not be f", "error", "erreur", "fehler", "code", "код", "http", "status", "forbidden", "unauthorized", "bad ", "unavailable", "gateway", "too many", "gone", "could not", "timed out", "limit", "denied", "permission",
-    "no longer", "refused", "answer", "went wrong", "not exist", "no server", "expired", "traceback", "introuvable", "nicht", "найдена", "browser", "script", "js", "lorem", "ipsum", "text", "paragraph", "provisoire", "foo bar", "test page",
-)
-REPEATED = re.compile(r"\b(\w{2,})(?:\s+\1){4,}\b", re.I)
-#: Sentences about such texts: they name one thing of the house besides the phrase and state something of it.
-REPORTING = re.compile(r"\b(?:letters?|spine|margin|hand|log|morning|readers|viewer asked|specimen|foundry|corrected|catalogued|binding|described here|in this copy|occurs twice)\b", re.I)
+#: A word five times over is filler in any language.
+REPEATED = r"\b(\w{2,})(?:\s+\1){4,}\b"
+LABELS = re.compile("|".join(LABEL_PHRASES), re.I | re.S)
+UNSEEN = re.compile("|".join(UNSEEN_PHRASES), re.I)
+AGAIN = re.compile(REPEATED, re.I)
+
 HEADING = re.compile(r"^(?:#{1,6}\s.*|=+ .* =+|\\(?:sub)*section\*?\{[^{}]*\}|(?:page|seite|feuillet|heading|page title|title)\b[\s\d.:()\w-]{0,24})$", re.I)
 FRAME = re.compile(r"^(?:[^.!?\n]{1,30}(?:\s[|·•»>/]\s[^.!?\n]{1,30})+|(?:[^\W\d_][\w ]{0,18}\n){1,}[^\W\d_][\w ]{0,18}|skip to (?:main )?content|©.{1,60}|\(c\) .{1,60}|all rights reserved.{0,40})$", re.I)
 
-# Names of fields without a sign of their own.
-FIELD_WORDS = ("shelfmark", "editor", "publisher", "provenance", "operator", "signature", "title", "author", "date", "name", "volume", "leaf", "page")
-# Forms of template fields; NAME is a field's name.
+# Forms of template fields that nothing else looks like; NAME is a field's name.
 _NAME = r"[A-Za-z][\w.]{1,40}"
 FIELD = re.compile(
     rf"\{{\{{\s*{_NAME}\s*\}}\}}|\{{%\s*{_NAME}\s*%\}}|<%=?\s*{_NAME}\s*%>|<<\s*{_NAME}\s*>>|«\s*{_NAME}\s*»|‹\s*{_NAME}\s*›|\$\{{{_NAME}\}}|#\{{{_NAME}\}}|@@{_NAME}@@|%\({_NAME}\)[sdr]|(?<![\w%])%[A-Za-z][A-Za-z_.]{{2,40}}%(?![\w%])"
-    rf"|(?<![\w%])%[sd](?![\w%])|(?<![\w$\\])\$(?=[A-Za-z._]{{4,40}}\$)[A-Za-z][A-Za-z.]*(?:_[A-Za-z.]+)*\$(?![\w$])|(?<!\w)__(?:[A-Z][A-Z_]{{2,40}}|[a-z]+(?:_[a-z]+)+|{'|'.join(FIELD_WORDS)})__(?!\w)|\[\[\s*(?:[A-Za-z]\w*(?:[_.]\w+)+|[a-z]{{3,20}}|TBD|TODO|[A-Z_]{{4,}})\s*\]\]"
-    r"|<(?i:insert|enter|your|fill in)\s[^<>\n]{1,60}>|\[(?i:insert|enter|your|fill in|todo|tbd)\b[^\[\]\n]{0,60}\]|\[[^\[\]\n]{1,60}\b(?i:eintragen|einfügen|einsetzen|here)\]|\[(?i:à compléter|à remplir|compléter|insérer|saisir|заполнить|вставить)\b[^\[\]\n]{0,60}\]|\[[A-Za-z][\w.]{1,40}\?\]"
+    r"|(?<![\w%])%[sd](?![\w%])|(?<![\w$\\])\$(?=[A-Za-z._]{4,40}\$)[A-Za-z][A-Za-z.]*(?:_[A-Za-z.]+)*\$(?![\w$])|(?<!\w)__(?:[A-Z][A-Z_]{2,40}|[a-z]+(?:_[a-z]+)+)__(?!\w)|\[\[\s*(?:[A-Za-z]\w*(?:[_.]\w+)+|TBD|TODO|[A-Z_]{4,})\s*\]\]"
+    r"|<(?i:insert|enter|your|fill in)\s[^<>\n]+>|\[(?i:insert|enter|your|fill in|todo|tbd)\b[^\[\]\n]*\]|\[[^\[\]\n]+\b(?i:eintragen|einfügen|einsetzen|here)\]|\[(?i:à compléter|à remplir|compléter|insérer|saisir|заполнить|вставить)\b[^\[\]\n]*\]|\[[A-Za-z][\w.]{1,40}\?\]"
     r"|<[A-Za-z][\w.]{0,40} (?:here|HERE)>|&lt;[A-Z][A-Z_]{2,40}&gt;|<[A-Z]{2,}(?:_[A-Z]+)+>|<[a-z]+(?:_[a-z]+)+>|(?<![\w\\}\]^_$#%{])\{(?:[A-Za-z][\w.]{1,40}|\d{1,2})\}(?![\w{}])|\bXX[/.-]XX[/.-]XXXX\b|\b(?:DD[/.-]MM|MM[/.-]DD|TT[.]MM)[/.-](?:YYYY|JJJJ)\b"
 )
-#: What a field needs at least: the generous first pass over a text.
-MAYBE_FIELD = re.compile(r"[{}$%@<>‹«]|__|\[|XX|YYYY|JJJJ|&lt;")
-MATH = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\\(.*?\\\)|(?<!\\)\$(?=\S)(?![A-Za-z._]+\$)[^$\n]{0,80}[^$\s\\]\$|\\(?:new|renew)command\{[^\n]*", re.S)
+# Forms that are a field or a link or emphasis; the classifier tells by the word.
+MAYBE_FIELD = re.compile(r"(?<!\w)__[a-z]+__(?!\w)|\[\[\s*[a-z]+\s*\]\]")
+#: A sign or word that every field has; Java syntax is the same.
+SIGNS = r"[{}$%@<>‹«\[]|__|XX|YYYY|JJJJ|&lt;"
+HAS_SIGNS = re.compile(SIGNS)
+MATH = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\\(.*?\\\)|(?<!\\)\$(?=\S)(?![A-Za-z._]+\$)[^$\n]*?[^$\s\\]\$|\\(?:new|renew)command\{[^\n]*", re.S)
 
 
 def without_code(text: str) -> str:
@@ -87,44 +113,49 @@ def without_code(text: str) -> str:
     return text
 
 
-def unfilled_field(text: str) -> str | None:
-    """The first template field that was never filled, outside code, formulas and quotations."""
-    if not MAYBE_FIELD.search(text):
-        return None
-    text = CODE_SPAN.sub(" ", without_code(text))
+def exact_fields(segment: str) -> tuple[bool, bool]:
+    """Whether a segment holds a field for sure, or perhaps one, outside code spans, formulas and quotations."""
+    text = CODE_SPAN.sub(" ", segment)
     if "$" in text or "\\" in text:
         text = MATH.sub(" ", text)
-    if not FIELD.search(text):
-        return None
-    for m in FIELD.finditer(QUOTED.sub(lambda q: " " * len(q[0]) if FIELD.search(q[0]) and not FIELD.fullmatch(q[0]) else q[0], text)):
-        found = m[0]
-        if found.startswith("[[") and re.fullmatch(r"\[\[\s*[a-z]+\s*\]\]", found) and found.strip("[] ") not in FIELD_WORDS:
-            continue  # a link
-        return found
-    return None
-
-
-
-def segments(text: str) -> list[str]:
-    return [s for s in (p.strip() for p in SEGMENT.split(without_code(text))) if s]
-
-
-def has_phrase(segment: str) -> bool:
-    """Whether a segment holds a phrase of an error page, script notice or filler."""
-    low = segment.lower()
-    if any(k in low for k in TRIGGERS) and (ERROR_PHRASES.search(segment) or SCRIPT_PHRASES.search(segment) or FILLER_PHRASES.search(segment)):
-        return True
-    words = low.split()
-    return any(a == b for a, b in zip(words, words[1:], strict=False)) and bool(REPEATED.search(segment))
+    if not FIELD.search(text) and not MAYBE_FIELD.search(text):
+        return False, False
+    text = QUOTED.sub(lambda q: " " * len(q[0]) if FIELD.search(q[0]) and not FIELD.fullmatch(q[0]) else q[0], text)
+    return bool(FIELD.search(text)), bool(MAYBE_FIELD.search(text))
+
+
+def may_have_field(text: str) -> bool:
+    return bool(HAS_SIGNS.search(text)) and bool(FIELD.search(text) or MAYBE_FIELD.search(text))
+
+
+def segments(text: str) -> Iterator[str]:
+    """The paragraphs of a text without its code, one after the other."""
+    text, at = without_code(text), 0
+    for m in SEGMENT.finditer(text):
+        part = text[at : m.start()].strip()
+        at = m.end()
+        if part:
+            yield part
+    part = text[at:].strip()
+    if part:
+        yield part
+
+
+def titled_segments(text: str) -> Iterator[tuple[str, str, bool]]:
+    """(segment, title, is_frame): segments that are no headings, with the heading before them."""
+    title = ""
+    for s in segments(text):
+        if HEADING.match(s):
+            title = s
+            continue
+        head, _, rest = s.partition("\n")
+        if rest.strip() and HEADING.match(head):
+            title, s = head, rest.strip()
+        yield s, title, bool(FRAME.match(s))
+        title = ""
 
 
-def weak_label(segment: str, alone: bool) -> int:
-    """1: junk by its phrases, 0: not (also in a text that reports on them), -1: a phrase beside content."""
-    if not has_phrase(segment):
-        return 0
-    if REPORTING.search(segment):
-        return 0
-    return 1 if alone else -1
+# Features.
 
 
 def bucket(token: str, _seen: dict[str, int] = {}) -> int:  # noqa: B006
@@ -136,8 +167,8 @@ def bucket(token: str, _seen: dict[str, int] = {}) -> int:  # noqa: B006
     return at
 
 
-def features(segment: str, first: bool) -> np.ndarray:
-    """Hashed features of a segment: its distinct word 1- and 2-grams, its length, whether it is a title."""
+def text_features(segment: str, title: str, first: bool) -> list[int]:
+    """Hashed features for junk: distinct word 1- and 2-grams, length, variety, and the words of its title."""
     words = ["0" if w.isdigit() else w for w in WORDS.findall(segment.casefold())]
     grams = set(words)
     grams.update(map(" ".join, zip(words, words[1:], strict=False)))
@@ -145,9 +176,45 @@ def features(segment: str, first: bool) -> np.ndarray:
     grams.add(f"\x01len{min(9, size.bit_length())}")
     grams.add(f"\x01varied{int(4 * len(set(words)) / max(1, size))}" if size > 5 else "\x01short")
     grams.add(f"\x01first{first:d}")
-    if HEADING.match(segment):
-        grams.add("\x01title")
-    return np.fromiter((bucket(g) for g in grams), np.int64, len(grams))
+    if title:
+        grams.add("\x01titled")
+        grams.update(f"\x01t {w}" for w in WORDS.findall(title.casefold()) if not w.isdigit())
+    return [bucket(g) for g in grams]
+
+
+SIGN_TOKENS = re.compile(r"[^\W_]+(?:[._][^\W_]+)*|\s+|[^\w\s]|_")
+# Words that stand for themselves among signs.
+STAND_INS = frozenset("XX XXXX DD MM YYYY TT JJJJ TBD TODO".split())
+
+
+def shape(token: str) -> str:
+    """What a token looks like: a sign itself, a blank, or a word by its case, length and inner signs."""
+    if token in STAND_INS:
+        return token
+    if token[0].isalnum():
+        if token.isdigit():
+            return "0"
+        joined = "_" if "_" in token else "." if "." in token else ""
+        kind = "W" if token.isupper() else "w" if token.islower() else "Ww"
+        return kind[0] + "1" if len(token) == 1 else kind + joined
+    return " " if token.isspace() else token
+
+
+def sign_features(segment: str) -> list[int]:
+    """Hashed features for fields: n-grams of two to six tokens' shapes around signs, and the words between signs."""
+    tokens = SIGN_TOKENS.findall(CODE_SPAN.sub("`c`", segment) if "`" in segment else segment)
+    shapes = [shape(t) for t in tokens]
+    odd = [k for k, t in enumerate(tokens) if not (t[0].isalnum() or t[0] in " \n.,;:!?-'") or t in STAND_INS]
+    grams = set()
+    n = len(shapes)
+    for k in odd:
+        for size in range(2, 7):
+            for a in range(max(0, k - size + 1), min(k, n - size) + 1):
+                grams.add("\x02" + "\x03".join(shapes[a : a + size]))
+    for k, t in enumerate(tokens):
+        if t[0].isalnum() and (k > 0 and tokens[k - 1][0] in "{[<«‹$%@(_" or k + 1 < n and tokens[k + 1][0] in "}]>»›$%@)_"):
+            grams.add("\x02in " + t.casefold())
+    return [bucket(g) for g in grams]
 
 
 @dataclass
@@ -157,138 +224,194 @@ class Classifier:
     weights: np.ndarray
     bias: float
 
-    def probability(self, x: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.weights[x].sum() / np.sqrt(max(1, len(x))) + self.bias, -30, 30))))
-
-
-def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Classifier:
-    """L2-regularised logistic regression by AdaGrad over shuffled rows, classes weighted alike."""
-    w, squares = np.zeros(DIMENSIONS), np.full(DIMENSIONS, 1e-8)
-    bias, bias_sq = 0.0, 1e-8
-    counts = np.bincount(labels, minlength=2)
-    weight = len(labels) / (2 * np.maximum(counts, 1))
-    rng = np.random.default_rng(seed)
-    for _ in range(PASSES if len(labels) else 0):
-        for i in rng.permutation(len(labels)):
-            x = rows[i]
-            scale = 1 / np.sqrt(max(1, len(x)))
-            p = 1 / (1 + np.exp(-np.clip(w[x].sum() * scale + bias, -30, 30)))
-            g = (p - labels[i]) * weight[labels[i]]
-            grad = g * scale + PENALTY * w[x]
-            squares[x] += grad * grad
-            w[x] -= 0.5 * grad / np.sqrt(squares[x])
-            bias_sq += g * g
-            bias -= 0.5 * g / np.sqrt(bias_sq)
-    return Classifier(w, bias)
+    def probability(self, x: list[int]) -> float:
+        z = float(self.weights[x].sum()) / max(1, len(x)) ** 0.5 + self.bias
+        return 1 / (1 + 2.718281828459045 ** -max(-30.0, min(30.0, z)))
+
+    def probabilities(self, rows: list[list[int]]) -> np.ndarray:
+        return np.array([self.probability(r) for r in rows])
+
+
+def fit(rows: list[list[int]], labels: np.ndarray) -> Classifier:
+    """L2-regularised logistic regression, all rows at once by Adam, classes weighted alike."""
+    w, bias = np.zeros(DIMENSIONS), 0.0
+    if not len(labels):
+        return Classifier(w, -5.0)
+    sizes = np.array([len(r) for r in rows])
+    at = np.fromiter((i for r in rows for i in r), np.int64, int(sizes.sum()))
+    used, at = np.unique(at, return_inverse=True)
+    row = np.repeat(np.arange(len(rows)), sizes)
+    scale = 1 / np.sqrt(np.maximum(sizes, 1))
+    weight = ((len(labels) / (2 * np.maximum(np.bincount(labels, minlength=2), 1))) ** POWER)[labels]
+    v = np.zeros(len(used) + 1)
+    m, s = np.zeros_like(v), np.zeros_like(v)
+    for t in range(1, PASSES + 1):
+        z = np.bincount(row, v[at], len(rows)) * scale + v[-1]
+        g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels) * weight
+        grad = np.append(np.bincount(at, (g * scale)[row], len(used)) / len(rows) + PENALTY * v[:-1], g.sum() / len(rows))
+        m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad * grad
+        v -= 0.3 * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-8)
+    w[used] = v[:-1]
+    return Classifier(w, float(v[-1]))
+
+
+# Labels.
+
+
+def label_of(segment: str) -> int:
+    """1: a phrase of junk; -2: a phrase that no label is made from; 0: neither."""
+    return 1 if LABELS.search(segment) or AGAIN.search(segment) else -2 if UNSEEN.search(segment) else 0
 
 
 SEGMENT_ROW = T.StructType([
-    T.StructField("order", T.LongType()), T.StructField("host", T.StringType()), T.StructField("segment", T.StringType()), T.StructField("first", T.BooleanType()), T.StructField("alone", T.BooleanType()), T.StructField("label", T.IntegerType()),
-])
+    T.StructField("order", T.LongType()), T.StructField("host", T.StringType()), T.StructField("output", T.StringType()), T.StructField("segment", T.StringType()),
+    T.StructField("title", T.StringType()), T.StructField("first", T.BooleanType()), T.StructField("label", T.IntegerType()),
+])
 
 
-def content_segments(text: str) -> list[tuple[str, bool]]:
-    """Segments that are neither headings nor frames of a site, each with whether it opens the text."""
-    out = []
-    for i, s in enumerate(segments(text)):
-        if HEADING.match(s) or FRAME.match(s) and not has_phrase(s):
-            continue
-        lines = s.split("\n", 1)
-        if len(lines) == 2 and HEADING.match(lines[0]):
-            s = lines[1].strip() or s
-        out.append((s, i == 0))
-    return out
+def labelled(text: str) -> Iterator[tuple[str, str, str, bool, int]]:
+    """(output, segment, title, first, label) of a text; a phrase beside other content tells neither way and is left out."""
+    content = [(s, title, k == 0) for k, (s, title, frame) in enumerate(titled_segments(text)) if not frame]
+    labels = [label_of(s) for s, _, _ in content]
+    for (s, title, first), y in zip(content, labels, strict=True):
+        if y == 0 or 0 not in labels:
+            yield "text", s, title, first, y
+    if HAS_SIGNS.search(text):
+        for s in segments(text):
+            if HAS_SIGNS.search(s):
+                sure, maybe = exact_fields(s) if may_have_field(s) else (False, False)
+                if sure or not maybe:
+                    yield "sign", s, "", False, int(sure)
+
 
+def stratum(text: Column) -> Column:
+    return F.when(text.rlike(SIGNS), "signs").when(F.char_length(text) <= SHORT, "short").otherwise("other")
 
-def labelled_segments(documents: DataFrame, text: str = "text", host: str = "volume_id", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """Labelled segments (order, host, segment, first, alone, label); of each task the least by hash of each class.
 
-    All documents are read; what one task passes on is bounded by ``per_class``.
+def labelled_sample(documents: DataFrame, text: str = "text", host: str = "volume_id") -> pd.DataFrame:
+    """Labelled segments of a bounded sample of the documents: of each stratum those of the least hashes.
+
+    All documents are counted by stratum; only the sample's leave the JVM. Equal texts are labelled once
+    in each task, so that one that makes up a third of the rows adds no more than its own segments.
     """
+    t = F.col(text)
+    d = documents.select(t.alias("_t"), F.coalesce(F.col(host), F.lit("")).alias("_h"), F.xxhash64(t).alias("_x"), stratum(t).alias("_s")).filter(F.length(F.trim(t)) > 0)
+    sizes = {r["_s"]: r["n"] for r in d.groupBy("_s").agg(F.count("*").alias("n")).collect()}  # three rows
+    keep = F.lit(False)
+    for name, n in sizes.items():
+        keep = keep | ((F.col("_s") == name) & (F.pmod("_x", F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE_DOCUMENTS[name] / n))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept: dict[tuple[int, bool], list] = {}
+        seen: set[int] = set()
         for b in batches:
-            for t, h in zip(b["_t"], b["_h"], strict=True):
-                found = content_segments(t)
-                labels = [weak_label(s, True) for s, _ in found]
-                junk_only = all(y == 1 for y in labels)
-                for (s, first), y in zip(found, labels, strict=True):
-                    if y == 1 and not junk_only:
-                        continue  # a phrase beside content tells neither way
-                    alone = len(found) == 1
-                    rows = kept.setdefault((y, alone or y == 1), [])
-                    rows.append((zlib.crc32(s.encode("utf-8", "replace"), zlib.crc32(h.encode())), h, s, first, alone, y))
-                    if len(rows) > 2 * per_class:
-                        rows.sort(key=lambda r: r[:3])
-                        del rows[per_class:]
-        for rows in kept.values():
-            rows.sort(key=lambda r: r[:3])
-            yield pd.DataFrame(rows[:per_class], columns=SEGMENT_ROW.names)
-
-    some = documents.select(F.col(text).alias("_t"), F.coalesce(F.col(host), F.lit("")).alias("_h")).filter(F.length(F.trim(text)) > 0)
-    return some.mapInPandas(run, SEGMENT_ROW)
-
-
-def labelled_sample(documents: DataFrame, text: str = "text", host: str = "volume_id", per_class: int = SAMPLE_PER_CLASS) -> pd.DataFrame:
-    """At most ``per_class`` labelled segments of each class, by hash: a sample of all documents.
-
-    Half of the class of content is left to texts of a single segment, the ones most like junk.
-    """
-    ensure_checkpoint_dir(documents.sparkSession)
-    rows = labelled_segments(documents, text, host, per_class).checkpoint()
-    strata = ((F.col("label") == 1, per_class), ((F.col("label") == 0) & F.col("alone"), per_class // 2), ((F.col("label") == 0) & ~F.col("alone"), per_class - per_class // 2))
-    parts = [rows.filter(which).orderBy("order", "host", "segment").limit(n).toPandas() for which, n in strata]
-    return pd.concat(parts, ignore_index=True)
-
-
-def train(sample: pd.DataFrame) -> tuple[Classifier, dict[str, float]]:
-    """The classifier, and its agreement with the weak labels on hosts it was not fitted on."""
-    x = [features(s, f) for s, f in zip(sample["segment"], sample["first"], strict=True)]
-    y = sample["label"].to_numpy(np.int64) if len(sample) else np.zeros(0, np.int64)
-    unseen = np.array([zlib.crc32(h.encode()) % 100 < HELD_OUT for h in sample["host"]], bool)
-    part = fit([r for r, u in zip(x, unseen, strict=True) if not u], y[~unseen])
-    said = np.array([part.probability(r) >= JUNK_FROM for r, u in zip(x, unseen, strict=True) if u], bool)
-    truth = y[unseen] == 1
+            rows = []
+            for s, h, x in zip(b["_t"], b["_h"], b["_x"], strict=True):
+                if x not in seen:
+                    seen.add(x)
+                    each = [(zlib.crc32(r[1].encode("utf-8", "replace")), h, *r) for r in labelled(s)]
+                    for output in ("text", "sign"):
+                        rows += sorted(r for r in each if r[2] == output)[:SEGMENTS_EACH]
+            yield pd.DataFrame(rows, columns=SEGMENT_ROW.names)
+
+    rows = d.filter(keep).select("_t", "_h", "_x").mapInPandas(run, SEGMENT_ROW).toPandas()  # bounded by the sample's documents and segments of each
+    rows = rows.drop_duplicates(["output", "segment", "title"]).sort_values(["order", "host", "segment"], kind="stable")
+    return rows.groupby(["output", "label"]).head(SAMPLE_SEGMENTS).reset_index(drop=True)
+
+
+def _fold(hosts: pd.Series) -> np.ndarray:
+    return np.array([zlib.crc32(h.encode()) % FOLDS for h in hosts], np.int64)
+
+
+def agreement(said: np.ndarray, truth: np.ndarray) -> dict[str, float]:
     hits = float((said & truth).sum())
-    scores = {"rows": float(len(truth)), "junk": float(truth.sum()), "precision": hits / max(1.0, float(said.sum())), "recall": hits / max(1.0, float(truth.sum()))}
-    return fit(x, y), scores
+    return {"rows": float(len(truth)), "positive": float(truth.sum()), "precision": hits / max(1.0, float(said.sum())), "recall": hits / max(1.0, float(truth.sum()))}
+
+
+def by_unseen_hosts(rows: list[list[int]], labels: np.ndarray, folds: np.ndarray) -> np.ndarray:
+    """The probability of each row by a classifier fitted on the other folds' hosts."""
+    said = np.zeros(len(labels))
+    for k in range(FOLDS):
+        here = folds == k
+        if here.any():
+            part = fit([r for r, h in zip(rows, here, strict=True) if not h], labels[~here])
+            said[here] = part.probabilities([r for r, h in zip(rows, here, strict=True) if h])
+    return said
+
+
+def training_rows(sample: pd.DataFrame, output: str) -> tuple[list[list[int]], np.ndarray, pd.Series]:
+    """Features, labels and hosts of an output's segments."""
+    part = sample[sample["output"] == output]
+    if output == "text":
+        x = [text_features(s, t, f) for s, t, f in zip(part["segment"], part["title"], part["first"], strict=True)]
+    else:
+        x = [sign_features(s) for s in part["segment"]]
+    return x, part["label"].to_numpy(np.int64), part["host"]
 
 
-def judge(text: str | None, model: Classifier) -> tuple[bool, str | None, float]:
-    """Whether a text is junk, why (``field`` or ``junk``) and its least segment probability."""
+def train(sample: pd.DataFrame) -> tuple[Classifier, Classifier]:
+    """The classifier's two outputs, fitted on all labels; the phrases held apart in ``validate`` count as junk."""
+    (x, y, _), (xs, ys, _) = training_rows(sample, "text"), training_rows(sample, "sign")
+    return fit(x, (y != 0).astype(np.int64)), fit(xs, ys)
+
+
+def validate(sample: pd.DataFrame) -> dict[str, dict[str, float]]:
+    """How the classifier does on hosts and phrases it was not fitted on.
+
+    ``junk`` and ``field``: agreement with the labels of unseen hosts. ``unseen``: with segments of phrases
+    that no label was made from, by a classifier that has seen none of them on any host.
+    """
+    scores: dict[str, dict[str, float]] = {}
+    x, y, hosts = training_rows(sample, "text")
+    named = y >= 0
+    x_named = [r for r, u in zip(x, named, strict=True) if u]
+    scores["junk"] = agreement(by_unseen_hosts(x_named, y[named], _fold(hosts[named])) >= JUNK_FROM, y[named] == 1)
+    without = fit(x_named, y[named])
+    unseen = without.probabilities([r for r, u in zip(x, named, strict=True) if not u])
+    scores["unseen"] = agreement(unseen >= JUNK_FROM, np.ones(len(unseen), bool))
+    xs, ys, hosts = training_rows(sample, "sign")
+    scores["field"] = agreement(by_unseen_hosts(xs, ys, _fold(hosts)) >= JUNK_FROM, ys == 1)
+    return scores
+
+
+# Verdicts.
+
+
+def judge(text: str | None, junk: Classifier, field: Classifier) -> tuple[bool, str | None, float]:
+    """Whether a text is junk, why (``field`` or ``junk``) and the probability that decided."""
     if text is None or not text.strip():
         return False, None, 0.0
-    if unfilled_field(text):
-        return True, "field", 1.0
-    found = content_segments(text)
-    if not found:
-        return False, None, 0.0
-    least = 1.0
-    for s, first in found:
-        least = min(least, model.probability(features(s, first)))
-        if least < JUNK_FROM:
-            return False, None, least
-    return True, "junk", least
+    if may_have_field(text):
+        for s in segments(text):
+            if may_have_field(s) and (p := field.probability(sign_features(s))) >= FIELD_FROM:
+                sure, maybe = exact_fields(s)
+                if sure or maybe and p >= JUNK_FROM:
+                    return True, "field", p
+    least, found = 1.0, False
+    for k, (s, title, frame) in enumerate(titled_segments(text)):
+        p = junk.probability(text_features(s, title, k == 0))
+        if p >= JUNK_FROM:
+            found, least = True, min(least, p)
+        elif not frame:
+            return False, None, p
+    return (True, "junk", least) if found else (False, None, 0.0)
 
 
 VERDICT = T.StructType([T.StructField("is_junk", T.BooleanType()), T.StructField("reason", T.StringType()), T.StructField("score", T.DoubleType())])
 
 
-def with_verdict(documents: DataFrame, text: str = "text", host: str = "volume_id", per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+def with_verdict(documents: DataFrame, text: str = "text", host: str = "volume_id") -> DataFrame:
     """The table with a struct column ``verdict`` (is_junk, reason, score).
 
     Null, empty and blank texts are not junk. The fitted weights (half a megabyte, whatever the data)
-    travel with the function. Repeated rows are judged alike; without labelled junk nothing but
-    unfilled fields is found.
+    travel with the function. Repeated rows are judged alike; without labelled junk or fields none is found.
     """
-    model, _ = train(labelled_sample(documents, text, host, per_class))
-    weights, bias = model.weights.astype(np.float32), model.bias
+    junk, field = train(labelled_sample(documents, text, host))
+    packed = [(m.weights.astype(np.float32), m.bias) for m in (junk, field)]
 
     @F.pandas_udf(VERDICT)
     def verdict(texts: pd.Series) -> pd.DataFrame:
-        m = Classifier(weights, bias)
-        return pd.DataFrame([judge(t if isinstance(t, str) else None, m) for t in texts], columns=VERDICT.names)
+        models = [Classifier(w, b) for w, b in packed]
+        return pd.DataFrame([judge(t if isinstance(t, str) else None, *models) for t in texts], columns=VERDICT.names)
 
     return documents.withColumn("verdict", verdict(F.col(text)))
 

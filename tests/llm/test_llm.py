@@ -1,9 +1,7 @@
 """Training-text operators: small cases with defined results, brute force, round trips and held-out accuracy."""
 
 import datetime as dt
-import json
 import random
-import re
 
 import numpy as np
 import pytest
@@ -340,15 +338,18 @@ def test_mixture(spark):
 
 
 def test_unfilled_fields():
-    open_fields = ["Dear {{ name }},", "{% owner %}", "by <%= OPERATOR %>", "<<editor>>", "Volume ${volume} was", "on @@DATE@@", "by %(editor)s", "was %printed_year% old", "[INSERT title]", "[titel eintragen]", "on XX/XX/XXXX", "[Your name here]", "[editor?]", "Dear {first_name},", "to __TITLE__"]
-    assert [t for t in open_fields if not residue.unfilled_field(t)] == []
-    other = ["{{cite book|title=A|year=1}}", "```\n{{ name }}\n```", 'the form opens with “Dear {first_name}”, and', r"\textbf{word} and $n_{2}$ or \frac{1}{2}", "This copy of [Torquandel] in <canal>", "50% of 20% s", "a [[telescope]] here", '    log.info("page %s of %s", page, total)', "@@ -4 +5 @@ the", "x" * 50_000, ""]
-    assert [t for t in other if residue.unfilled_field(t)] == []
+    open_fields = ["Dear {{ name }},", "{% owner %}", "by <%= OPERATOR %>", "<<editor>>", "Volume ${volume} was", "on @@DATE@@", "by %(editor)s", "was %printed_year% old", "[INSERT title]", "[titel eintragen]", "on XX/XX/XXXX", "[Your name here]", "[editor?]", "Dear {first_name},", "to __TITLE__", f"[insert {'a long hint ' * 9}]"]
+    assert [t for t in open_fields if not (residue.may_have_field(t) and residue.exact_fields(t)[0])] == []
+    other = ["{{cite book|title=A|year=1}}", 'the form opens with “Dear {first_name}”, and', r"\textbf{word} and $n_{2}$ or \frac{1}{2}", "This copy of [Torquandel] in <canal>", "50% of 20% s", "a [[telescope]] here", "@@ -4 +5 @@ the", "x" * 50_000, ""]
+    assert [t for t in other if residue.exact_fields(t)[0]] == []
+    code = ["```\n{{ name }}\n```", '    log.info("page %s of %s", page, total)']
+    assert [t for t in code if any(residue.exact_fields(s)[0] for s in residue.segments(t))] == []
+    assert residue.exact_fields("a [[telescope]] here")[1] and residue.exact_fields("on __shelfmark__")[1]
 
 
 def test_filler_late_in_a_segment():
     body = " ".join(f"leaf{i}" for i in range(900))
-    assert residue.has_phrase(f"{body} dolor dolor dolor dolor dolor dolor") and not residue.has_phrase(f"{body} dolor dolor")
+    assert residue.label_of(f"{body} dolor dolor dolor dolor dolor dolor") == 1 and residue.label_of(f"{body} dolor dolor") == 0
 
 
 def test_residue(spark):
@@ -363,13 +364,19 @@ def test_residue(spark):
     assert residue.with_verdict(df.limit(0)).count() == 0
 
 
-def test_classifier_on_unseen_hosts(spark, sf):
-    from foliant.sources.tables import table
+def test_residue_comes_from_the_classifier(spark, monkeypatch):
+    rows = [(i, f"The leaf {i} was bound in 17{i % 90:02d}.", f"v{i % 17}") for i in range(300)] + [(1000 + i, f"Dear {{{{ name_{i} }}}}, the leaf was bound.", f"v{i % 17}") for i in range(60)] + [(2000 + i, f"Error 50{i % 5}: try again.", f"v{i % 17}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, volume_id string")
+    assert residue.with_verdict(df).filter("verdict.is_junk").count() == 120
+    monkeypatch.setattr(residue, "fit", lambda rows, labels: residue.Classifier(np.zeros(residue.DIMENSIONS), -5.0))
+    assert residue.with_verdict(df).filter("verdict.is_junk").count() == 0
 
-    sample = residue.labelled_sample(table(spark, sf.replace("sf0.001", "sf0.1"), "documents"))
-    _, scores = residue.train(sample)
-    assert scores["junk"] >= 30 and scores["precision"] > 0.8 and scores["recall"] > 0.8
 
+def test_classifier_on_unseen_hosts_and_phrases(spark, sf):
+    from foliant.sources.tables import table
 
-def test_the_whole_is_json_safe():
-    assert json.loads(json.dumps(sorted(residue.TRIGGERS))) and re.compile(markup.MD_LIST)
+    sample = residue.labelled_sample(table(spark, sf.replace("sf0.001", "sf0.1"), "documents"))
+    scores = residue.validate(sample)
+    assert scores["junk"]["positive"] >= 100 and scores["junk"]["precision"] > 0.9 and scores["junk"]["recall"] > 0.9
+    assert scores["field"]["positive"] >= 100 and scores["field"]["precision"] > 0.9 and scores["field"]["recall"] > 0.9
+    assert scores["unseen"]["positive"] >= 30 and scores["unseen"]["recall"] > 0.8
