@@ -260,7 +260,9 @@ def fit(rows: list[list[int]], labels: np.ndarray) -> Classifier:
 
 def label_of(segment: str) -> int:
     """1: a phrase of junk; -2: a phrase that no label is made from; 0: neither."""
-    return 1 if LABELS.search(segment) or AGAIN.search(segment) else -2 if UNSEEN.search(segment) else 0
+    words = segment.casefold().split()
+    again = any(a == b for a, b in zip(words, words[1:], strict=False)) and AGAIN.search(segment)
+    return 1 if again or LABELS.search(segment) else -2 if UNSEEN.search(segment) else 0
 
 
 SEGMENT_ROW = T.StructType([

@@ -1,19 +1,23 @@
 """Noise in text from scanned pages: furniture, broken words and misread words; continuous paragraphs.
 
-Method: skip-gram vectors are learned over all lines: pairs of neighbouring lexicon words are counted on
-the cluster, and the skip-gram objective with negative samples, which depends on the texts only through
-those counts, is fitted on the driver for a vocabulary of bounded size. Rare stored words are linked to
-frequent printed ones (the lexicon's) that plausible glyph edits turn them into: a walk through a trie of
-the lexicon that allows look-alike glyphs, glyphs run together or apart and stray marks. A word is
-corrected in context, by edit cost and by how well the candidate's vector fits the words around it. Then
-running titles and page numbers are removed, words broken at line and page ends are joined, and lines are
-set as paragraphs.
+Method: skip-gram vectors are learned over all lines. A word's vector is the mean of vectors of its
+n-grams, and these are taken over the strokes of its glyphs, so that words that look alike share most of
+them; pairs of neighbouring lexicon words are counted on the cluster, and the skip-gram objective with
+negative samples, which depends on the texts only through those counts, is fitted on the driver for a
+bounded number of slots that all known words share. A rare stored word is linked to the frequent printed
+ones (the lexicon's) that are neighbours of its vector and that plausible glyph edits turn it into: a walk
+through a trie of the lexicon that allows look-alike glyphs, glyphs run together or apart and stray marks.
+A word is corrected in context, by edit cost and by how well the candidate's vector fits the words around
+it. Then running titles and page numbers are removed, words broken at line and page ends are joined, and
+lines are set as paragraphs.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,8 +29,11 @@ from foliant.llm.lookalikes import by_letters
 from foliant.session import kept
 from foliant.sources.tables import only_current
 
-#: Vocabulary of the vectors (its most frequent words), their size, and how far apart neighbours may be.
-VECTOR_WORDS, VECTOR_SIZE, WINDOW = 1_000, 32, 2
+#: Slots of the vectors' vocabulary: the most frequent half of them hold a word each, the others share the rest by
+#: hash. Buckets of n-grams, the vectors' size, and how far apart neighbours may be.
+SLOTS, BUCKETS, VECTOR_SIZE, WINDOW = 2_048, 1 << 13, 32, 2
+#: Cosine from which a word's vector is a neighbour of another's.
+NEAR = 0.4
 #: Lexicon entries up to which the lexicon travels to every task as a trie; more are refused.
 LEXICON_BOUND = 1_000_000
 #: Weight of the context beside the cost of the edits, and the context that a doubtful edit needs.
@@ -40,6 +47,7 @@ MISREAD_GLYPHS = (
 #: What a scan puts into a word, and what it puts in place of a glyph that it can't read.
 STRAYS, UNREAD = frozenset("'^~;.,|`·:*!\"’‘"), frozenset("01ci.")
 NUMBER_LIKE = re.compile(r"[\dOolISsBbZz|iI.,]*\d[\dOolISsBbZz|iI.,]*")
+SHARP_S = re.compile(r"(?<=[^\W\d_A-Z])B")  # a capital within a word is no capital
 MARKUP = re.compile(r"[\\<>{}()\[\]&#/=_$@%+]|''")
 SIGNS = r"[-¬=‐­]"
 # Words after a suspended compound.
@@ -72,15 +80,27 @@ def laid_out(lines: DataFrame) -> DataFrame:
 
     A header is a page's first line, set smaller than the text and apart from it; without a box, one whose
     letters are those of another page's header of the volume. A page number is a line of nothing but a
-    number at a page's end or top, apart or off the margin. Lines without a file or page index are body.
+    number at a page's end or top, apart or off the margin. Lines without a file, page or line index are body.
     """
     box = F.col("bbox")
     cols = [F.col(c) for c in ("line_id", "hocr_id", "volume_id", "page_idx", "line_idx", "page_num")] + [box["x0"].alias("x0"), box["y0"].alias("y0"), box["x1"].alias("x1"), box["y1"].alias("y1"), F.trim(F.coalesce("ocr_line", F.lit(""))).alias("text"), F.col("loaded_at")]
     page = Window.partitionBy("hocr_id", "page_idx")
     same = Window.partitionBy("hocr_id", "page_idx", "line_id").orderBy(F.col("loaded_at").desc_nulls_last(), "text")
     order = page.orderBy("line_idx", "line_id")
-    lost = F.col("hocr_id").isNull() | F.col("page_idx").isNull() | F.col("line_idx").isNull()
-    df = lines.select(*cols).filter(~lost).withColumn("_r", F.row_number().over(same)).filter("_r = 1").drop("_r", "loaded_at")
+    placed = F.col("hocr_id").isNotNull() & F.col("page_idx").isNotNull() & F.col("line_idx").isNotNull()
+    every = lines.select(*cols)
+    df = every.filter(placed).repartition("hocr_id", "page_idx").withColumn("_r", F.row_number().over(same)).filter("_r = 1").drop("_r")
+    # a line delivered again at another place counts where it was delivered last
+    place = F.struct("hocr_id", "page_idx", "line_idx")
+    places = every.groupBy("line_id").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max(F.struct("loaded_at", place.alias("at")))["at"].alias("at"))
+    moved = places.filter("a <> b").select(F.col("line_id").alias("_l"), F.col("at"))
+    here = F.struct("hocr_id", "page_idx", "line_idx").eqNullSafe(F.col("at"))
+    df = df.join(moved, F.col("line_id").eqNullSafe(F.col("_l")), "left").filter(F.col("_l").isNull() | here).drop("_l", "at", "loaded_at")
+    # without a place there is no layout: such lines are body, each by itself
+    lost = every.filter(~placed).groupBy("line_id").agg(F.max(F.struct("loaded_at", *(c for c in every.columns if c not in ("line_id", "loaded_at")))).alias("l")).select("line_id", "l.*").drop("loaded_at")
+    nowhere = F.col("at.hocr_id").isNull() | F.col("at.page_idx").isNull() | F.col("at.line_idx").isNull()
+    lost = lost.join(moved, F.col("line_id").eqNullSafe(F.col("_l")), "left").filter(F.col("_l").isNull() | nowhere).drop("_l", "at")
+    lost = lost.withColumn("rank", F.lit(1)).withColumn("n", F.lit(1).cast("long")).withColumn("kind", F.lit("body"))
     df = df.withColumn("h", F.col("y1") - F.col("y0"))
     df = df.select(
         "*",
@@ -98,9 +118,9 @@ def laid_out(lines: DataFrame) -> DataFrame:
     header = (F.col("rank") == 1) & (F.col("n") > 1) & small & F.coalesce(F.col("y_next") - F.col("y1") > F.col("h"), F.lit(False))
     foot = F.coalesce(F.col("h") < 0.85 * F.col("med"), F.lit(False)) & (F.col("rank") > 1)
     kind = F.when(number & (ends | starts), "pageno").when(header, "header").when(foot, "foot").otherwise("body")
-    df = kept(df.withColumn("kind", kind).drop("y_next", "y_last", "h", "med", "left", "right"))  # laid out once
+    df = kept(df.withColumn("kind", kind).drop("y_next", "y_last", "h", "med", "left", "right").unionByName(lost))  # laid out once
     letters = F.lower(F.regexp_replace("text", r"[^\p{L}]", ""))
-    unsure = (F.col("kind") == "body") & (F.col("rank") == 1) & F.col("y0").isNull() & (F.col("n") > 1) & (F.length(letters) > 5)
+    unsure = (F.col("kind") == "body") & F.col("line_idx").isNotNull() & (F.col("rank") == 1) & F.col("y0").isNull() & (F.col("n") > 1) & (F.length(letters) > 5)
     if not df.filter(unsure).take(1):
         return df  # most volumes: every first line has a box, nothing is left to be joined
     titles = df.filter(F.col("kind") == "header").groupBy("volume_id", letters.alias("_t")).agg(F.count("*").alias("_times"))
@@ -118,22 +138,22 @@ FILES_PER_PART = 4_096
 
 
 def next_on_page(body: DataFrame) -> DataFrame:
-    """Body lines with the line that the text goes on with: on the page, else on the volume's next page.
+    """Lines of text or foot notes with the line of their kind that they go on with: on the page, else on the volume's next page.
 
     A volume may hold any share of all pages: its files are ordered in parts of ``FILES_PER_PART`` ids, and
     only the first page of each part takes part in the order over a volume.
     """
-    order = Window.partitionBy("hocr_id", "page_idx").orderBy("line_idx", "line_id")
+    order = Window.partitionBy("hocr_id", "page_idx", "kind").orderBy("line_idx", "line_id")
     here = body.select("*", F.lead(F.struct("line_id", "tok")).over(order).alias("nxt"), F.row_number().over(order).alias("_b"))
     part = F.floor(F.col("hocr_id") / FILES_PER_PART)
-    firsts = here.filter("_b = 1").select("volume_id", "hocr_id", "page_idx", part.alias("part"), F.struct("line_id", "tok").alias("head"))
-    pages = Window.partitionBy("volume_id", "part").orderBy("hocr_id", "page_idx")
+    firsts = here.filter("_b = 1").select("volume_id", "hocr_id", "page_idx", "kind", part.alias("part"), F.struct("line_id", "tok").alias("head"))
+    pages = Window.partitionBy("volume_id", "kind", "part").orderBy("hocr_id", "page_idx")
     linked = firsts.select("*", F.lead("head").over(pages).alias("after"), F.row_number().over(pages).alias("_p"))
-    heads = linked.filter("_p = 1").select("volume_id", "part", "head")
-    over_parts = heads.select("volume_id", "part", F.lead("head").over(Window.partitionBy("volume_id").orderBy("part")).alias("_next_part"))
-    linked = linked.join(over_parts, [linked["volume_id"].eqNullSafe(over_parts["volume_id"]), linked["part"] == over_parts["part"]], "left")
-    linked = linked.select("hocr_id", "page_idx", F.coalesce("after", "_next_part").alias("page_after"))
-    return here.join(linked, ["hocr_id", "page_idx"], "left").withColumn("nxt", F.coalesce("nxt", "page_after")).drop("page_after", "_b")
+    heads = linked.filter("_p = 1").select("volume_id", "kind", "part", "head")
+    over_parts = heads.select(F.col("volume_id").alias("_v"), F.col("kind").alias("_k"), F.col("part").alias("_n"), F.lead("head").over(Window.partitionBy("volume_id", "kind").orderBy("part")).alias("_next_part"))
+    linked = linked.join(over_parts, F.col("volume_id").eqNullSafe(F.col("_v")) & (F.col("kind") == F.col("_k")) & (F.col("part") == F.col("_n")), "left")
+    linked = linked.select("hocr_id", "page_idx", "kind", F.coalesce("after", "_next_part").alias("page_after"))
+    return here.join(linked, ["hocr_id", "page_idx", "kind"], "left").withColumn("nxt", F.coalesce("nxt", "page_after")).drop("page_after", "_b")
 
 
 # Glyph edits.
@@ -205,12 +225,11 @@ class Trie:
                 for c, step in node.items():
                     if c and c != ch:
                         todo.append((at + 1, step, edits + 1, cost + 1.7, True))
-        found = sorted(best.items(), key=lambda x: (x[1], x[0]))
-        return found[:6]
+        return sorted(best.items(), key=lambda x: (x[1], x[0]))
 
 
-def readings(word: str, trie: Trie, limit: int = 3) -> list[tuple[str, float]] | None:
-    """What a stored word may have been printed as; none for markup, numbers and inconsistent characters."""
+def readings(word: str, trie: Trie, vectors: Vectors, limit: int = 3) -> list[tuple[str, float]] | None:
+    """What a stored word may have been printed as: words near its vector that glyph edits make of it; none for markup, numbers and inconsistent characters."""
     if MARKUP.search(word):
         return None
     if not word.isascii() and by_letters(word)[0] != word:
@@ -218,7 +237,8 @@ def readings(word: str, trie: Trie, limit: int = 3) -> list[tuple[str, float]] |
     n = py_norm(word)
     if len(n) < 2 or NUMBER_LIKE.fullmatch(py_norm_keep_case(word)) or not any(c.isalpha() for c in n):
         return None
-    return trie.candidates(n, limit) or None
+    found = trie.candidates(n, limit)
+    return vectors.linked(py_norm(SHARP_S.sub("ß", word)), found) or None if found else None
 
 
 def py_norm_keep_case(w: str) -> str:
@@ -228,8 +248,8 @@ def py_norm_keep_case(w: str) -> str:
 READINGS = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("cost", T.FloatType())]))
 
 
-def readings_udf(words: list[str], limit: int = 3):
-    """Readings of distinct forms; the lexicon, of a checked size, travels with the function."""
+def readings_udf(words: list[str], vectors: Vectors, limit: int = 3):
+    """Readings of distinct forms; the lexicon, of a checked size, and the n-grams' vectors travel with the function."""
     made: list[Trie] = []
 
     @F.pandas_udf(READINGS)
@@ -237,7 +257,7 @@ def readings_udf(words: list[str], limit: int = 3):
         if not made:
             made.append(Trie(words))
         for s in batches:
-            yield pd.Series([readings(w, made[0], limit) for w in s], dtype=object)
+            yield pd.Series([readings(w, made[0], vectors, limit) for w in s], dtype=object)
 
     return run
 
@@ -252,70 +272,126 @@ def lexicon_words(lexicon: DataFrame) -> list[str]:
 # Skip-gram vectors.
 
 
-def pair_counts(laid: DataFrame, words: list[str]) -> tuple[list[str], np.ndarray]:
-    """Counts of neighbouring words within ``WINDOW`` over all lines, for the most frequent known words."""
+# Strokes of the glyphs that are misread for each other; others stand for themselves.
+STROKES = (
+    ("i", "ijl1tfr!|ïîíй7"), ("ii", "nuüипнлñ"), ("iii", "mшщ"), ("c", "ceoaçéèêëäâàöôóёе0346сзб"), ("ci", "d"), ("ic", "bh8"), ("s", "s5"), ("g", "gq9"), ("z", "z2"), ("vv", "w"),
+)
+STROKE_OF = {ord(glyph): strokes for strokes, glyphs in STROKES for glyph in glyphs} | {ord(c): "" for c in STRAYS}
+
+
+def grams(word: str) -> list[int]:
+    """Buckets of the n-grams (1 to 4) of a word's strokes, and of the whole."""
+    s = f"<{word.translate(STROKE_OF)}>"
+    parts = [s[i : i + k] for k in range(1, 5) for i in range(len(s) - k + 1)]
+    return [zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in (*(p for p in parts if p not in "<>"), s[1:-1] + "\x01")]
+
+
+def slot(word: str, rank: int) -> int:
+    """A word's slot in the vectors' vocabulary by its rank: its own, or one shared by hash."""
+    return rank if rank < SLOTS // 2 else SLOTS // 2 + zlib.crc32(word.encode("utf-8", "replace")) % (SLOTS - SLOTS // 2)
+
+
+def token_counts(laid: DataFrame) -> DataFrame:
+    """(t, n, n_body): words of all lines as they stand, and how often, in all lines and in those of the text."""
+    each = laid.select((F.col("kind") == "body").alias("is_body"), F.explode(F.split("text", " ")).alias("t"))
+    return kept(each.groupBy("t").agg(F.count("*").alias("n"), F.count_if("is_body").alias("n_body")))
+
+
+def pair_counts(laid: DataFrame, tokens: DataFrame, words: list[str]) -> tuple[dict[str, int], dict[str, int], np.ndarray]:
+    """Counts of known words, their slots, and counts of neighbouring words within ``WINDOW`` over all lines of the text, by slots."""
     spark = laid.sparkSession
     known = spark.createDataFrame([(w,) for w in words], "w string")
-    plain = F.replace(F.replace(F.lower("text"), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
-    seq = laid.select(F.transform(F.split(plain, " "), lambda w: F.rtrim(w, F.lit(".,;:"))).alias("s"))
-    tokens = seq.select(F.explode("s").alias("w")).groupBy("w").agg(F.count("*").alias("n")).join(F.broadcast(known), "w")  # no more rows than the checked lexicon
-    top = [r.w for r in tokens.orderBy(F.col("n").desc(), "w").limit(VECTOR_WORDS).collect()]
-    at = {w: i for i, w in enumerate(top)}
-    ahead = [F.arrays_zip(F.col("s").alias("a"), F.slice("s", k + 1, 1_000_000).alias("b")) for k in range(1, WINDOW + 1)]
+    plain = lambda c: F.replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
+    counted = tokens.groupBy(F.rtrim(plain("t"), F.lit(".,;:")).alias("w")).agg(F.sum("n_body").alias("n")).filter("n > 0").join(F.broadcast(known), "w").collect()  # no more rows than the checked lexicon
+    count = {r.w: r.n for r in sorted(counted, key=lambda r: (-r.n, r.w))}
+    slots = {w: slot(w, k) for k, w in enumerate(count)}
+    size = max(slots.values(), default=-1) + 1
+    seq = laid.filter(F.col("kind") == "body").select(F.transform(F.split(plain("text"), " "), lambda w: F.rtrim(w, F.lit(".,;:"))).alias("s"))
+    ahead = [F.arrays_zip(F.col("s").alias("a"), F.slice("s", k + 1, F.size("s")).alias("b")) for k in range(1, WINDOW + 1)]
     pairs = seq.filter(F.size("s") > 1).select(F.explode(F.concat(*ahead)).alias("p")).select(F.col("p.a").alias("a"), F.col("p.b").alias("b")).filter(F.col("b").isNotNull())
-    vocab = spark.createDataFrame([(w,) for w in top], "v string")
-    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
-    counted = counted.join(F.broadcast(vocab.withColumnRenamed("v", "a")), "a").join(F.broadcast(vocab.withColumnRenamed("v", "b")), "b")  # VECTOR_WORDS rows
-    n = np.zeros((len(top), len(top)))
-    got = counted.toPandas() if top else pd.DataFrame(columns=["a", "b", "n"])  # at most VECTOR_WORDS squared
-    for a, b, k in zip(got["a"], got["b"], got["n"], strict=True):
-        n[at[a], at[b]] += k
-        n[at[b], at[a]] += k
-    return top, n
-
-
-def skip_gram(n: np.ndarray, size: int = VECTOR_SIZE, negatives: int = 5, steps: int = 150, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
-    """Word and context vectors that maximise the skip-gram objective with negative samples for pair counts."""
+    at = spark.createDataFrame(list(slots.items()), "v string, k int")
+    by_word = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    by_slot = by_word.join(F.broadcast(at.select(F.col("v").alias("a"), F.col("k").alias("i"))), "a").join(F.broadcast(at.select(F.col("v").alias("b"), F.col("k").alias("j"))), "b").groupBy("i", "j").agg(F.sum("n").alias("n"))
+    n = np.zeros((size, size), np.float32)
+    if size:
+        got = by_slot.toPandas()  # at most SLOTS squared
+        np.add.at(n, (got["i"].to_numpy(), got["j"].to_numpy()), got["n"].to_numpy())
+    return count, slots, n + n.T
+
+
+@dataclass
+class Vectors:
+    """Vectors of n-grams and of slots as context; a word's is the mean of its n-grams', set off from the mean of all."""
+
+    ngrams: np.ndarray
+    context: np.ndarray
+    slots: dict[str, int]
+    middle: np.ndarray
+
+    def of(self, word: str) -> np.ndarray:
+        return self.ngrams[grams(word)].mean(0)
+
+    def linked(self, form: str, found: list[tuple[str, float]]) -> list[tuple[str, float]]:
+        """The words that are neighbours of a form."""
+        x = self.of(form) - self.middle
+        out = []
+        for w, cost in found:
+            y = self.of(w) - self.middle
+            size = float(np.sqrt((x @ x) * (y @ y)))
+            if size > 0 and float(x @ y) >= NEAR * size:
+                out.append((w, cost))
+        return out
+
+    def fit(self, word: str, around: list[str]) -> float | None:
+        """How well a word fits the known words around it; none without any."""
+        near = [self.slots[x] for x in around if x in self.slots]
+        return float((self.context[near] @ self.of(word)).mean()) if near else None
+
+
+def skip_gram(n: np.ndarray, slots: dict[str, int], count: dict[str, int], size: int = VECTOR_SIZE, negatives: int = 5, steps: int = 120, seed: int = 11) -> Vectors:
+    """Vectors that maximise the skip-gram objective with negative samples for pair counts; words that share a slot weigh by their counts."""
     v = len(n)
     rng = np.random.default_rng(seed)
-    w, c = rng.normal(0, 0.1, (v, size)), rng.normal(0, 0.1, (v, size))
-    total = n.sum()
-    if v == 0 or total == 0:
-        return w, c
-    row = n.sum(1)
-    noise = row**0.75 / (row**0.75).sum()
-    neg = negatives * np.outer(row, noise)
-    scale = n + neg + 1e-9
-    m = [np.zeros_like(w), np.zeros_like(c)]
-    s = [np.zeros_like(w), np.zeros_like(c)]
-    for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(w @ c.T, -20, 20)))
-        g = (scale * p - n) / np.sqrt(scale)  # positives pull up, negatives down; damped for frequent pairs
-        for k, grad in enumerate((g @ c, g.T @ w)):
-            grad = grad / v + 1e-3 * (w, c)[k]
-            m[k] = 0.9 * m[k] + 0.1 * grad
-            s[k] = 0.99 * s[k] + 0.01 * grad * grad
-            (w, c)[k][...] -= 0.05 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.99**t)) + 1e-8)
-    return w, c
+    g = rng.normal(0, 1 / np.sqrt(size), (BUCKETS, size)).astype(np.float32)
+    c = rng.normal(0, 0.1, (v, size)).astype(np.float32)
+    made = np.zeros((v, BUCKETS), np.float32)
+    for w, k in slots.items():
+        parts = grams(w)
+        np.add.at(made[k], parts, count[w] / len(parts))
+    made /= np.maximum(made.sum(1, keepdims=True), 1e-9)
+    if v and n.sum() > 0:
+        row = n.sum(1)
+        noise = row**0.75 / (row**0.75).sum()
+        scale = n + negatives * np.outer(row, noise) + 1e-9
+        root = np.sqrt(scale)
+        both = (g, c)
+        m, s = [np.zeros_like(x) for x in both], [np.zeros_like(x) for x in both]
+        for t in range(1, steps + 1):
+            w = made @ g
+            p = 1 / (1 + np.exp(-np.clip(w @ c.T, -20, 20)))
+            d = ((scale * p - n) / root).astype(np.float32)  # positives pull up, negatives down; damped for frequent pairs
+            for k, grad in enumerate((made.T @ (d @ c) / v, d.T @ w / v + 1e-3 * c)):
+                m[k] = 0.9 * m[k] + 0.1 * grad
+                s[k] = 0.99 * s[k] + 0.01 * grad * grad
+                both[k][...] -= 0.05 * (m[k] / (1 - 0.9**t)) / (np.sqrt(s[k] / (1 - 0.99**t)) + 1e-8)
+    middle = (made @ g).mean(0) if v else np.zeros(size, np.float32)
+    return Vectors(g, c, slots, middle)
 
 
 CHOICE = T.StructType([T.StructField("word", T.StringType()), T.StructField("score", T.FloatType())])
 
 
-def choose_udf(top: list[str], w: np.ndarray, c: np.ndarray):
+def choose_udf(vectors: Vectors):
     """The reading that fits best: its edits' cost against its vector's fit with the words around."""
-    at = {x: i for i, x in enumerate(top)}
-    fits = (w @ c.T).astype(np.float32)
 
     @F.pandas_udf(CHOICE)
     def run(cands: pd.Series, around: pd.Series) -> pd.DataFrame:
         out = []
         for rows, near in zip(cands, around, strict=True):
-            near_at = [at[x] for x in (near if near is not None else ()) if x in at]
             best: tuple[float, str | None] = (-1e9, None)
             for r in rows:
-                i = at.get(r["word"])
-                fit = float(fits[i, near_at].mean()) if i is not None and near_at else -0.5
+                fit = vectors.fit(r["word"], near if near is not None else [])
+                fit = -0.5 if fit is None else fit
                 if r["cost"] > 1.5 and len(r["word"]) < 5 and fit < DOUBTFUL_CONTEXT:
                     continue
                 score = CONTEXT_WEIGHT * fit - r["cost"]
@@ -330,38 +406,42 @@ def choose_udf(top: list[str], w: np.ndarray, c: np.ndarray):
 # Broken words.
 
 
-def broken_lines(laid: DataFrame, known: DataFrame, words: list[str]) -> DataFrame:
-    """(line_id, next_id, cut, rest, marked) of body lines whose last word goes on in the next body line.
+def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: DataFrame, vectors: Vectors) -> DataFrame:
+    """(line_id, next_id, t1, t2, marked) of lines whose last word goes on in the next line of the text, or of its foot notes.
 
     With a sign: every word but a compound parted at its own hyphen and a suspended compound. Without: if
     the two parts together are a known word or a frequent name, or a misread known word, and not both parts
     are known words; a line that starts with a capital goes on only after a word in capitals.
     """
-    body = next_on_page(with_toks(laid.filter((F.col("kind") == "body") & ~F.col("text").rlike(ASIDE))).select("line_id", "hocr_id", "page_idx", "volume_id", "line_idx", "kind", F.get("toks", F.lit(0)).alias("tok"), F.try_element_at("toks", F.lit(-1)).alias("t1")))
+    flow = laid.filter(F.col("kind").isin("body", "foot") & F.col("line_idx").isNotNull() & F.col("hocr_id").isNotNull() & F.col("page_idx").isNotNull() & ~F.col("text").rlike(ASIDE))
+    body = next_on_page(with_toks(flow).select("line_id", "hocr_id", "page_idx", "volume_id", "line_idx", "kind", F.get("toks", F.lit(0)).alias("tok"), F.try_element_at("toks", F.lit(-1)).alias("t1")))
     d = body.filter(F.col("t1").isNotNull()).select("line_id", F.col("nxt.line_id").alias("next_id"), "t1", F.col("nxt.tok").alias("t2"))
-    d = d.filter(F.col("t1").rlike(r"[\p{L}\p{M}]" + SIGNS + r"?$"))
-    marked = F.col("t1").rlike(r"[\p{L}\p{M}]" + SIGNS + "$")
-    d = d.select("*", marked.alias("marked"), norm("t1").alias("n1"), F.coalesce(norm("t2"), F.lit("")).alias("n2"))
-    d = d.withColumn("joined", F.concat("n1", "n2")).withColumn("compound", F.concat("n1", F.lit("-"), "n2"))
+    d = d.filter(F.col("t1").rlike(r"[\p{L}\p{M}]" + SIGNS + r"?$")).withColumn("marked", F.col("t1").rlike(SIGNS + "$"))
     capital = F.col("t2").rlike(r"^[^\p{L}]*\p{Lu}") & ~F.col("t1").rlike(r"\p{Lu}\p{Lu}")
+    d = d.filter(F.col("marked") | (~F.coalesce(capital, F.lit(False)) & F.col("t2").rlike(r"^[\p{L}\p{M}]")))
+    flag = lambda c: F.broadcast(known.select(F.col("w").alias(c), F.lit(True).alias(f"k_{c}")))  # noqa: E731  # of checked size
+    d = d.withColumn("q1", quick_norm("t1")).withColumn("q2", quick_norm("t2")).join(flag("q1"), "q1", "left").join(flag("q2"), "q2", "left")
+    d = d.filter(F.col("marked") | F.col("k_q1").isNull() | F.col("k_q2").isNull()).drop("q1", "q2", "k_q1", "k_q2")  # most lines end here, before any pattern
+    d = d.select("*", norm("t1").alias("n1"), F.coalesce(norm("t2"), F.lit("")).alias("n2"))
+    d = d.withColumn("joined", F.concat("n1", "n2")).withColumn("compound", F.concat("n1", F.lit("-"), "n2"))
     names = (
-        laid.select(F.explode(F.split("text", " ")).alias("t")).filter(F.col("t").rlike(r"^[\p{Lu}][\p{L}]{4,}[.,;:]?$"))
-        .groupBy(norm("t").alias("joined")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= 8).select("joined", F.lit(True).alias("is_name"))
+        tokens.filter(F.col("t").rlike(r"^[\p{Lu}][\p{L}]{4,}[.,;:]?$"))
+        .groupBy(norm("t").alias("joined")).agg(F.sum("n").alias("_n")).filter(F.col("_n") >= 8).select("joined", F.lit(True).alias("is_name"))
     )
-    d = d.filter(F.col("marked") | (~F.coalesce(capital, F.lit(False)) & (F.length("n2") > 0) & F.col("t2").rlike(r"^[\p{L}\p{M}]")))
-    flag = lambda c: known.select(F.col("w").alias(c), F.lit(True).alias(f"k_{c}"))
+    d = d.filter(F.col("marked") | (F.length("n2") > 0))
     for c in ("joined", "n1", "n2", "compound"):
-        d = d.join(F.broadcast(flag(c)), c, "left")  # the lexicon, of checked size
+        d = d.join(flag(c), c, "left")
     d = d.join(names, "joined", "left").na.fill(False, ["k_joined", "k_n1", "k_n2", "k_compound", "is_name"])
-    d = kept(d.filter("marked OR k_joined OR is_name OR NOT (k_n1 OR k_n2)"))
+    d = kept(d.filter("marked OR k_joined OR is_name OR NOT k_n2"))
     whole = F.col("k_joined") | F.col("is_name")
     suspended = F.col("n2").isin(*AFTER_SUSPENDED) & ~whole
     with_sign = F.col("marked") & (F.length("n1") > 0) & ~(F.col("k_compound") & ~F.col("k_joined")) & ~suspended
     without = ~F.col("marked") & whole & ~(F.col("k_n1") & F.col("k_n2"))
-    maybe = ~F.col("marked") & ~whole & ~F.col("k_n1") & ~F.col("k_n2") & (F.length("joined") > 5) & F.col("n2").rlike(r"^[\p{L}\p{M}\p{N}^~;.,|'`]+$")
+    maybe = ~F.col("marked") & ~whole & ~F.col("k_n2") & (F.length("joined") > 5) & F.col("n2").rlike(r"^[\p{L}\p{M}\p{N}^~;.,|'`]+$")
     sure = d.filter(with_sign | without)
     tries = d.filter(maybe)
-    read = tries.select("joined").distinct().withColumn("r", readings_udf(words, 1)("joined")).filter(F.get("r", F.lit(0))["cost"] <= 1.0).select("joined")
+    # one edit at most: two parts that two edits make a word are too often two words
+    read = tries.select("joined").distinct().withColumn("r", readings_udf(words, vectors, 1)("joined")).filter(F.col("r").isNotNull()).select("joined")
     misread = tries.join(read, "joined")
     names_out = ["line_id", "next_id", "t1", "t2", "marked"]
     return sure.select(names_out).unionByName(misread.select(names_out)).dropDuplicates(["line_id"])
@@ -394,7 +474,10 @@ class Pages:
         self.words = lexicon_words(lexicon)
         self.known = lines.sparkSession.createDataFrame([(w,) for w in self.words], "w string")
         self.laid = laid_out(lines)
-        self.broken = kept(broken_lines(self.laid, self.known, self.words))
+        tokens = token_counts(self.laid)
+        count, slots, pairs = pair_counts(self.laid, tokens, self.words)
+        self.vectors = skip_gram(pairs, slots, count)
+        self.broken = kept(broken_lines(self.laid, self.known, self.words, tokens, self.vectors))
 
     def furniture(self) -> DataFrame:
         """(kind, row_id) of headers and page numbers."""
@@ -410,13 +493,16 @@ class Pages:
         """(hocr_id, page_idx, paragraph, text): the volume's text as continuous paragraphs.
 
         Headers and page numbers are gone, broken words joined, and words corrected where ``corrections``
-        (hocr_id, page_idx, line_idx, word, reading) has them. A paragraph starts at an indented line, after
-        a gap, and around headings and foot notes; what a page opens with belongs to the last paragraph of
-        the volume's page before. A paragraph bears the place where it starts.
+        (hocr_id, page_idx, line_idx, word_idx, word, reading) has them. A paragraph starts at an indented
+        line, after a gap, and around headings and foot notes; what a page opens with belongs to the last
+        paragraph of the pages before it in the volume, over any number of pages. A paragraph bears the place
+        where it starts; a line without a place is a paragraph by itself, with a null number.
         """
         page = Window.partitionBy("hocr_id", "page_idx")
         order = page.orderBy("line_idx", "line_id")
-        d = self.laid.filter(F.col("kind").isin("body", "foot")).select("line_id", "volume_id", "hocr_id", "page_idx", "line_idx", "x0", "y0", "y1", "text", "kind")
+        placed = F.col("hocr_id").isNotNull() & F.col("page_idx").isNotNull() & F.col("line_idx").isNotNull()
+        text_lines = self.laid.filter(F.col("kind").isin("body", "foot")).select("line_id", "volume_id", "hocr_id", "page_idx", "line_idx", "x0", "y0", "y1", "text", "kind")
+        d = text_lines.filter(placed)
         high = F.col("y1") - F.col("y0")
         d = d.select("*", F.min(F.when(F.col("kind") == "body", F.col("x0"))).over(page).alias("left"), F.median(high).over(page).alias("med"))
         d = d.withColumn("big", F.coalesce(high > 1.3 * F.col("med"), F.lit(False)))
@@ -425,38 +511,52 @@ class Pages:
         starts = F.coalesce(F.col("x0") - F.col("left") > 25, F.lit(False)) | gap | (F.col("kind") == "foot") | (F.col("big") != F.coalesce("big_before", F.lit(False)))
         d = d.withColumn("paragraph", F.sum(starts.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
         d = d.withColumn("_last", F.max(F.when(F.col("kind") == "body", F.col("paragraph"))).over(page)).drop("left", "med", "big", "big_before", "y1_before")
-        d = self._with_page_before(d)
+        d = self._with_open_paragraph(d)
         opens = (F.col("paragraph") == 0) & F.col("before").isNotNull()
         home = F.when(opens, F.col("before")).otherwise(F.struct(F.col("hocr_id").alias("h"), F.col("page_idx").alias("p"), F.col("paragraph").cast("long").alias("k")))
         d = with_toks(d.withColumn("home", home))
         if corrections is not None:
-            by_line = corrections.groupBy("hocr_id", "page_idx", "line_idx").agg(F.map_from_entries(F.collect_set(F.struct("word", "reading"))).alias("fixes"))
-            d = d.join(by_line, ["hocr_id", "page_idx", "line_idx"], "left").withColumn("toks", F.when(F.col("fixes").isNotNull(), F.transform("toks", lambda t: _set_right(t, F.try_element_at("fixes", t)))).otherwise(F.col("toks"))).drop("fixes")
+            # by the word's place in its line; where the line's words are not those of the table, by the word, if it has one reading there
+            by_word = corrections.groupBy("hocr_id", "page_idx", "line_idx", "word").agg(F.max("reading").alias("reading"), F.min("reading").alias("_other")).filter("reading = _other").select("hocr_id", "page_idx", "line_idx", F.lit(-1).alias("at"), "word", "reading")
+            each = corrections.filter("word_idx IS NOT NULL").select("hocr_id", "page_idx", "line_idx", F.col("word_idx").alias("at"), "word", "reading").dropDuplicates(["hocr_id", "page_idx", "line_idx", "at", "word"])
+            by_line = each.unionByName(by_word).groupBy("hocr_id", "page_idx", "line_idx").agg(F.map_from_entries(F.collect_list(F.struct(F.struct(F.col("at").cast("int").alias("at"), F.col("word").alias("word")), "reading"))).alias("fixes"))
+            key = lambda at, t: F.struct(at.cast("int").alias("at"), t.alias("word"))
+            fixed = F.transform("toks", lambda t, i: _set_right(t, F.coalesce(F.try_element_at("fixes", key(i, t)), F.try_element_at("fixes", key(F.lit(-1), t)))))
+            d = d.join(by_line, ["hocr_id", "page_idx", "line_idx"], "left").withColumn("toks", F.when(F.col("fixes").isNotNull(), fixed).otherwise(F.col("toks"))).drop("fixes")
         ends = self.broken.select("line_id", F.lit(True).alias("ends_broken"))
         said = F.array_join("toks", " ")
         d = d.join(ends, "line_id", "left").withColumn("said", F.when(F.col("ends_broken"), F.regexp_replace(said, SIGNS + "$", "")).otherwise(F.concat(said, F.lit(" "))))
         parts = F.array_sort(F.collect_list(F.struct("hocr_id", "page_idx", "line_idx", "line_id", "said")))
         g = d.groupBy("home").agg(F.trim(F.array_join(F.transform(parts, lambda x: x["said"]), "")).alias("text"))
-        return g.select(F.col("home.h").alias("hocr_id"), F.col("home.p").alias("page_idx"), F.col("home.k").alias("paragraph"), "text")
+        lost = text_lines.filter(~placed).select("hocr_id", "page_idx", F.lit(None).cast("long").alias("paragraph"), "text")
+        return g.select(F.col("home.h").alias("hocr_id"), F.col("home.p").alias("page_idx"), F.col("home.k").alias("paragraph"), "text").unionByName(lost)
 
     @staticmethod
-    def _with_page_before(d: DataFrame) -> DataFrame:
-        """Lines with (file, page, last paragraph) of the volume's page before theirs, ordered in parts."""
+    def _with_open_paragraph(d: DataFrame) -> DataFrame:
+        """Lines with the paragraph (file, page, number) that is open where their page begins; none on a volume's first page.
+
+        It is the last one of the nearest page before that starts any, else the one the volume begins with.
+        A volume's pages are ordered in parts, and of each part one row takes part in the order over the volume.
+        """
         pages = d.groupBy("volume_id", "hocr_id", "page_idx").agg(F.max("_last").cast("long").alias("k")).withColumn("part", F.floor(F.col("hocr_id") / FILES_PER_PART))
         place = F.struct(F.col("hocr_id").alias("h"), F.col("page_idx").alias("p"), "k")
-        w = Window.partitionBy("volume_id", "part").orderBy("hocr_id", "page_idx")
-        pages = pages.select("*", place.alias("place")).select("*", F.lag("place").over(w).alias("before"), F.row_number().over(w.orderBy(F.col("hocr_id").desc(), F.col("page_idx").desc())).alias("_r"))
-        tails = pages.filter("_r = 1").select(F.col("volume_id").alias("_v"), F.col("part").alias("_p"), "place")
-        over_parts = tails.select("_v", "_p", F.lag("place").over(Window.partitionBy("_v").orderBy("_p")).alias("_before"))
-        linked = pages.join(over_parts, pages["volume_id"].eqNullSafe(F.col("_v")) & (pages["part"] == F.col("_p")), "left").select("hocr_id", "page_idx", F.coalesce("before", "_before").alias("before"))
-        return d.drop("_last").join(linked.filter(F.col("before.k").isNotNull()), ["hocr_id", "page_idx"], "left")
+        w = Window.partitionBy("volume_id", "part").orderBy("hocr_id", "page_idx").rowsBetween(Window.unboundedPreceding, -1)
+        pages = pages.select("*", F.when(F.col("k") > 0, place).alias("starts"), F.when(F.col("k").isNotNull(), place).alias("has_text"))
+        here = pages.select("*", F.last("starts", ignorenulls=True).over(w).alias("before"))
+        parts = pages.groupBy("volume_id", "part").agg(F.max("starts").alias("tail"), F.min("has_text").alias("head"))
+        v = Window.partitionBy("volume_id").orderBy("part")
+        over = parts.select(F.col("volume_id").alias("_v"), F.col("part").alias("_p"), F.last("tail", ignorenulls=True).over(v.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"), F.first("head", ignorenulls=True).over(v.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_first"))
+        linked = here.join(over, F.col("volume_id").eqNullSafe(F.col("_v")) & (F.col("part") == F.col("_p")), "left")
+        later = F.struct("hocr_id", "page_idx") > F.struct(F.col("_first.h").alias("hocr_id"), F.col("_first.p").alias("page_idx"))
+        linked = linked.select("hocr_id", "page_idx", F.coalesce("before", "_before", F.when(later, F.col("_first"))).alias("before"))
+        return d.drop("_last").join(linked.filter(F.col("before").isNotNull()), ["hocr_id", "page_idx"], "left")
 
     def misread(self, ocr_words: DataFrame, word_csv: DataFrame) -> DataFrame:
-        """(kind, row_id, hocr_id, page_idx, line_idx, word, reading) of misread words of both tables, corrected in context."""
+        """(kind, row_id, hocr_id, page_idx, line_idx, word_idx, word, reading) of misread words of both tables, corrected in context."""
         rows_a = kept(unknown_rows(ocr_words, self.known, ["word_id", "hocr_id", "page_idx", "line_idx", "word_idx"], "ocrx_word").drop("w"))
         rows_b = kept(unknown_rows(word_csv, self.known, ["csv_id", "filename", "left_x", "upper_y"], "word").drop("w"))
         forms = rows_a.select("word").unionByName(rows_b.select("word")).distinct().repartition("word")
-        read = kept(forms.withColumn("r", readings_udf(self.words)("word")).filter(F.col("r").isNotNull()))
+        read = kept(forms.withColumn("r", readings_udf(self.words, self.vectors)("word")).filter(F.col("r").isNotNull()))
         rows_a = only_current(rows_a.join(read, "word"), ocr_words, "word_id").drop("loaded_at").dropDuplicates(["word_id"])
         rows_b = only_current(rows_b.join(read, "word"), word_csv, "csv_id").drop("loaded_at").dropDuplicates(["csv_id"])
         lines = self.laid.select("line_id", "volume_id", "hocr_id", "page_idx", "page_num", "line_idx", "x0", "y0", "x1", "text", F.col("kind").alias("line_kind"), (F.col("rank") == F.col("n")).alias("is_last"))
@@ -464,7 +564,7 @@ class Pages:
         a = self.flagged(with_toks(rows_a.join(lines, ["hocr_id", "page_idx", "line_idx"], "left")))
         is_first = F.col("word_idx") == 0
         is_last = (F.col("word_idx") >= F.size("toks") - 2) & (F.try_element_at("toks", F.lit(-1)) == F.col("word"))
-        a = self._kept(a, is_first, is_last).select(F.lit("misread_word").alias("kind"), F.col("word_id").alias("row_id"), "hocr_id", "page_idx", "line_idx", "word", "r", self._around(F.col("word_idx")).alias("around"))
+        a = self._kept(a, is_first, is_last).select(F.lit("misread_word").alias("kind"), F.col("word_id").alias("row_id"), "hocr_id", "page_idx", "line_idx", "word_idx", "word", "r", self._around(F.col("word_idx")).alias("around"))
 
         name = r"^(.*)_(\d+)\.[A-Za-z0-9]+$"
         b = rows_b.withColumn("volume_id", F.regexp_extract("filename", name, 1)).withColumn("page_no", F.regexp_extract("filename", name, 2).try_cast("int"))
@@ -479,11 +579,10 @@ class Pages:
         is_first = F.coalesce(F.abs(F.col("left_x") - F.col("x0")) <= 8, F.lit(False))
         is_last = F.coalesce(F.col("left_x") + per_sign * F.length("word") >= F.col("x1") - 2 * per_sign, F.lit(False))
         place = F.round((F.col("left_x") - F.col("x0")) / (F.col("x1") - F.col("x0")) * F.size("toks"))
-        b = self._kept(b, is_first, is_last).select(F.lit("misread_csv").alias("kind"), F.col("csv_id").alias("row_id"), *(F.lit(None).cast(t).alias(c) for c, t in (("hocr_id", "long"), ("page_idx", "int"), ("line_idx", "int"))), "word", "r", self._around(place).alias("around"))
+        b = self._kept(b, is_first, is_last).select(F.lit("misread_csv").alias("kind"), F.col("csv_id").alias("row_id"), *(F.lit(None).cast(t).alias(c) for c, t in (("hocr_id", "long"), ("page_idx", "int"), ("line_idx", "int"), ("word_idx", "int"))), "word", "r", self._around(place).alias("around"))
         both = a.unionByName(b)
-        top, n = pair_counts(self.laid.filter(F.col("kind") == "body"), self.words)
-        chosen = both.withColumn("c", choose_udf(top, *skip_gram(n))("r", "around"))
-        return chosen.filter(F.col("c.word").isNotNull()).select("kind", "row_id", "hocr_id", "page_idx", "line_idx", "word", F.col("c.word").alias("reading"))
+        chosen = both.withColumn("c", choose_udf(self.vectors)("r", "around"))
+        return chosen.filter(F.col("c.word").isNotNull()).select("kind", "row_id", "hocr_id", "page_idx", "line_idx", "word_idx", "word", F.col("c.word").alias("reading"))
 
     @staticmethod
     def _kept(df: DataFrame, is_first: Column, is_last: Column) -> DataFrame:
@@ -511,5 +610,5 @@ def noise(lines: DataFrame, ocr_words: DataFrame, word_csv: DataFrame, lexicon:
 def continuous_text(lines: DataFrame, ocr_words: DataFrame, word_csv: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(hocr_id, page_idx, paragraph, text): all volumes as repaired paragraphs."""
     pages = Pages(lines, lexicon)
-    fixes = pages.misread(ocr_words, word_csv).filter("kind = 'misread_word' AND hocr_id IS NOT NULL").select("hocr_id", "page_idx", "line_idx", "word", "reading")
-    return pages.paragraphs(fixes.dropDuplicates(["hocr_id", "page_idx", "line_idx", "word"]))
+    fixes = pages.misread(ocr_words, word_csv).filter("kind = 'misread_word' AND hocr_id IS NOT NULL").select("hocr_id", "page_idx", "line_idx", "word_idx", "word", "reading")
+    return pages.paragraphs(fixes)

@@ -127,19 +127,39 @@ def test_long_pages(spark):
 # Problem 4.
 
 
+def _vectors(words, n=None):
+    n = np.ones((len(words), len(words)), np.float32) if n is None else n
+    return scan.skip_gram(n, {w: i for i, w in enumerate(words)}, dict.fromkeys(words, 1))
+
+
 def test_readings():
-    trie = scan.Trie(["every", "modern", "the", "collected", "half-bound", "ancient", "strasse", "in"])
-    best = lambda w: (scan.readings(w, trie) or [(None, 0)])[0][0]
+    words = ["every", "modern", "the", "collected", "half-bound", "ancient", "strasse", "in"]
+    trie, vectors = scan.Trie(words), _vectors(words)
+    best = lambda w: (scan.readings(w, trie, vectors) or [(None, 0)])[0][0]
     assert [best(w) for w in ("Evcry", "rnodern", "tbe", "collectecl,", "anc^ient", "StraBe", "co1lected", "1n")] == ["every", "modern", "the", "collected", "ancient", "strasse", "collected", "in"]
-    assert [best(w) for w in ("Every", "Hazzoubek", "1234", "5O", r"\textbf{evcry}", "th​e", "", "x", "ation")] == [None] * 9
+    assert [best(w) for w in ("Every", "Hazzoubek", "1234", "5O", r"\textbf{evcry}", "th\u200be", "", "x", "ation")] == [None] * 9
+    many = [f"ab{x}de" for x in "fghjkmpqr"]
+    assert len(scan.Trie(many).candidates("ab1de")) == len(many)
+
+
+def test_links_come_from_the_vectors():
+    words = ["every", "modern", "the", "collected"]
+    trie = scan.Trie(words)
+    none = scan.Vectors(np.zeros((scan.BUCKETS, 8), np.float32), np.zeros((4, 8), np.float32), {}, np.zeros(8, np.float32))
+    assert scan.readings("evcry", trie, _vectors(words)) and scan.readings("evcry", trie, none) is None
+    near = _vectors(words).linked("evcry", [("every", 1.0), ("the", 1.0)])
+    assert near == [("every", 1.0)]
 
 
 def test_skip_gram_prefers_seen_neighbours():
-    n = np.zeros((4, 4))
+    n = np.zeros((4, 4), np.float32)
     n[0, 1] = n[1, 0] = n[2, 3] = n[3, 2] = 50
-    w, c = scan.skip_gram(n)
-    fit = w @ c.T
-    assert fit[0, 1] > fit[0, 3] and fit[2, 3] > fit[2, 1]
+    words = ["leaf", "brittle", "box", "museum"]
+    v = _vectors(words, n)
+    assert v.fit("leaf", ["brittle"]) > v.fit("leaf", ["museum"]) and v.fit("box", ["museum"]) > v.fit("box", ["brittle"])
+    assert v.fit("leaf", ["unseen"]) is None and scan.slot("w", 3) == 3 and scan.SLOTS // 2 <= scan.slot("w", 10**6) < scan.SLOTS
+    shared = scan.skip_gram(np.ones((1, 1), np.float32), {"a": 0, "b": 0}, {"a": 3, "b": 1})
+    assert np.isfinite(shared.of("a")).all() and len(scan.skip_gram(np.zeros((0, 0), np.float32), {}, {}).context) == 0
 
 
 def _line(i, y, text, h=30, x=100, p=0, f=1, v="v", at=T1):
@@ -183,13 +203,43 @@ def test_misread_words(spark):
 
 def test_reflowed_paragraphs(spark):
     rows = [_line(100, 60, "Running title here", h=26), _line(101, 130, "the collec-", x=140), _line(102, 171, "tion is tbe end."), _line(103, 212, "A new one be-", x=140), _line(104, 1600, "[12]", x=550), _line(200, 60, "gins here.", p=1), _line(201, 101, "Next", p=1, x=140)]
-    fixed = spark.createDataFrame([(1, 0, 2, "tbe", "the")], "hocr_id long, page_idx int, line_idx int, word string, reading string")
+    fixed = spark.createDataFrame([(1, 0, 2, 2, "tbe", "the")], "hocr_id long, page_idx int, line_idx int, word_idx int, word string, reading string")
     lexicon = spark.createDataFrame([(w,) for w in "the collection is end begins here a new one next".split()], "word string")
     pages = scan.Pages(spark.createDataFrame(rows, LINES), lexicon)
     got = [r.text for r in pages.paragraphs(fixed).orderBy("hocr_id", "page_idx", "paragraph").collect()]
     assert got == ["the collection is the end.", "A new one begins here.", "Next"]
 
 
+def test_a_paragraph_over_four_pages(spark):
+    rows = [_line(100 * (p + 1) + i, 130 + 41 * i, f"page {p} line {i}", p=p, x=140 if (p, i) in ((0, 0), (3, 1)) else 100) for p in range(4) for i in range(2)]
+    rows += [_line(900, 130, "lost a", p=None), (901, None, "v", 0, "1", 0, None, "lost b", T1)]
+    rows += [_line(100, 130, "page 0 line 0", p=7, x=140, at=dt.datetime(2024, 6, 1))]  # delivered at another place before
+    pages = scan.Pages(spark.createDataFrame(rows, LINES), spark.createDataFrame([("page",)], "word string"))
+    got = {(r.hocr_id, r.page_idx, r.paragraph): r.text for r in pages.paragraphs().collect()}
+    running = " ".join(f"page {p} line {i}" for p in range(4) for i in range(2) if (p, i) != (3, 1))
+    assert got == {(1, 0, 1): running, (1, 3, 1): "page 3 line 1", (1, None, None): "lost a", (None, 0, None): "lost b"}
+
+
+def test_two_readings_of_one_word_in_a_line(spark):
+    rows = [_line(100, 130, "tbe leaf and tbe box")]
+    fixed = spark.createDataFrame([(1, 0, 0, 0, "tbe", "the"), (1, 0, 0, 3, "tbe", "toe")], "hocr_id long, page_idx int, line_idx int, word_idx int, word string, reading string")
+    pages = scan.Pages(spark.createDataFrame(rows, LINES), spark.createDataFrame([("leaf",)], "word string"))
+    assert [r.text for r in pages.paragraphs(fixed).collect()] == ["the leaf and toe box"]
+
+
+def test_lines_without_a_place_are_kept(spark):
+    rows = [(i, *x, "v", *y, "1", z, (100, 130, 600, 160), "tbe leaf", T1) for i, (x, y, z) in enumerate([((None,), (0,), 0), ((1,), (None,), 0), ((1,), (0,), None)])]
+    laid = scan.laid_out(spark.createDataFrame(rows, LINES))
+    assert {(r.line_id, r.kind) for r in laid.collect()} == {(0, "body"), (1, "body"), (2, "body")}
+
+
+def test_a_word_broken_in_foot_notes(spark):
+    body = [_line(100 + i, 130 + 41 * i, "the leaf of the book") for i in range(6)]
+    rows = [*body, _line(110, 1400, "1. a collec-", h=20), _line(120, 130, "the leaf", p=1), _line(121, 171, "of the book", p=1), _line(122, 212, "of the book", p=1), _line(123, 1400, "tion of notes", h=20, p=1)]
+    pages = scan.Pages(spark.createDataFrame(rows, LINES), spark.createDataFrame([(w,) for w in ("the", "leaf", "of", "book", "collection", "a", "notes")], "word string"))
+    assert [(r.line_id, r.next_id) for r in pages.broken.collect()] == [(110, 123)]
+
+
 # Problem 5.
 
 
