@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -91,9 +91,9 @@ def laid_out(lines: DataFrame) -> DataFrame:
     every = lines.select(*cols)
     df = every.filter(placed).repartition("hocr_id", "page_idx").withColumn("_r", F.row_number().over(same)).filter("_r = 1").drop("_r")
     # a line delivered again at another place counts where it was delivered last
-    place = F.struct("hocr_id", "page_idx", "line_idx")
-    places = every.groupBy("line_id").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.max(F.struct("loaded_at", place.alias("at")))["at"].alias("at"))
-    moved = places.filter("a <> b").select(F.col("line_id").alias("_l"), F.col("at"))
+    where = F.xxhash64("hocr_id", "page_idx", "line_idx")
+    twice = every.groupBy("line_id").agg(F.min(where).alias("a"), F.max(where).alias("b")).filter("a <> b").select(F.col("line_id").alias("_l"))
+    moved = every.select("line_id", "loaded_at", "hocr_id", "page_idx", "line_idx").join(twice, F.col("line_id").eqNullSafe(F.col("_l"))).groupBy("_l").agg(F.max(F.struct("loaded_at", F.struct("hocr_id", "page_idx", "line_idx").alias("at")))["at"].alias("at"))
     here = F.struct("hocr_id", "page_idx", "line_idx").eqNullSafe(F.col("at"))
     df = df.join(moved, F.col("line_id").eqNullSafe(F.col("_l")), "left").filter(F.col("_l").isNull() | here).drop("_l", "at", "loaded_at")
     # without a place there is no layout: such lines are body, each by itself
@@ -164,6 +164,7 @@ class Trie:
 
     def __init__(self, words: list[str]):
         self.root: dict = {}
+        self.walked: dict[tuple[str, int], list[tuple[str, float]]] = {}
         self.words = frozenset(words)
         for w in self.words:
             node = self.root
@@ -189,6 +190,8 @@ class Trie:
         size = len(form)
         if size < 2 or form in self.words:
             return []
+        if (known := self.walked.get((form, limit))) is not None:
+            return known
         most = min(limit, 1 if size <= 3 else 2 if size <= 7 else 3)
         best: dict[str, float] = {}
         todo = [(0, self.root, 0, 0.0, False)]
@@ -225,7 +228,11 @@ class Trie:
                 for c, step in node.items():
                     if c and c != ch:
                         todo.append((at + 1, step, edits + 1, cost + 1.7, True))
-        return sorted(best.items(), key=lambda x: (x[1], x[0]))
+        found = sorted(best.items(), key=lambda x: (x[1], x[0]))
+        if len(self.walked) > 100_000:
+            self.walked.clear()
+        self.walked[form, limit] = found
+        return found
 
 
 def readings(word: str, trie: Trie, vectors: Vectors, limit: int = 3) -> list[tuple[str, float]] | None:
@@ -306,11 +313,11 @@ def pair_counts(laid: DataFrame, tokens: DataFrame, words: list[str]) -> tuple[d
     count = {r.w: r.n for r in sorted(counted, key=lambda r: (-r.n, r.w))}
     slots = {w: slot(w, k) for k, w in enumerate(count)}
     size = max(slots.values(), default=-1) + 1
-    seq = laid.filter(F.col("kind") == "body").select(F.transform(F.split(plain("text"), " "), lambda w: F.rtrim(w, F.lit(".,;:"))).alias("s"))
+    seq = laid.filter(F.col("kind") == "body").select(F.split(plain("text"), " ").alias("s"))
     ahead = [F.arrays_zip(F.col("s").alias("a"), F.slice("s", k + 1, F.size("s")).alias("b")) for k in range(1, WINDOW + 1)]
     pairs = seq.filter(F.size("s") > 1).select(F.explode(F.concat(*ahead)).alias("p")).select(F.col("p.a").alias("a"), F.col("p.b").alias("b")).filter(F.col("b").isNotNull())
     at = spark.createDataFrame(list(slots.items()), "v string, k int")
-    by_word = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+    by_word = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).select(F.rtrim("a", F.lit(".,;:")).alias("a"), F.rtrim("b", F.lit(".,;:")).alias("b"), "n")
     by_slot = by_word.join(F.broadcast(at.select(F.col("v").alias("a"), F.col("k").alias("i"))), "a").join(F.broadcast(at.select(F.col("v").alias("b"), F.col("k").alias("j"))), "b").groupBy("i", "j").agg(F.sum("n").alias("n"))
     n = np.zeros((size, size), np.float32)
     if size:
@@ -328,8 +335,15 @@ class Vectors:
     slots: dict[str, int]
     middle: np.ndarray
 
+    made: dict[str, np.ndarray] = field(default_factory=dict)
+
     def of(self, word: str) -> np.ndarray:
-        return self.ngrams[grams(word)].mean(0)
+        x = self.made.get(word)
+        if x is None:
+            if len(self.made) > 50_000:
+                self.made.clear()
+            x = self.made[word] = self.ngrams[grams(word)].mean(0)
+        return x
 
     def linked(self, form: str, found: list[tuple[str, float]]) -> list[tuple[str, float]]:
         """The words that are neighbours of a form."""
@@ -428,7 +442,6 @@ def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: Da
         tokens.filter(F.col("t").rlike(r"^[\p{Lu}][\p{L}]{4,}[.,;:]?$"))
         .groupBy(norm("t").alias("joined")).agg(F.sum("n").alias("_n")).filter(F.col("_n") >= 8).select("joined", F.lit(True).alias("is_name"))
     )
-    d = d.filter(F.col("marked") | (F.length("n2") > 0))
     for c in ("joined", "n1", "n2", "compound"):
         d = d.join(flag(c), c, "left")
     d = d.join(names, "joined", "left").na.fill(False, ["k_joined", "k_n1", "k_n2", "k_compound", "is_name"])
@@ -436,7 +449,7 @@ def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: Da
     whole = F.col("k_joined") | F.col("is_name")
     suspended = F.col("n2").isin(*AFTER_SUSPENDED) & ~whole
     with_sign = F.col("marked") & (F.length("n1") > 0) & ~(F.col("k_compound") & ~F.col("k_joined")) & ~suspended
-    without = ~F.col("marked") & whole & ~(F.col("k_n1") & F.col("k_n2"))
+    without = ~F.col("marked") & (F.length("n2") > 0) & whole & ~(F.col("k_n1") & F.col("k_n2"))
     maybe = ~F.col("marked") & ~whole & ~F.col("k_n2") & (F.length("joined") > 5) & F.col("n2").rlike(r"^[\p{L}\p{M}\p{N}^~;.,|'`]+$")
     sure = d.filter(with_sign | without)
     tries = d.filter(maybe)
@@ -450,13 +463,19 @@ def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: Da
 # Misread words.
 
 
-def unknown_rows(df: DataFrame, known: DataFrame, keys: list[str], word: str) -> DataFrame:
-    """Rows with a letter in their word and a word that the lexicon has not."""
-    lexicon = F.broadcast(known)  # of checked size
-    rows = df.select(*keys, F.col(word).alias("word"), "loaded_at").filter(F.length("word") > 1).withColumn("w", F.lower(F.rtrim("word", F.lit(".,;:"))))
-    rows = rows.join(lexicon, "w", "left_anti")  # most words end here, before any pattern
-    rows = rows.filter(F.col("word").rlike(r"[\p{L}]") & ~F.col("word").rlike(r"[\\<>{}()\[\]&#/=_$@%+]|[\p{L}\p{M}]" + SIGNS + "$")).withColumn("w", norm("word"))
-    return rows.join(lexicon, "w", "left_anti").filter(F.length("w") > 1)
+def as_printed(words: list[str]) -> list[str]:
+    """Lexicon words as they mostly stand in a text: in three cases, with a stop or comma or without; fifteen forms of each at most."""
+    return sorted({case + sign for w in words for case in (w, w.capitalize(), w.upper()) for sign in ("", ".", ",", ";", ":")})
+
+
+def unknown_rows(df: DataFrame, known: DataFrame, plain: DataFrame, keys: list[str], word: str) -> DataFrame:
+    """Rows with a letter in their word and a word that the lexicon has not; ``plain`` has lexicon words as printed."""
+    lexicon = F.broadcast(known)  # of checked size, and plain fifteen times that at most
+    rows = df.select(*keys, F.col(word).alias("word"), "loaded_at").join(F.broadcast(plain.withColumn("_plain", F.lit(True))), "word", "left")
+    may_be = (F.length("word") > 1) & F.col("word").rlike(r"[\p{L}]") & ~F.col("word").rlike(r"[\\<>{}()\[\]&#/=_$@%+]|[\p{L}\p{M}]" + SIGNS + "$")
+    # one condition on both sides, so that the patterns run behind the join, where most words are gone; a filter on w would run before it
+    rows = rows.filter(F.when(F.col("_plain").isNull(), may_be).otherwise(F.col("_plain").isNull())).drop("_plain").withColumn("w", norm("word"))
+    return rows.join(lexicon, "w", "left_anti")
 
 
 def _set_right(stored: Column, reading: Column) -> Column:
@@ -553,9 +572,11 @@ class Pages:
 
     def misread(self, ocr_words: DataFrame, word_csv: DataFrame) -> DataFrame:
         """(kind, row_id, hocr_id, page_idx, line_idx, word_idx, word, reading) of misread words of both tables, corrected in context."""
-        rows_a = kept(unknown_rows(ocr_words, self.known, ["word_id", "hocr_id", "page_idx", "line_idx", "word_idx"], "ocrx_word").drop("w"))
-        rows_b = kept(unknown_rows(word_csv, self.known, ["csv_id", "filename", "left_x", "upper_y"], "word").drop("w"))
-        forms = rows_a.select("word").unionByName(rows_b.select("word")).distinct().repartition("word")
+        plain = self.known.sparkSession.createDataFrame([(w,) for w in as_printed(self.words)], "word string")
+        rows_a = kept(unknown_rows(ocr_words, self.known, plain, ["word_id", "hocr_id", "page_idx", "line_idx", "word_idx"], "ocrx_word"))
+        rows_b = kept(unknown_rows(word_csv, self.known, plain, ["csv_id", "filename", "left_x", "upper_y"], "word"))
+        forms = rows_a.select("word", "w").unionByName(rows_b.select("word", "w")).filter(F.length("w") > 1).distinct().repartition("w")  # forms of one word in one task
+        rows_a, rows_b = rows_a.drop("w"), rows_b.drop("w")
         read = kept(forms.withColumn("r", readings_udf(self.words, self.vectors)("word")).filter(F.col("r").isNotNull()))
         rows_a = only_current(rows_a.join(read, "word"), ocr_words, "word_id").drop("loaded_at").dropDuplicates(["word_id"])
         rows_b = only_current(rows_b.join(read, "word"), word_csv, "csv_id").drop("loaded_at").dropDuplicates(["csv_id"])
