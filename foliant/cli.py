@@ -1,4 +1,4 @@
-"""Command line: python -m foliant.cli {batch,report,audit,proofread,extract,recognise,split} ...
+"""Command line: python -m foliant.cli {batch,report,audit,extract,proofread,recognise,split} ...
 
 Folders are read as rows of files and results written back as files, as the workflow's steps pass them on.
 Steps that need a service or codec take ``--client module:factory`` (see ``foliant.sources.remote``).
@@ -14,14 +14,16 @@ import json
 import logging
 import shutil
 import sys
+import time
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions import text as tx
-from foliant.operators import audit, batching, diff, hocr, profile, render, retry, roles
-from foliant.session import kept, local_session
+from foliant.operators import audit, batching, diff, hocr, profile, quota, render, retry, roles
+from foliant.session import discard_kept, kept, local_session
 from foliant.sources import files, remote
 
 EXIT_COUNT_MISMATCH, EXIT_NO_INPUT = 2, 1
@@ -63,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     r.add_argument("-i", "--input", required=True)
     r.add_argument("-s", "--source")
     r.add_argument("-o", "--output", required=True)
+    r.add_argument("--keep-lone", action="store_true", help="take pages of batches without an original into the documents")
     for flag in ("--latex", "--latex-page-breaks", "--markdown", "--markdown-preserve-formatting"):
         r.add_argument(flag, action="store_true")
     a = sub.add_parser("audit", help="batches without a plausible corrected file")
@@ -78,6 +81,9 @@ def parser() -> argparse.ArgumentParser:
         x.add_argument("-t", "--temperature", type=temperature, default=0.0)
         x.add_argument("-m", "--max-attempts", type=positive, default=1)
         x.add_argument("--client", required=True, default=default)
+        x.add_argument("--model", default="", help="the client's model, whose quotas hold")
+        x.add_argument("--quota-config", help="JSON with the quotas of models; without it none hold")
+        x.add_argument("--clock", default="foliant.cli:clock", help="module:factory of (now, sleep), in seconds")
         x.add_argument("--first", type=positive)
         x.add_argument("--last", type=positive)
         if name == "extract":
@@ -85,6 +91,7 @@ def parser() -> argparse.ArgumentParser:
     o = sub.add_parser("recognise", help="Markdown, hOCR and word CSV from a recognition service")
     o.add_argument("-p", "--pattern", required=True)
     o.add_argument("-o", "--output", default=".")
+    o.add_argument("--print-page-dimensions", action="store_true")
     o.add_argument("--client", required=True)
     s = sub.add_parser("split", help="where to split two-page scans, as crop commands")
     s.add_argument("dir")
@@ -94,6 +101,11 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def clock() -> tuple[Callable[[], float], Callable[[float], None]]:
+    """The time and how to wait."""
+    return time.time, time.sleep
+
+
 def client(name: str):
     module, _, attribute = name.partition(":")
     return getattr(importlib.import_module(module), attribute)
@@ -137,17 +149,19 @@ def report(spark: SparkSession, o: argparse.Namespace) -> int:
     text = f.select("dir", F.col("name").alias("proofread"), "text")
     before = f.select("dir", F.col("name").alias("original"), F.col("text").alias("before"))
     pairs = r.join(text, ["dir", "proofread"]).join(before, ["dir", "original"], "left")
-    lines = diff.line_differences(pairs.filter("original IS NOT NULL").select(F.col("dir").alias("batch_dir"), F.col("proofread").alias("file"), "before", "text"), ["batch_dir", "file"], "before", "text")
+    lines = kept(diff.line_differences(pairs.filter("original IS NOT NULL").select(F.col("dir").alias("batch_dir"), F.col("proofread").alias("file"), "before", "text"), ["batch_dir", "file"], "before", "text"))
     out = Path(o.output)
     parts = diff.batch_report(lines, [], "batch_dir", "file").withColumn("name", F.concat_ws("/", F.lit("diffs"), F.concat("batch_dir", F.lit(".diff"))))
     files.export_texts(parts, str(out), "name", "text")
     base = r.orderBy("dir").select(roles.base_name(F.lit(Path(o.source).name if o.source else None).cast("string"), F.col("proofread"), F.col("dir"))).first()[0]
-    joined = parts.agg(render.in_order(F.col("batch_dir"), F.col("text")).alias("text")).select(F.lit(f"{base}.diff").alias("name"), F.coalesce("text", F.lit("")).alias("text"))
-    html = diff.html_report(lines, base).agg(render.in_order(F.col("batch_dir"), F.col("html")).alias("t")).select(F.lit(f"{base}-diff.html").alias("name"), F.concat(F.lit("<!DOCTYPE html>\n<html><body>\n"), F.coalesce("t", F.lit("")), F.lit("\n</body></html>\n")).alias("text"))
-    parsed = pairs.select("dir", hocr.structure(F.col("text")).alias("s"))
-    merged = render.merged_hocr(parsed.select(F.lit(0).alias("g"), F.col("dir").alias("batch_dir"), F.col("s.prefix").alias("prefix"), F.col("s.pages").alias("pages")), "g").select(F.lit(f"{base}-merged.hocr").alias("name"), "text")
-    for d in (joined, html, merged):
-        files.export_texts(d, str(out), "name", "text")
+    files.write_document(parts, str(out / f"{base}.diff"), ["batch_dir"], "text", by="\n")
+    head, tail = diff.report_frame(base)
+    files.write_document(diff.report_rows(lines, "batch_dir", "file"), str(out / f"{base}-diff.html"), ["batch_dir", "ord"], "html", head, tail, "\n")
+    # a batch with one file only has nothing to be compared with, and its pages are left out, as the workflow has it
+    whole = pairs if o.keep_lone else pairs.filter("original IS NOT NULL")
+    parsed = whole.select("dir", hocr.structure(F.col("text")).alias("s"))
+    merged = render.merged_parts(parsed.select(F.lit(0).alias("g"), F.col("dir").alias("batch_dir"), F.col("s.prefix").alias("prefix"), F.col("s.pages").alias("pages")), "g").withColumn("ends", F.col("batch_dir").isNull())
+    files.write_document(merged, str(out / f"{base}-merged.hocr"), ["ends", "batch_dir", "part"], "text")
     if o.latex or o.markdown:
         order = parsed.select("dir", F.posexplode("s.pages").alias("i", "html"))
         numbered = batching.numbered(order.withColumn("hocr_id", F.lit(0)), ["hocr_id"], ["dir", "i"], "page_idx")
@@ -157,11 +171,10 @@ def report(spark: SparkSession, o: argparse.Namespace) -> int:
         words = hocr.words(page_lines, ["hocr_id", "page_idx"])
         args = (page_lines.drop("words"), words, pages)
         if o.markdown:
-            d = render.markdown_documents(render.markdown_pages(*args, preserve=o.markdown_preserve_formatting)).select(F.lit(f"{base}.md").alias("name"), "text")
-            files.export_texts(d, str(out), "name", "text")
+            files.write_document(render.markdown_pages(*args, preserve=o.markdown_preserve_formatting), str(out / f"{base}.md"), ["page_idx"], "text", by="\n\n")
         if o.latex:
-            d = render.latex_documents(render.latex_pages(*args), o.latex_page_breaks).select(F.lit(f"{base}.tex").alias("name"), "text")
-            files.export_texts(d, str(out), "name", "text")
+            head, between, tail = render.latex_frame(o.latex_page_breaks)
+            files.write_document(render.latex_pages(*args), str(out / f"{base}.tex"), ["page_idx"], "text", head, tail, between)
     return 0
 
 
@@ -180,51 +193,101 @@ def audit_folder(spark: SparkSession, o: argparse.Namespace) -> int:
     return 0
 
 
-def ask(spark: SparkSession, o: argparse.Namespace) -> int:
-    """Ask a client about each image (proofread: with the folder's hOCR); results lie beside their input or in the output folder."""
+def turnstile(rows: list[tuple], clock_name: str) -> quota.Turnstile:
+    return quota.Turnstile(rows, *client(clock_name)())
+
+
+def extract(spark: SparkSession, o: argparse.Namespace) -> int:
+    """One text of all images, asked for in chunks: one after the other, as their model's quotas count them."""
+    make = client(o.client)
+    images = files.images(spark, o.path).select(F.lit(0).alias("g"), "path", "name")
+    if o.first or o.last:
+        images = batching.selected_range(images, ["g"], ["name"], o.first or 1, o.last)
+    chunks = batching.numbered(images.drop("position"), ["g"], ["name"]).withColumn("chunk", batching.batch_of(F.col("position"), o.chunk_size))
+    asked = chunks.groupBy("chunk").agg(F.array_sort(F.collect_list("path")).alias("images")).withColumn("prompt", F.lit(o.prompt))
+    rows, clock_name = _quotas(spark, o), o.clock
+
+    def factory():
+        model, gate = make(), turnstile(rows, clock_name)
+
+        def one(prompt, images):
+            refused = gate.enter()
+            if refused != "ok":
+                raise RuntimeError(f"quota exceeded: {refused}")
+            text = model(prompt, images)
+            gate.went_through()
+            return text
+
+        return one
+
+    got = kept(remote.answers(asked.coalesce(1), ["chunk"], ["prompt", "images"], factory))  # asked once
+    failed = got.filter("status <> 'ok'").orderBy("chunk").take(1)
+    if failed:  # one failed request ends the run
+        print(f"request failed: {failed[0].status} {failed[0].error}", file=sys.stderr)
+        return EXIT_NO_INPUT
+    folder = Path(o.output or (o.path if Path(o.path).is_dir() else Path(o.path).parent))
+    names = spark.range(1).select(*(tx.answer_name(F.lit(_minute()), k).alias(k) for k in ("output", "prompt"))).first()
+    files.write_document(got, str(folder / names.output), ["chunk"], "text", by="\n\n")
+    (folder / names.prompt).write_text(o.prompt, "utf-8")
+    return 0
+
+
+def _minute() -> dt.datetime:
+    return dt.datetime.now().replace(second=0, microsecond=0)
+
+
+def _quotas(spark: SparkSession, o: argparse.Namespace) -> list[tuple]:
+    """The model's quotas; a warning where there are none, since its calls are not counted then."""
+    found = files.quota_config(spark, o.quota_config).filter(F.col("model") == o.model).drop("model").collect() if o.quota_config else []  # a few rows of one model
+    if not found:
+        log.warning("no quotas for model %r: its calls are not counted", o.model)
+    return [tuple(r) for r in found]
+
+
+def proofread(spark: SparkSession, o: argparse.Namespace) -> int:
+    """Correct each folder's hOCR against its image; results and what failed lie beside the input.
+
+    Calls go one after the other: their quotas and the minute between pages are their model's.
+    """
     make = client(o.client)
-    if o.step == "extract":
-        images = files.images(spark, o.path).select(F.lit(0).alias("g"), "path", "name")
-        if o.first or o.last:
-            images = batching.selected_range(images, ["g"], ["name"], o.first or 1, o.last or 1_000_000)
-        chunks = batching.numbered(images.drop("position"), ["g"], ["name"]).withColumn("chunk", batching.batch_of(F.col("position"), o.chunk_size))
-        asked = chunks.groupBy("chunk").agg(F.array_sort(F.collect_list("path")).alias("images")).withColumn("prompt", F.lit(o.prompt))
-        got = kept(remote.answers(asked, ["chunk"], ["prompt", "images"], make))  # asked once
-        failed = got.filter("status <> 'ok'").take(1)
-        if failed:  # one failed request ends the run
-            print(f"request failed: {failed[0].status} {failed[0].error}", file=sys.stderr)
-            return EXIT_NO_INPUT
-        d = got.agg(render.in_order(F.col("chunk"), F.col("text"), "\n\n").alias("text")).select(F.lit("output.txt").alias("name"), "text")
-        files.export_texts(d, o.output or ".", "name", "text")
-        return 0
     pairs = files.single_pairs(files.listing(spark, o.path))
     texts = hocr_files(spark, o.path).select("dir", F.col("name").alias("hocr"), "text")
     saved = files.texts(spark, o.path, "*-proofread.lasttemp").select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("dir"), files.last_temperature(F.col("text")).alias("saved"))
     start = F.when(F.col("saved") == 0, retry.STEP).otherwise(F.coalesce("saved", F.lit(o.temperature)))
     work = pairs.join(texts, ["dir", "hocr"]).join(saved, "dir", "left").select("dir", "hocr", "image", tx.proofread_prompt(F.col("text"), "hocr").alias("prompt"), start.alias("start"))
-    attempts = o.max_attempts
+    if o.first or o.last:
+        chosen = batching.selected_range(work.select(F.lit(0).alias("g"), "dir"), ["g"], ["dir"], o.first or 1, o.last)
+        work = work.join(chosen.select("dir"), "dir")
+    attempts, rows, clock_name = o.max_attempts, _quotas(spark, o), o.clock
 
     def factory():
-        model = make()
+        model, gate = make(), turnstile(rows, clock_name)
 
         def corrected(prompt, image, first):
-            last = [""]
-
             def one(t):
-                last[0] = model(prompt, image, t) or ""
-                return retry.Outcome("ok" if last[0].rstrip().endswith("</html>") else "no closing </html> tag", text=last[0])
-
-            run = retry.correct_page(one, first, attempts)
+                refused = gate.enter()
+                if refused != "ok":
+                    return retry.Outcome("error_quota", 0, text=f"quota exceeded: {refused}")
+                began = gate.now()
+                try:
+                    text = model(prompt, image, t) or ""
+                except Exception as e:  # noqa: BLE001
+                    return retry.outcome_of(e, gate.to_reset())
+                gate.went_through()
+                good = text.rstrip().endswith("</html>")
+                return retry.Outcome("ok" if good else "no closing </html> tag", elapsed=gate.now() - began, text=text)
+
+            run = retry.correct_page(one, first, attempts, sleep=gate.sleep)
             if run.text is None:  # what the side files of a failed page hold
-                raise RuntimeError(json.dumps({"temperature": run.temperatures[-1], "attempts": len(run.statuses), "status": run.statuses[-1], "answer": last[0]}))
+                raise RuntimeError(json.dumps({"temperature": run.temperatures[-1], "attempts": len(run.statuses), "status": run.statuses[-1], "answer": run.answers[-1]}))
             return run.text
 
         return corrected
 
-    got = kept(remote.answers(work, ["dir", "hocr"], ["prompt", "image", "start"], factory))  # asked once
+    got = kept(remote.answers(work.coalesce(1).sortWithinPartitions("dir"), ["dir", "hocr"], ["prompt", "image", "start"], factory))  # asked once
     at = lambda name: F.concat_ws("/", "dir", name).alias("name")
     files.export_texts(got.filter("status = 'ok'").select(at(tx.proofread_name(F.col("hocr"))), "text"), o.path, "name", "text")
-    now = F.lit(dt.datetime.now().replace(microsecond=0)).cast("timestamp")
+    now = F.lit(_minute()).cast("timestamp")
     failed = got.filter("status <> 'ok'").select("dir", "hocr", "error", F.from_json("error", "temperature double, attempts int, status string, answer string").alias("e"))
     n = F.coalesce(F.col("e.attempts"), F.lit(1))
     sides = (
@@ -238,27 +301,31 @@ def ask(spark: SparkSession, o: argparse.Namespace) -> int:
 
 
 def recognise(spark: SparkSession, o: argparse.Namespace) -> int:
-    scans = spark.read.format("binaryFile").load(o.pattern).select(F.regexp_extract("path", r"([^/]+)$", 1).alias("filename"), "content")
-    got = remote.recognised(scans, ["filename"], "content", client(o.client)).filter("page_idx IS NOT NULL")
-    lines = got.select("filename", "page_idx", F.posexplode("lines").alias("line_idx", "l"))
+    """Markdown, hOCR and word CSV of all scans in order of their paths, each in one file; pages are numbered through all of them."""
+    scans = files.matching(spark, o.pattern)
+    if not scans.take(1):
+        print(f"no files match {o.pattern}", file=sys.stderr)
+        return EXIT_NO_INPUT
+    read = kept(remote.recognised(scans.select("path", F.col("name").alias("filename"), "content"), ["path", "filename"], "content", client(o.client)))  # read once
+    pages = kept(batching.numbered(read.filter("page_idx IS NOT NULL").withColumn("g", F.lit(0)), ["g"], ["path", "page_idx"], "page_no").drop("g"))
+    key = ["path", "page_no"]
+    lines = pages.select(*key, F.posexplode("lines").alias("line_idx", "l"))
     box = tx.polygon_box(F.col("l.polygon"))
-    lines = lines.select("filename", "page_idx", "line_idx", F.col("l.content").alias("text"), box.alias("bbox"), box["y0"].alias("y_top"), box["y1"].alias("y_bottom"))
-    paragraphs = render.recognised_paragraphs(lines, ["filename", "page_idx"]).groupBy("filename", "page_idx", "paragraph").agg(render.in_order(F.col("line_idx"), F.col("text"), " ").alias("text"))
-    files.export_texts(render.recognised_markdown(paragraphs).select(F.concat("filename", F.lit(".md")).alias("name"), "text"), o.output, "name", "text")
-    words = got.select("filename", "page_idx", F.posexplode("words").alias("word_idx", "w"))
+    top, bottom = F.get("l.polygon", F.lit(1)), F.get("l.polygon", F.lit(7))
+    lines = lines.select(*key, "line_idx", F.col("l.content").alias("text"), box.alias("bbox"), top.alias("y"), top.alias("y_top"), bottom.alias("y_bottom"))
+    words = pages.select("filename", *key, F.posexplode("words").alias("word_idx", "w"))
     wbox = tx.polygon_box(F.col("w.polygon"))
-    row = render.word_csv_rows(F.col("filename"), F.col("w.content"), F.col("w.confidence"), wbox["x0"], wbox["y0"])
-    csv = words.withColumn("row", row).groupBy("filename").agg(render.in_order(F.struct("page_idx", "word_idx"), F.col("row")).alias("t"))
-    files.export_texts(csv.select(F.concat("filename", F.lit(".csv")).alias("name"), F.concat(F.lit("filename,word,confidence,left_x,upper_y\n"), "t", F.lit("\n")).alias("text")), o.output, "name", "text")
-    placed = words.select("filename", "page_idx", "word_idx", wbox["y0"].alias("y"), F.col("w.content").alias("content"), wbox.alias("bbox"), F.col("w.confidence").alias("confidence"))
-    joined = render.recognised_words(placed, lines.select("filename", "page_idx", "line_idx", F.col("bbox.y0").alias("y")), ["filename", "page_idx"])
-    held = joined.groupBy("filename", "page_idx", "line_idx").agg(F.transform(F.array_sort(F.collect_list(F.struct("word_idx", F.col("content").alias("text"), "bbox", "confidence"))), lambda w: F.struct(w["text"].alias("text"), w["bbox"].alias("bbox"), w["confidence"].alias("confidence"))).alias("words"))
-    full = lines.join(held, ["filename", "page_idx", "line_idx"], "left").filter("bbox IS NOT NULL")
-    empty = F.array().cast("array<struct<text:string,bbox:struct<x0:int,y0:int,x1:int,y1:int>,confidence:double>>")
-    pages = full.groupBy("filename", "page_idx").agg(render.in_order(F.col("line_idx"), render.recognised_hocr_line(F.col("bbox"), F.coalesce("words", empty))).alias("t"))
-    pages = pages.select("filename", "page_idx", F.concat(F.lit("<div class='ocr_page' title='ppageno "), (F.col("page_idx") + 1).cast("string"), F.lit("'>\n"), "t", F.lit("\n</div>")).alias("page"))
-    book = pages.groupBy("filename").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_idx", "page"))), lambda x: x["page"]).alias("pages"))
-    files.export_texts(book.select(F.concat("filename", F.lit(".hocr")).alias("name"), hocr.assembled(F.lit("<html><head></head>"), F.lit("<body>"), F.col("pages")).alias("text")), o.output, "name", "text")
+    words = words.select("filename", *key, "word_idx", F.col("w.content").alias("content"), wbox.alias("bbox"), F.get("w.polygon", F.lit(1)).alias("y"), F.col("w.confidence").alias("confidence"))
+    names = spark.range(1).select(*(tx.result_name(F.lit(_minute()), e).alias(e) for e in ("md", "hocr", "csv"))).first()
+    out = Path(o.output)
+
+    paragraphs = render.recognised_paragraphs(lines, key).groupBy(*key, "paragraph").agg(render.in_order(F.col("line_idx"), F.col("text"), " ").alias("text"))
+    md = render.recognised_markdown(read, pages, paragraphs, o.print_page_dimensions)
+    files.write_document(md, str(out / names.md), ["path", "page_no", "part"], "text", "# OCR Results\n\n")
+    head, tail = render.RECOGNISED_HEAD, render.RECOGNISED_TAIL
+    files.write_document(render.recognised_hocr(pages, lines, words), str(out / names.hocr), key, "text", head, tail)
+    row = F.concat(render.word_csv_rows(F.col("filename"), F.coalesce("content", F.lit("")), F.col("confidence"), F.col("bbox.x0"), F.col("bbox.y0")), F.lit("\n"))
+    files.write_document(words.filter("bbox IS NOT NULL").select(*key, "word_idx", row.alias("text")), str(out / names.csv), [*key, "word_idx"], "text", "filename,word,confidence,left_x,upper_y\n")
     return 0
 
 
@@ -276,7 +343,7 @@ def split(spark: SparkSession, o: argparse.Namespace) -> int:
     return 0
 
 
-STEPS = {"batch": batch, "report": report, "audit": audit_folder, "extract": ask, "proofread": ask, "recognise": recognise, "split": split}
+STEPS = {"batch": batch, "report": report, "audit": audit_folder, "extract": extract, "proofread": proofread, "recognise": recognise, "split": split}
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -288,7 +355,11 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         log.setLevel(logging.DEBUG)
         log.addHandler(handler)
     log.info("step %s with %s", o.step, {k: v for k, v in vars(o).items() if k != "client"})
-    return STEPS[o.step](spark or local_session(), o)
+    spark = spark or local_session()
+    try:
+        return STEPS[o.step](spark, o)
+    finally:
+        discard_kept(spark)
 
 
 if __name__ == "__main__":

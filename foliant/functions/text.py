@@ -200,8 +200,9 @@ def failed_file(name: Column, at: Column, attempt: Column, kind: str = "hocr") -
     return F.concat(F.regexp_replace(name, r"\.hocr$", ""), end)
 
 
-def result_name(at: Column, ext: str, prefix: str = "ocr-results") -> Column:
-    return F.concat(F.lit(f"{prefix}-"), F.date_format(at, "yyyy-MM-dd_HH-mm-ss"), F.lit(f".{ext}"))
+def result_name(at: Column, ext: str, prefix: str = "recognised") -> Column:
+    """File name of a recognition's results, with the minute they were made; without colons, which some systems refuse."""
+    return F.concat(F.lit(f"{prefix}-"), F.date_format(at, "yyyy-MM-dd'T'HH-mm"), F.lit(f".{ext}"))
 
 
 def confidence_percent(c: Column) -> Column:

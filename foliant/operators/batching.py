@@ -58,9 +58,10 @@ def count_mismatches(left: DataFrame, right: DataFrame, group: list[str]) -> Dat
     return both.filter(F.col("n_left") != F.col("n_right"))
 
 
-def selected_range(df: DataFrame, group: list[str], order: list[str], first: int, last: int) -> DataFrame:
-    """Rows at the 1-based positions first..last, both included."""
-    return numbered(df, group, order).filter(F.col("position").between(first, last))
+def selected_range(df: DataFrame, group: list[str], order: list[str], first: int, last: int | None) -> DataFrame:
+    """Rows at the 1-based positions first..last, both included; without a last one to the end."""
+    at = F.col("position")
+    return numbered(df, group, order).filter((at >= first) & (at <= last) if last is not None else at >= first)
 
 
 def interleaved(df: DataFrame, order: str, left: str, right: str) -> DataFrame:

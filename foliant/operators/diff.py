@@ -48,14 +48,44 @@ def batch_report(lines: DataFrame, keys: list[str], batch: str, file: str) -> Da
 
 def html_rows(lines: DataFrame) -> DataFrame:
     """Lines of differences with their row of an HTML report."""
-    return lines.withColumn("html", F.concat(F.lit('<div class="diff-'), F.col("cls"), F.lit('">'), tx.html_escape(F.regexp_replace("line", r"\s+$", "")), F.lit("</div>")))
-
-
-def html_report(lines: DataFrame, title: str) -> DataFrame:
-    """One row of HTML per batch, for a report page with the given title; classes as in ``diff_class``."""
-    rows = F.array_sort(F.collect_list(F.struct("ord", "html")))
-    part = html_rows(lines).groupBy("batch_dir").agg(F.concat_ws("\n", F.transform(rows, lambda x: x["html"])).alias("_rows"))
-    return part.select("batch_dir", F.concat(F.lit(f"<section><h2>{html.escape(title)}: "), tx.html_escape(F.col("batch_dir")), F.lit("</h2>\n"), F.col("_rows"), F.lit("\n</section>")).alias("html"))
+    shown = tx.html_escape(F.regexp_replace("line", r"\s+$", ""))
+    return lines.withColumn("html", F.concat(F.lit('<div class="diff-line diff-'), F.col("cls"), F.lit('">'), shown, F.lit("</div>")))
+
+
+def report_rows(lines: DataFrame, batch: str, file: str) -> DataFrame:
+    """(batch, ord, html): rows of a report page over all batches, each under its header and with an empty row behind it."""
+    rows = html_rows(lines).select(batch, "ord", "html")
+    head = lines.select(batch, file).distinct().select(batch, F.lit(-1).alias("ord"), F.concat(F.lit("=== "), F.col(batch), F.lit(" / "), F.col(file), F.lit(" ===")).alias("line"), F.lit("header").alias("cls"))
+    end = lines.groupBy(batch).agg((F.max("ord") + 1).alias("ord")).select(batch, "ord", F.lit("").alias("line"), F.lit("context").alias("cls"))
+    return rows.unionByName(html_rows(head.unionByName(end)).select(batch, "ord", "html"))
+
+
+#: Colours of a report's rows by class: text, ground.
+COLOURS = {"header": ("#666", "#eee"), "added": ("#14532d", "#dcfce7"), "removed": ("#7f1d1d", "#fee2e2"), "context": ("#333", "#fff"), "info": ("#1e3a8a", "#dbeafe")}
+
+
+def report_frame(title: str) -> tuple[str, str]:
+    """What stands before and behind the rows of a report page: title, styles, a legend."""
+    name = html.escape(title)
+    styles = "\n".join(f".diff-{k} {{ color: {a}; background: {b}; }}" for k, (a, b) in COLOURS.items())
+    legend = " ".join(f'<span class="diff-{k}">{k}</span>' for k in COLOURS)
+    head = f"""<!DOCTYPE html>
+<html>
+<head>
+<meta charset="utf-8">
+<title>Diff Report: {name}</title>
+<style>
+body {{ font: 12px monospace; margin: 20px; }}
+.diff-line {{ white-space: pre; padding: 2px 5px; }}
+{styles}
+</style>
+</head>
+<body>
+<h1>Diff Report: {name}</h1>
+<p>{legend}</p>
+<div class="diff-container">
+"""
+    return head, "\n</div>\n</body>\n</html>\n"
 
 
 def side_by_side(original: str, proofread: str) -> str:

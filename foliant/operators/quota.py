@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from zoneinfo import ZoneInfo
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -87,8 +89,8 @@ class Gate:
         while self.minute and now - self.minute[0][0] >= MINUTE_US:
             self.minute_tokens -= self.minute.popleft()[1]
 
-    def call(self, at: int, day: object, tokens: int) -> tuple[bool, str, int, int]:
-        """(admitted, reason, seconds waited, when it starts) of a call; a wait delays the ones behind it."""
+    def ask(self, at: int, day: object, tokens: int) -> tuple[bool, str, int, int]:
+        """(admitted, reason, seconds to wait, when it starts) of a call; nothing is counted yet, a wait delays the ones behind it."""
         now, waited = max(at, self.free_us), 0
         if day != self.day:
             self.day, self.day_requests, self.day_tokens = day, 0, 0
@@ -107,11 +109,62 @@ class Gate:
             return False, "requests_per_day", waited, now
         if tokens > 0 and (n := limit("tokens_per_day")) is not None and self.day_tokens + tokens > n:
             return False, "tokens_per_day", waited, now
+        return True, "ok", waited, now
+
+    def record(self, now: int, tokens: int) -> None:
+        """Counts a call that went through."""
         self.minute.append((now, tokens))
         self.minute_tokens += tokens
         self.day_requests += 1
         self.day_tokens += tokens
-        return True, "ok", waited, now
+
+    def call(self, at: int, day: object, tokens: int) -> tuple[bool, str, int, int]:
+        """The gate's answer to a call that goes through if it is admitted."""
+        got = self.ask(at, day, tokens)
+        if got[0]:
+            self.record(got[3], tokens)
+        return got
+
+
+def local_day(at: float, reset_time: str | None, zone: str | None) -> dt.date:
+    """The quota day of a moment (seconds since 1970), as ``quota_day`` has it for columns."""
+    hours, _, minutes = (reset_time or "00:00").partition(":")
+    local = dt.datetime.fromtimestamp(at, ZoneInfo(zone or "UTC")).replace(tzinfo=None)
+    return (local - dt.timedelta(hours=int(hours), minutes=int(minutes or 0))).date()
+
+
+def seconds_until_reset(at: float, reset_time: str | None, zone: str | None) -> int:
+    """Whole seconds to the next reset by the wall clock; 60 where none is set."""
+    if not reset_time:
+        return 60
+    hours, _, minutes = reset_time.partition(":")
+    local = dt.datetime.fromtimestamp(at, ZoneInfo(zone or "UTC")).replace(tzinfo=None)
+    reset = dt.datetime.combine(local_day(at, reset_time, zone) + dt.timedelta(days=1), dt.time(int(hours), int(minutes or 0)))
+    return max(0, int((reset - local).total_seconds()))
+
+
+class Turnstile:
+    """A model's gate with a clock: waits where a minute's quota is full, refuses beyond the others, counts what went through."""
+
+    def __init__(self, rows: list[tuple[str, int, str | None, str | None]], now: Callable[[], float], sleep: Callable[[float], None]):
+        """rows: quota_type, limit, reset_time, zone of one model; without any, every call is let through."""
+        self.gate = Gate({q: n for q, n, _, _ in rows})
+        self.resets = {q: (r, z) for q, _, r, z in rows}
+        self.now, self.sleep = now, sleep
+
+    def enter(self, tokens: int = 0) -> str:
+        """``ok``, or the quota that refuses the call."""
+        at = self.now()
+        admitted, reason, wait, _ = self.gate.ask(int(at * 1e6), local_day(at, *self.resets.get("requests_per_day", (None, None))), tokens)
+        if wait:
+            self.sleep(wait)
+        return "ok" if admitted else reason
+
+    def went_through(self, tokens: int = 0) -> None:
+        self.gate.record(int(self.now() * 1e6), tokens)
+
+    def to_reset(self) -> int:
+        return seconds_until_reset(self.now(), *self.resets.get("requests_per_day", (None, None)))
 
 
 def admissions(calls: DataFrame, quotas: DataFrame, use_tokens: bool = True) -> DataFrame:

@@ -69,22 +69,39 @@ def foot_notes(lines: DataFrame, pages: DataFrame, compat: bool = True) -> DataF
 
 
 def without_foot_notes(lines: DataFrame, notes: DataFrame, near: int = 10) -> DataFrame:
-    """Lines that do not stand within ``near`` pixels of a foot note of their page."""
-    n = notes.select(F.col("hocr_id").alias("_h"), F.col("page_idx").alias("_p"), F.col("bbox.y0").alias("_y"))
+    """Lines that do not stand within ``near`` pixels of a foot note of their page; of notes of equal number the last counts."""
+    last = notes.groupBy(*PAGE, "number").agg(F.max_by("bbox", "line_idx").alias("bbox"))
+    n = last.select(F.col("hocr_id").alias("_h"), F.col("page_idx").alias("_p"), F.col("bbox.y0").alias("_y"))
     same = (lines["hocr_id"] == F.col("_h")) & (lines["page_idx"] == F.col("_p"))
     return lines.join(n, same & (F.abs(lines["bbox"]["y0"] - F.col("_y")) < near), "left_anti")
 
 
-# The frame of a LaTeX document.
-LATEX_HEAD = (
-    r"\documentclass[10pt]{book}", r"\usepackage[utf8]{inputenc}", r"\usepackage{geometry}", r"\geometry{letterpaper}", r"\usepackage{parskip}", r"\usepackage{etoolbox}",
-    r"\newbool{retainpagebreaks}", r"\newbool{retainlinebreaks}", r"\booltrue{retainlinebreaks}",
-)
-LATEX_SWITCHES = (
-    r"\ifbool{retainpagebreaks}{\newcommand{\optionalpagebreak}{\clearpage}}{\newcommand{\optionalpagebreak}{}}",
-    r"\ifbool{retainlinebreaks}{\newcommand{\optionallinebreak}{\newline}}{\newcommand{\optionallinebreak}{}}",
-    r"\begin{document}", "",
-)
+# The frame of a LaTeX document, line by line.
+LATEX_PACKAGES = r"""\documentclass[10pt]{book}
+\usepackage[utf8]{inputenc}
+%\usepackage[T1]{fontenc}
+\usepackage{geometry}
+%\geometry{a5paper}
+\geometry{letterpaper}
+%\geometry{letterpaper, margin=1in}
+\usepackage{parskip}
+
+% Logic to optionally enable commands to retain page breaks and/or retain line breaks
+\newbool{retainpagebreaks} % creates boolean variable and initializes it to `false`
+\newbool{retainlinebreaks} % creates boolean variable and initializes it to `false`"""
+LATEX_SWITCHES = r"""
+\ifbool{retainpagebreaks}
+    {\newcommand{\optionalpagebreak}{\clearpage}}
+    {\newcommand{\optionalpagebreak}{}}
+
+\ifbool{retainlinebreaks}
+    {\newcommand{\optionallinebreak}{\newline}}
+    {\newcommand{\optionallinebreak}{}}
+
+\begin{document}
+"""
+LATEX_ON = r"\booltrue{%s} %% comment (i.e. add a leading %%) to NOT set it to `true`"
+LATEX_OFF = r"%%\booltrue{%s} %% uncomment (i.e. delete the leading %%) to set it to `true`"
 
 
 def latex_pages(lines: DataFrame, words: DataFrame, pages: DataFrame, compat: bool = True) -> DataFrame:
@@ -98,7 +115,10 @@ def latex_pages(lines: DataFrame, words: DataFrame, pages: DataFrame, compat: bo
     spoken = spoken.join(named, [*PAGE, "number"], "left")
     shown = F.when(F.col("note").isNotNull(), F.concat(F.lit(r"\footnote{"), tx.latex_escape(F.col("note")), F.lit("}"))).otherwise(tx.latex_styled(F.col("text"), F.col("bold"), F.col("italic"), F.col("superscript")))
     said = spoken.groupBy(*PAGE, "line_idx").agg(in_order(F.col("word_idx"), shown, " ").alias("words"))
-    set_lines = body.join(said, [*PAGE, "line_idx"]).groupBy(*PAGE).agg(in_order(F.col("line_idx"), F.concat(F.when(F.col("is_break"), "\n").otherwise(""), F.col("words"), F.lit(r" \optionallinebreak"))).alias("body"))
+    # a paragraph's blank line stands even where its first line has no words
+    parts = F.concat(F.when(F.col("is_break"), F.array(F.lit(""))).otherwise(F.array().cast("array<string>")), F.when(F.col("words").isNotNull(), F.array(F.concat("words", F.lit(r" \optionallinebreak")))).otherwise(F.array().cast("array<string>")))
+    laid = body.join(said, [*PAGE, "line_idx"], "left").select(*PAGE, "line_idx", parts.alias("_p")).filter(F.size("_p") > 0)
+    set_lines = laid.groupBy(*PAGE).agg(in_order(F.col("line_idx"), F.array_join("_p", "\n")).alias("body"))
     comments = notes.groupBy(*PAGE).agg(in_order(F.col("line_idx"), F.concat(F.lit("% ["), F.col("number"), F.lit("] "), F.col("note"))).alias("notes"))
     d = pages.join(set_lines, PAGE, "left").join(comments, PAGE, "left")
     head = F.concat(F.lit("% Page "), F.col("page_num"))
@@ -106,12 +126,17 @@ def latex_pages(lines: DataFrame, words: DataFrame, pages: DataFrame, compat: bo
     return d.select(*PAGE, F.concat_ws("\n", head, F.lit(""), "body", tail).alias("text"))
 
 
+def latex_frame(page_breaks: bool = False) -> tuple[str, str, str]:
+    """What stands before the first page of a LaTeX document, between two pages, and behind the last."""
+    head = "\n".join((LATEX_PACKAGES, (LATEX_ON if page_breaks else LATEX_OFF) % "retainpagebreaks", LATEX_ON % "retainlinebreaks", LATEX_SWITCHES))
+    return head + "\n", "\n\\optionalpagebreak\n\n", "\n\n\\end{document}"
+
+
 def latex_documents(page_texts: DataFrame, page_breaks: bool = False) -> DataFrame:
     """(hocr_id, text): whole LaTeX documents."""
-    switch = r"\booltrue{retainpagebreaks}" if page_breaks else r"%\booltrue{retainpagebreaks}"
-    head = "\n".join((*LATEX_HEAD, switch, *LATEX_SWITCHES))
-    body = page_texts.groupBy("hocr_id").agg(in_order(F.col("page_idx"), F.col("text"), "\n\\optionalpagebreak\n\n").alias("_b"))
-    return body.select("hocr_id", F.concat(F.lit(head + "\n"), F.col("_b"), F.lit("\n\n\\end{document}")).alias("text"))
+    head, between, tail = latex_frame(page_breaks)
+    body = page_texts.groupBy("hocr_id").agg(in_order(F.col("page_idx"), F.col("text"), between).alias("_b"))
+    return body.select("hocr_id", F.concat(F.lit(head), F.col("_b"), F.lit(tail)).alias("text"))
 
 
 def markdown_documents(page_texts: DataFrame) -> DataFrame:
@@ -152,9 +177,13 @@ def merged_hocr(files: DataFrame, group: str) -> DataFrame:
 
 
 def recognised_words(words: DataFrame, lines: DataFrame, page: list[str], near: int = 5) -> DataFrame:
-    """Words joined to the lines of their page whose top is less than ``near`` pixels from theirs; a word may join several."""
+    """Lines with the words of their page whose top is less than ``near`` pixels from theirs; a word may join several, a line without any stays."""
     a = lines.select(*page, "line_idx", F.col("y").alias("_ly"))
-    return a.join(words, page).filter(F.abs(F.col("_ly") - F.col("y")) < near).drop("_ly")
+    b = words.select(*(F.col(c).alias(f"_{c}") for c in page), *(c for c in words.columns if c not in page))
+    same = F.lit(True)
+    for c in page:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return a.join(b, same & (F.abs(F.col("_ly") - F.col("y")) < near), "left").drop("_ly", *(f"_{c}" for c in page))
 
 
 def recognised_paragraphs(lines: DataFrame, page: list[str], gap: int = 20) -> DataFrame:
@@ -168,22 +197,58 @@ def recognised_paragraphs(lines: DataFrame, page: list[str], gap: int = 20) -> D
     return lines.withColumn("_s", starts).withColumn("paragraph", F.sum("_s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
 
 
-def recognised_markdown(paragraphs: DataFrame) -> DataFrame:
-    """(filename, text): paragraphs (filename, page_idx, paragraph, text) under headings; a page's only where a file has several."""
-    n = F.max("page_idx").over(Window.partitionBy("filename")) + 1
-    first = F.row_number().over(Window.partitionBy("filename", "page_idx").orderBy("paragraph")) == 1
-    d = paragraphs.select("filename", "page_idx", "paragraph", "text", (n > 1).alias("_many"), first.alias("_first"))
-    heading = F.when(F.col("_many") & F.col("_first"), F.concat(F.lit("### Page "), (F.col("page_idx") + 1).cast("string"), F.lit("\n\n"))).otherwise("")
-    body = d.groupBy("filename").agg(in_order(F.struct("page_idx", "paragraph"), F.concat(heading, F.col("text")), "\n\n").alias("_b"))
-    return body.select("filename", F.concat(F.lit("## "), F.col("filename"), F.lit("\n\n"), F.col("_b"), F.lit("\n")).alias("text"))
+def recognised_markdown(files: DataFrame, pages: DataFrame, paragraphs: DataFrame, dimensions: bool = False) -> DataFrame:
+    """(path, page_no, part, text): the parts of one document over all files (path, filename), in order.
+
+    A heading for each file, one for each page (path, page_no, width, height) of files with several, and the
+    paragraphs (path, page_no, paragraph, text) in blank lines.
+    """
+    gap = F.lit("\n\n")
+    heads = files.select("path", "filename").distinct().select("path", F.lit(0).alias("page_no"), F.lit(-2).cast("long").alias("part"), F.concat(F.lit("## Filename: "), "filename", gap).alias("text"))
+    several = pages.groupBy("path").agg(F.count("*").alias("_n")).filter("_n > 1").select("path")
+    of_pages = pages.join(several, "path", "left_semi").select("path", "page_no", F.lit(-2).cast("long").alias("part"), F.concat(F.lit("### Page "), F.col("page_no").cast("string"), gap).alias("text"))
+    out = heads.unionByName(of_pages).unionByName(paragraphs.select("path", "page_no", F.col("paragraph").cast("long").alias("part"), F.concat("text", gap).alias("text")))
+    if dimensions:
+        size = F.concat(F.lit("*Page dimensions: "), F.col("width").cast("string"), F.lit(" x "), F.col("height").cast("string"), F.lit("*"), gap)
+        out = out.unionByName(pages.select("path", "page_no", F.lit(-1).cast("long").alias("part"), size.alias("text")))
+    return out
+
+
+# The frame of a recognition's hOCR.
+RECOGNISED_HEAD = """<?xml version="1.0" encoding="UTF-8"?>
+<!DOCTYPE html PUBLIC "-//W3C//DTD XHTML 1.0 Transitional//EN" "http://www.w3.org/TR/xhtml1/DTD/xhtml1-transitional.dtd">
+<html xmlns="http://www.w3.org/1999/xhtml" xml:lang="en" lang="en">
+<head>
+<title>OCR Results</title>
+<meta http-equiv="content-type" content="text/html; charset=utf-8" />
+<meta name="ocr-system" content="foliant" />
+<meta name="ocr-capabilities" content="ocr_page ocr_carea ocr_par ocr_line ocrx_word" />
+</head>
+<body>
+"""
+RECOGNISED_TAIL = "</body>\n</html>\n"
 
 
-def recognised_hocr_line(line_box: Column, words: Column, compat: bool = True) -> Column:
-    """A line's hOCR of its words (text, bbox, confidence); compat leaves texts unescaped, as the step writes them."""
-    box = lambda b: F.format_string("bbox %d %d %d %d", b["x0"], b["y0"], b["x1"], b["y1"])
-    shown = (lambda t: t) if compat else tx.html_escape
-    one = lambda w: F.concat(F.lit("<span class='ocrx_word' title='"), box(w["bbox"]), F.lit("; x_wconf "), tx.confidence_percent(w["confidence"]).cast("string"), F.lit("'>"), shown(w["text"]), F.lit("</span>"))
-    return F.concat(F.lit("<span class='ocr_line' title='"), box(line_box), F.lit("'>"), F.array_join(F.transform(words, one), " "), F.lit("</span>"))
+def recognised_hocr(pages: DataFrame, lines: DataFrame, words: DataFrame, compat: bool = True) -> DataFrame:
+    """(path, page_no, text): each page's hOCR, with its area, its lines that have a box, and the words at their height.
+
+    pages: path, page_no, filename, width, height. lines: path, page_no, line_idx, bbox, y. words: path,
+    page_no, word_idx, content, bbox, y, confidence. compat leaves texts unescaped, as the step writes them.
+    """
+    page = ["path", "page_no"]
+    no = F.col("page_no").cast("string")
+    joined = recognised_words(words.filter("bbox IS NOT NULL").select(*page, "word_idx", "content", F.col("bbox").alias("word_box"), "confidence", "y"), lines.filter("bbox IS NOT NULL").select(*page, "line_idx", "y"), page)
+    shown = F.coalesce("content", F.lit("")) if compat else tx.html_escape(F.coalesce("content", F.lit("")))
+    box = lambda b: F.format_string("bbox %d %d %d %d", F.col(f"{b}.x0"), F.col(f"{b}.y0"), F.col(f"{b}.x1"), F.col(f"{b}.y1"))
+    one = F.concat(F.lit('\t\t<span class="ocrx_word" id="word_'), no, F.lit("_"), F.col("line_idx").cast("string"), F.lit("_"), F.col("word_idx").cast("string"), F.lit('" title="'), box("word_box"), F.lit("; x_wconf "), tx.confidence_percent(F.col("confidence")).cast("string"), F.lit('">'), shown, F.lit("</span>\n"))
+    said = joined.filter("word_idx IS NOT NULL").groupBy(*page, "line_idx").agg(in_order(F.col("word_idx"), one, "").alias("_words"))
+    line = F.concat(F.lit('\t<span class="ocr_line" id="line_'), no, F.lit("_"), F.col("line_idx").cast("string"), F.lit('" title="'), box("bbox"), F.lit('">\n'), F.coalesce("_words", F.lit("")), F.lit("\t</span>\n\n"))
+    body = lines.filter("bbox IS NOT NULL").join(said, [*page, "line_idx"], "left").groupBy(*page).agg(in_order(F.col("line_idx"), line, "").alias("_lines"))
+    head = F.concat(
+        F.lit('<div class="ocr_page" id="page_'), no, F.lit('" title="image '), F.col("filename"), F.lit("; bbox 0 0 "), F.col("width").cast("int").cast("string"), F.lit(" "), F.col("height").cast("int").cast("string"), F.lit("; ppageno "), no,
+        F.lit('">\n\t<div class="ocr_carea" id="carea_'), no, F.lit('_1">\n'),
+    )
+    return pages.join(body, page, "left").select(*page, F.concat(head, F.coalesce("_lines", F.lit("")), F.lit("\t</div>\n</div>\n")).alias("text"))
 
 
 def word_csv_rows(filename: Column, word: Column, confidence: Column, x: Column, y: Column) -> Column:

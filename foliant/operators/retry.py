@@ -64,19 +64,36 @@ class Run:
     statuses: list[str] = field(default_factory=list)
     temperatures: list[float] = field(default_factory=list)
     waits: list[float] = field(default_factory=list)
+    answers: list[str] = field(default_factory=list)
     text: str | None = None
     gave_up: bool = False
 
 
-def correct_page(ask, start: float = 0.0, max_attempts: int = 1, compat: bool = True, most_calls: int = 1_000) -> Run:
-    """Ask until a page is right: ``ask(temperature) -> Outcome``; waits are returned, not slept.
+def outcome_of(e: Exception, to_reset: int) -> Outcome:
+    """What a failed call comes to: by the ``code`` of its exception, and by the ``quota_id`` of one that names a quota."""
+    code, quota = getattr(e, "code", None), getattr(e, "quota_id", None) or ""
+    if code == 503:
+        return Outcome("error_503", 120, text=str(e))
+    if code == 429:
+        return Outcome("error_429", (3600 if to_reset > 23 * 3600 else to_reset) if DAY_ID in quota else 60, text=str(e))
+    return Outcome("error", 60 if code is not None else 0, text=str(e))
 
-    Quota and overload errors use up no attempt (``most_calls`` bounds them where compat is off); a delay of
-    no seconds ends the page unfinished, as the workflow has it.
+
+def correct_page(ask, start: float = 0.0, max_attempts: int = 1, compat: bool = True, most_calls: int = 1_000, sleep=None) -> Run:
+    """Ask until a page is right: ``ask(temperature) -> Outcome``; waits are returned, and slept where ``sleep`` is given.
+
+    Quota and overload errors use up no attempt; ``most_calls`` bounds all calls for a page, where compat is
+    off. A delay of no seconds ends the page unfinished, as the workflow has it.
     """
     if not 0 <= start <= 1 or max_attempts < 1:
         raise ValueError("temperature in [0, 1] and at least one attempt")
     run, attempt, base, saved = Run(), 0, start, None
+
+    def wait(seconds: float) -> None:
+        run.waits.append(float(seconds))
+        if sleep is not None and seconds > 0:
+            sleep(seconds)
+
     while attempt < max_attempts and (compat or len(run.statuses) < most_calls):
         if compat and saved is not None:
             base = STEP if saved == 0 else saved
@@ -84,18 +101,18 @@ def correct_page(ask, start: float = 0.0, max_attempts: int = 1, compat: bool =
         got = ask(t)
         run.statuses.append(got.status)
         run.temperatures.append(t)
+        run.answers.append(got.text)
         if got.status == "ok":
             run.text = got.text
-            run.waits.append(max(0.0, PACE_S - got.elapsed))
+            wait(max(0.0, PACE_S - got.elapsed))
             return run
         if got.status not in RETRY_FREELY:
             attempt += 1
             saved = t
         if attempt < max_attempts or got.status in RETRY_FREELY:
-            wait = 60 * attempt + got.extra
-            if wait == 0:
-                run.gave_up = True
-                return run
-            run.waits.append(float(wait))
+            seconds = 60 * attempt + got.extra
+            if seconds == 0:
+                break
+            wait(seconds)
     run.gave_up = True
     return run

@@ -37,6 +37,6 @@ def base_name(source: Column, proofread: Column, folder: Column) -> Column:
     """Name of a report: the source's stem, else the proofread file's without its role, else the folder's."""
     stem = lambda c: F.regexp_replace(c, r"\.[^.]*$", "")
     plain = stem(proofread)
-    for suffix in ("_proofread", "_corrected", "_edited", "_original", "_final"):  # fixed values
+    for suffix in ("_proofread", "_corrected", "_edited", "_page1", "_page_1"):  # fixed values
         plain = F.replace(plain, F.lit(suffix), F.lit(""))
     return F.coalesce(stem(source), plain, folder)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions import geometry as geo
 from foliant.functions import text as tx
 from foliant.operators import hocr, render
 from foliant.sources import files
-from foliant.sources.tables import current_rows, table
+from foliant.sources.tables import current_rows, only_current, table
 
 LINE_COLUMNS = ["line_id", "hocr_id", "volume_id", "page_idx", "page_num", "line_idx", "bbox", "ocr_line"]
 WORD_COLUMNS = ["word_id", "hocr_id", "volume_id", "page_idx", "line_idx", "word_idx", "ocrx_word", "bbox", "x_wconf", "bold", "italic", "superscript"]
@@ -23,14 +23,16 @@ def current_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return current_rows(table(spark, sf_dir, "ocr_words"), "word_id", WORD_COLUMNS)
 
 
-def current_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["hocr_id", "volume_id", "batch_dir", "file_name", "role", "ocr_system", "prefix_before_body", "body_open_tag", "pages_html", "status", "mtime"]
-    return current_rows(table(spark, sf_dir, "hocr_structure"), "hocr_id", names)
+def current_files(spark: SparkSession, sf_dir: str, *columns: str | Column) -> DataFrame:
+    """hocr_id and the given columns of the current files; no others are read."""
+    return current_rows(table(spark, sf_dir, "hocr_structure"), "hocr_id", ["hocr_id", *columns])
 
 
 def current_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(hocr_id, page_idx, html) of the current files, null pages left out."""
-    return current_files(spark, sf_dir).select("hocr_id", F.posexplode("pages_html").alias("page_idx", "html")).filter(F.col("html").isNotNull())
+    """(hocr_id, page_idx, html) of the current files, null pages left out; pages stay where they are read, but those of a file delivered twice."""
+    files_now = table(spark, sf_dir, "hocr_structure")
+    pages = files_now.select("hocr_id", "loaded_at", F.posexplode("pages_html").alias("page_idx", "html")).filter(F.col("html").isNotNull())
+    return only_current(pages, files_now, "hocr_id").dropDuplicates(["hocr_id", "page_idx"]).select("hocr_id", "page_idx", "html")
 
 
 def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +80,7 @@ def parsed_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files put together and taken apart again: pages found, and the status."""
-    f = current_files(spark, sf_dir).filter(F.col("pages_html").isNotNull())
+    f = current_files(spark, sf_dir, "prefix_before_body", "body_open_tag", "pages_html").filter(F.col("pages_html").isNotNull())
     whole = hocr.assembled(F.col("prefix_before_body"), F.col("body_open_tag"), F.filter("pages_html", lambda p: p.isNotNull()))
     return f.select("hocr_id", whole.alias("d")).select("hocr_id", hocr.structure(F.col("d")).alias("s")).select("hocr_id", F.col("s.status").alias("status"), F.size("s.pages").alias("n_pages"))
 
@@ -86,7 +88,7 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def head_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """File heads without lines on font metrics and layout: their length and digest."""
     kept = tx.without_font_metadata(F.col("prefix_before_body"))
-    return current_files(spark, sf_dir).select("hocr_id", F.char_length(kept).alias("n_chars"), F.md5(kept.cast("binary")).alias("digest"))
+    return current_files(spark, sf_dir, F.char_length(kept).alias("n_chars"), F.md5(kept.cast("binary")).alias("digest"))
 
 
 def head_top(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +157,7 @@ def band_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = current_lines(spark, sf_dir).filter(F.col("bbox").isNotNull()).select("hocr_id", "page_idx", "line_id", F.col("line_idx"), F.col("bbox.y0").alias("y"))
     words = current_words(spark, sf_dir).filter(F.col("bbox").isNotNull()).select("hocr_id", "page_idx", "word_id", F.col("bbox.y0").alias("y"))
     hit = render.recognised_words(words, lines.drop("line_id"), ["hocr_id", "page_idx"])
-    return hit.groupBy("hocr_id", "page_idx", "line_idx").agg(F.count("*").alias("n_words"), F.sum("word_id").alias("sum_word_id"))
+    return hit.groupBy("hocr_id", "page_idx", "line_idx").agg(F.count("word_id").alias("n_words"), F.sum("word_id").alias("sum_word_id"))
 
 
 def foot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,11 +279,11 @@ ORACLE = {
         SELECT hocr_id, page_idx, sum(heading::INT)::BIGINT AS n_is_heading, sum((NOT blank AND NOT heading AND by1 IS NOT NULL AND (indented OR y0 - by1 > 1.5 * (by1 - by0)))::INT)::BIGINT AS n_is_break,
           sum(CASE WHEN NOT blank THEN indented::INT END)::BIGINT AS n_indented FROM e GROUP BY ALL""",
     "band_words": f"""
-        SELECT l.hocr_id, l.page_idx, l.line_idx, count(*) AS n_words, sum(word_id)::BIGINT AS sum_word_id
-        FROM (SELECT hocr_id, page_idx, line_idx, bbox.y0 AS y FROM {LINES} WHERE bbox IS NOT NULL) l JOIN (SELECT hocr_id, page_idx, word_id, bbox.y0 AS y FROM {WORDS} WHERE bbox IS NOT NULL) w
+        SELECT l.hocr_id, l.page_idx, l.line_idx, count(word_id) AS n_words, sum(word_id)::BIGINT AS sum_word_id
+        FROM (SELECT hocr_id, page_idx, line_idx, bbox.y0 AS y FROM {LINES} WHERE bbox IS NOT NULL) l LEFT JOIN (SELECT hocr_id, page_idx, word_id, bbox.y0 AS y FROM {WORDS} WHERE bbox IS NOT NULL) w
           ON l.hocr_id = w.hocr_id AND l.page_idx = w.page_idx AND abs(l.y - w.y) < 5 GROUP BY ALL""",
     "foot_lines": f"SELECT hocr_id, page_idx, line_idx, number, note FROM {FEET}",
-    "body_lines": f"SELECT hocr_id, page_idx, count(*) AS n_lines FROM {BOXED} b WHERE NOT EXISTS (SELECT 1 FROM {FEET} f WHERE f.hocr_id = b.hocr_id AND f.page_idx = b.page_idx AND abs(f.y0 - b.y0) < 10) GROUP BY ALL",
+    "body_lines": f"SELECT hocr_id, page_idx, count(*) AS n_lines FROM {BOXED} b WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM {FEET} QUALIFY row_number() OVER (PARTITION BY hocr_id, page_idx, number ORDER BY line_idx DESC) = 1) f WHERE f.hocr_id = b.hocr_id AND f.page_idx = b.page_idx AND abs(f.y0 - b.y0) < 10) GROUP BY ALL",
     "foot_references": f"""
         SELECT word_id, w.number, note FROM (SELECT word_id, hocr_id, page_idx, ocrx_word AS number FROM {WORDS} WHERE superscript AND regexp_matches(ocrx_word, '^[0-9]+$')) w
         LEFT JOIN (SELECT hocr_id, page_idx, number, arg_max(note, line_idx) AS note FROM {FEET} GROUP BY ALL) f ON w.hocr_id = f.hocr_id AND w.page_idx = f.page_idx AND w.number = f.number""",

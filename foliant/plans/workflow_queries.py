@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from foliant.functions import text as tx
 from foliant.operators import audit, batching, diff, profile, quota, render, retry, roles
 from foliant.plans.page_queries import BOXED, FILES, WORDS, current_files, current_lines, current_pages, current_words
-from foliant.sources.tables import current_rows, table
+from foliant.sources.tables import current_rows, only_current, table
 
 BATCH = 20
 
@@ -20,7 +20,7 @@ def current_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files with their size in characters."""
     size = F.coalesce(F.aggregate("pages_html", F.lit(0), lambda a, p: a + F.coalesce(F.char_length(p), F.lit(0))), F.lit(0)).cast("long")
-    return current_files(spark, sf_dir).select("hocr_id", "volume_id", "batch_dir", "file_name", "role", "mtime", size.alias("size"))
+    return current_files(spark, sf_dir, "volume_id", "batch_dir", "file_name", "role", "mtime", size.alias("size"))
 
 
 def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,13 +32,15 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each file's place in its volume and the batch it falls into."""
-    f = current_files(spark, sf_dir).select("hocr_id", "volume_id", "file_name")
+    f = current_files(spark, sf_dir, "volume_id", "file_name").select("hocr_id", "volume_id", "file_name")
     return batching.numbered(f, ["volume_id"], ["hocr_id"]).select("hocr_id", "volume_id", "position", batching.batch_of(F.col("position"), BATCH).alias("batch_idx"))
 
 
 def overall_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number of each page in its volume, over files in their order."""
-    p = current_files(spark, sf_dir).select("volume_id", "hocr_id", F.posexplode("pages_html").alias("page_idx", "html")).drop("html")
+    n = F.size(F.coalesce("pages_html", F.array().cast("array<string>")))
+    f = current_files(spark, sf_dir, "volume_id", n.alias("n")).filter("n > 0")
+    p = f.select("volume_id", "hocr_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("page_idx"))
     return batching.numbered(p, ["volume_id"], ["hocr_id", "page_idx"], "overall")
 
 
@@ -58,13 +60,13 @@ def unequal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def middle_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files 2 to 5 of each volume: a range as an operator chooses one."""
-    f = current_files(spark, sf_dir).select("volume_id", "hocr_id", "file_name")
+    f = current_files(spark, sf_dir, "volume_id", "file_name").select("volume_id", "hocr_id", "file_name")
     return batching.selected_range(f, ["volume_id"], ["hocr_id"], 2, 5)
 
 
 def halves_in_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names of the left and right halves that each file's scan would split into, in turn."""
-    f = current_files(spark, sf_dir).select("hocr_id", F.regexp_replace("file_name", r"\.hocr$", "").alias("stem"))
+    f = current_files(spark, sf_dir, "file_name").select("hocr_id", F.regexp_replace("file_name", r"\.hocr$", "").alias("stem"))
     name = lambda side: tx.split_page_name(F.col("stem"), F.pmod("hocr_id", F.lit(100)), F.lit(100), F.lit(side), F.lit(".png"))
     return batching.interleaved(f.select("hocr_id", name(1).alias("l"), name(2).alias("r")), "hocr_id", "l", "r")
 
@@ -77,18 +79,18 @@ def image_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolved_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The original and the corrected file of each batch of a volume, by name and time."""
-    return roles.resolved(current_files(spark, sf_dir), ["volume_id", "batch_dir"], "file_name", "mtime")
+    return roles.resolved(current_files(spark, sf_dir, "volume_id", "batch_dir", "file_name", "mtime"), ["volume_id", "batch_dir"], "file_name", "mtime")
 
 
 def report_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base name of each batch's report."""
-    r = roles.resolved(current_files(spark, sf_dir), ["volume_id", "batch_dir"], "file_name", "mtime")
+    r = roles.resolved(current_files(spark, sf_dir, "volume_id", "batch_dir", "file_name", "mtime"), ["volume_id", "batch_dir"], "file_name", "mtime")
     return r.select("volume_id", "batch_dir", roles.base_name(F.lit(None).cast("string"), F.col("proofread"), F.col("batch_dir")).alias("name"))
 
 
 def pending_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches that still hold exactly one file."""
-    f = current_files(spark, sf_dir).select(F.concat_ws("/", "volume_id", "batch_dir").alias("folder"), "file_name")
+    f = current_files(spark, sf_dir, "volume_id", "batch_dir", "file_name").select(F.concat_ws("/", "volume_id", "batch_dir").alias("folder"), "file_name")
     return audit.pending(f, "folder", "file_name")
 
 
@@ -129,7 +131,8 @@ def joined_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merged_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corrected files of each volume as the parts of one document: parts, characters, digests of all pages added up."""
-    f = current_files(spark, sf_dir).filter(F.col("role").isin("proofread", "corrected") & F.col("pages_html").isNotNull())
+    f = only_current(table(spark, sf_dir, "hocr_structure").select("hocr_id", "volume_id", "role", "prefix_before_body", "pages_html", "loaded_at"), table(spark, sf_dir, "hocr_structure"), "hocr_id").dropDuplicates(["hocr_id"])
+    f = f.filter(F.col("role").isin("proofread", "corrected") & F.col("pages_html").isNotNull())
     m = render.merged_parts(f.select("volume_id", F.lpad(F.col("hocr_id").cast("string"), 12, "0").alias("batch_dir"), F.col("prefix_before_body").alias("prefix"), F.col("pages_html").alias("pages")), "volume_id")
     page = (F.col("part") >= 0) & F.col("batch_dir").isNotNull()
     digest = F.conv(F.substring(F.md5(F.rtrim(F.col("text"), F.lit("\n")).cast("binary")), 1, 8), 16, 10).cast("long")
@@ -233,7 +236,7 @@ ORACLE = {
           e IN ('png', 'jpg', 'jpeg', 'tif', 'tiff', 'jp2') AS recognise, e IN ('png', 'jpg', 'jpeg', 'tif', 'tiff', 'bmp', 'gif', 'webp', 'jp2') AS batch, e IN ('pdf', 'jpg', 'jpeg', 'png', 'tiff', 'tif', 'bmp', 'jp2') AS split
         FROM (SELECT DISTINCT filename, lower(regexp_extract(filename, '\\.([^./\\\\]+)$', 1)) AS e FROM word_csv)""",
     "resolved_roles": f"SELECT volume_id, batch_dir, original, proofread, n_files FROM {ROLES}",
-    "report_names": f"SELECT volume_id, batch_dir, coalesce(replace(replace(replace(replace(replace(regexp_replace(proofread, '\\.[^.]*$', ''), '_proofread', ''), '_corrected', ''), '_edited', ''), '_original', ''), '_final', ''), batch_dir) AS name FROM {ROLES}",
+    "report_names": f"SELECT volume_id, batch_dir, coalesce(replace(replace(replace(replace(replace(regexp_replace(proofread, '\\.[^.]*$', ''), '_proofread', ''), '_corrected', ''), '_edited', ''), '_page1', ''), '_page_1', ''), batch_dir) AS name FROM {ROLES}",
     "pending_folders": f"SELECT folder, min(file_name) AS file_name FROM {FOLDERED} WHERE file_name LIKE '%.hocr' GROUP BY folder HAVING count(*) = 1",
     "size_audit": f"""
         WITH f AS (SELECT folder, file_name, size FROM {FOLDERED}), m AS (SELECT folder, file_name AS name, size, regexp_replace(file_name, '-proofread', '') AS original_name FROM f WHERE regexp_matches(file_name, '-proofread\\.hocr$')),

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
 import json
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +35,24 @@ def images(spark: SparkSession, folder: str, step: str = "recognise", recursive:
     return found if Path(folder).is_file() else found.filter(tx.is_image(F.col("name"), step))
 
 
+def matching(spark: SparkSession, pattern: str) -> DataFrame:
+    """path, name, content of the files that a pattern names; ``**`` stands for any folders. Order by path where order counts.
+
+    A pattern that nothing matches gives no rows. Files under the folder before the first wildcard are
+    listed by the file system that its scheme names, and their contents read only where they match.
+    """
+    steps = pattern.split("/")
+    first = next((k for k, x in enumerate(steps) if any(c in x for c in "*?[")), len(steps) - 1)
+    root = "/".join(steps[:first]) or ("/" if pattern.startswith("/") else ".")
+    rule = "".join("(?:[^/]+/)*" if x == "**" else fnmatch.translate(x)[len("(?s:") :].rsplit(")", 1)[0].replace(".*", "[^/]*").replace("(?>", "(?:") + ("/" if k < len(steps) - first - 1 else "") for k, x in enumerate(steps[first:]))
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    try:
+        every = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    except AnalysisException:  # no such folder
+        return spark.createDataFrame([], "path string, name string, content binary")
+    return every.filter(F.col("path").rlike("/" + rule + "$")).select("path", name.alias("name"), "content")
+
+
 def single_pairs(files: DataFrame) -> DataFrame:
     """dir, image, hocr of folders that hold exactly one image and one hOCR file; others are left out."""
     image = F.when(tx.is_image(F.col("name")), F.col("name"))
@@ -93,3 +113,16 @@ def export_texts(df: DataFrame, folder: str, name: str, text: str) -> None:
             p.write_text(r[text], "utf-8")
 
     df.select(name, text).foreachPartition(write)
+
+
+def write_document(parts: DataFrame, path: str, order: list[str], text: str, head: str = "", tail: str = "", by: str = "") -> int:
+    """One file of all rows' texts in order, part after part: never more than a partition of them in one place. Gives their number."""
+    p, n = Path(path), 0
+    p.parent.mkdir(parents=True, exist_ok=True)
+    with p.open("w", encoding="utf-8") as out:
+        out.write(head)
+        for r in parts.filter(F.col(text).isNotNull()).orderBy(*order).select(text).toLocalIterator():
+            out.write((by if n else "") + r[0])
+            n += 1
+        out.write(tail)
+    return n

@@ -4,6 +4,7 @@ import datetime as dt
 import difflib
 
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -68,6 +69,32 @@ def test_latex_page_sets_the_note_where_it_is_named(spark):
     assert "1. Note" not in text.split("% Footnotes")[0]
 
 
+def test_of_equal_notes_the_last_counts(spark):
+    lines = spark.createDataFrame([(1, 0, k, (0, y, 9, y + 9), t) for k, (y, t) in enumerate([(1100, "1. first"), (1200, "1. last"), (1205, "beside it"), (100, "text")])], "hocr_id long, page_idx int, line_idx int, bbox struct<x0:int,y0:int,x1:int,y1:int>, text string")
+    pages = spark.createDataFrame([(1, 0, (0, 0, 1000, 1400))], "hocr_id long, page_idx int, page_box struct<x0:int,y0:int,x1:int,y1:int>")
+    left = render.without_foot_notes(lines, render.foot_notes(lines, pages, compat=False))
+    assert sorted(r.text for r in left.collect()) == ["1. first", "text"]
+
+
+def test_a_line_without_words_keeps_its_paragraph_break(spark):
+    lines = spark.createDataFrame([(1, 0, k, (0, y, 9, y + 10), "x") for k, y in enumerate((100, 200, 212))], "hocr_id long, page_idx int, line_idx int, bbox struct<x0:int,y0:int,x1:int,y1:int>, text string")
+    words = spark.createDataFrame([(1, 0, k, 0, w, False, False, False) for k, w in ((0, "a"), (2, "b"))], "hocr_id long, page_idx int, line_idx int, word_idx int, text string, bold boolean, italic boolean, superscript boolean")
+    pages = spark.createDataFrame([(1, 0, (0, 0, 1000, 1400), "7", None)], "hocr_id long, page_idx int, page_box struct<x0:int,y0:int,x1:int,y1:int>, page_num string, image string")
+    assert render.latex_pages(lines, words, pages).collect()[0].text == "% Page 7\n\na \\optionallinebreak\n\nb \\optionallinebreak"
+
+
+def test_a_line_without_words_near_it_stays(spark):
+    lines = spark.createDataFrame([(1, 0, 10.0), (1, 1, 90.0)], "p int, line_idx int, y double")
+    words = spark.createDataFrame([(1, 7, 12.0), (1, 8, 15.0)], "p int, word_idx int, y double")
+    assert sorted((r.line_idx, r.word_idx) for r in render.recognised_words(words, lines, ["p"]).collect()) == [(0, 7), (1, None)]
+
+
+def test_base_names(spark):
+    df = spark.createDataFrame([("x_page1_proofread.hocr",), ("x_page_1.hocr",), ("x_original.hocr",), ("x-proofread.hocr",), (None,)], "n string")
+    got = [r[0] for r in df.select(roles.base_name(F.lit(None).cast("string"), F.col("n"), F.lit("folder"))).collect()]
+    assert got == ["x", "x", "x_original", "x-proofread", "folder"]
+
+
 def test_merge_takes_the_first_head_and_keeps_order(spark):
     rows = [("b", "b2", "<x/>", ["p3"]), ("b", "b1", "<head><title>t</title></head>", ["p1", None, "p2"]), ("c", "b1", None, ["q"])]
     got = {r.g: (r.n_pages, r.text) for r in render.merged_hocr(spark.createDataFrame(rows, "g string, batch_dir string, prefix string, pages array<string>"), "g").collect()}
@@ -91,8 +118,8 @@ def test_line_differences_and_report(spark):
     assert removed == ["info"]  # a removed line that begins with two dashes looks like a header
     report = {r.k: r.text for r in diff.batch_report(lines, ["k"], "batch_dir", "file").collect()}
     assert report[1].startswith("=== b1 / f ===\n\n--- original")
-    html = {r.batch_dir: r.html for r in diff.html_report(lines, "Changes").collect()}
-    assert '<div class="diff-added">+new</div>' in html["b3"]
+    rows = [r.html for r in diff.report_rows(lines, "batch_dir", "file").filter("batch_dir = 'b3'").orderBy("ord").collect()]
+    assert rows[0] == '<div class="diff-line diff-header">=== b3 / f ===</div>' and '<div class="diff-line diff-added">+new</div>' in rows and rows[-1] == '<div class="diff-line diff-context"></div>'
 
 
 def test_batch_ranges_cover_once(spark):
@@ -205,16 +232,31 @@ def test_reconcile_cases(spark):
     left = [(1, "a", ["x"], 1.0, t(1)), (1, "old", ["x"], 1.0, None), (2, None, None, float("nan"), t(1)), (3, "c", [None], 1.0, t(1)), (4, "d", [], 1.0, t(1)), (5, "e", ["e"], 1.0, t(1)), (5, "e", ["e"], 1.0, t(1)), (None, "n", None, None, t(1))]
     right = [(1, "a", ["x"], 1.0, t(1)), (2, None, None, float("nan"), t(2)), (3, "c", [""], 1.0, t(1)), (4, "D", None, None, t(1)), (6, "f", None, None, t(1)), (None, "m", None, None, t(1))]
     a, b = _pair(spark, left, right)
-    got = {(r.row_id, r.field, r.finding) for r in reconcile.table_differences(a.withColumn("extra", F.lit(1)), b, "id").collect()}
-    assert got == {(3, "b", "differs"), (4, "a", "differs"), (4, "b", "differs"), (4, "x", "differs"), (5, "*", "only_left"), (6, "*", "only_right"), (None, "a", "differs")}
+    got = {(r.row_id, r.field, r.finding) for r in reconcile.table_differences(a.withColumn("extra", F.lit(1)), b.withColumn("other", F.lit(1)), "id").collect()}
+    assert got == {(None, "extra", "column_only_left"), (None, "other", "column_only_right"), (3, "b", "differs"), (4, "a", "differs"), (4, "b", "differs"), (4, "x", "differs"), (5, "*", "only_left"), (6, "*", "only_right"), (None, "a", "differs")}
 
 
 def test_reconcile_empty_sides(spark):
     a, b = _pair(spark, [(1, "a", None, None, None)], [])
     assert [tuple(r) for r in reconcile.table_differences(a, b, "id").collect()] == [(1, "*", "only_left")]
     assert reconcile.table_differences(b, b, "id").count() == 0
-    none = pa.table({"k": pa.array([], pa.int64()), "v": pa.array([], pa.string())})
-    assert len(reconcile.compare_buckets(none, none, "k", ["v"])) == 0
+    none = pa.table({c: pa.array([], pa.int64()) for c in ("_key", "_at", "k0", "v0")})
+    assert len(reconcile.compare_buckets(none, none, ["k0"], ["v0"])) == 0
+
+
+def test_reconcile_other_keys(spark):
+    schema = "k string, d date, v int, loaded_at timestamp"
+    day = dt.date(2025, 1, 1)
+    a = spark.createDataFrame([("a", day, 1, None), ("b", None, 2, None), (None, None, 5, None), ("x", day, 3, None)], schema)
+    b = spark.createDataFrame([("a", day, 1, None), ("b", None, 3, None), (None, None, 5, None), ("y", day, 3, None)], schema)
+    assert {tuple(r) for r in reconcile.table_differences(a, b, ["k", "d"]).collect()} == {("b", None, "v", "differs"), ("x", day, "*", "only_left"), ("y", day, "*", "only_right")}
+    assert {tuple(r) for r in reconcile.table_differences(a, b, "k").collect()} == {("b", "v", "differs"), ("x", "*", "only_left"), ("y", "*", "only_right")}
+
+
+def test_a_hot_key_is_combined_before_the_shuffle():
+    t = pa.RecordBatch.from_pydict({"_key": pa.array([7, 7, 7, 1, None, None]), "_at": pa.array([1, 3, 3, 1, None, 2]), "k0": pa.array([7, 7, 7, 1, None, None]), "v0": pa.array(["a", "b", "c", "d", "e", "f"])})
+    got = [r for b in reconcile.combined(iter([t])) for r in b.to_pylist()]
+    assert [(r["_key"], r["v0"]) for r in got] == [(None, "f"), (1, "d"), (7, "c")]
 
 
 def test_reconcile_hot_key_and_many_buckets(spark):
@@ -228,3 +270,24 @@ def test_current_rows(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (1, "c", None), (2, "x", None), (None, "n", 1)], "k long, v string, loaded_at int")
     assert {(r.k, r.v) for r in tables.current_rows(df, "k", ["k", "v"]).collect()} == {(1, "b"), (2, "x"), (None, "n")}
     assert tables.current_rows(df.limit(0), "k", ["k", "v"]).count() == 0
+
+
+def test_names_of_files_are_read_without_their_pages(spark, sf):
+    from foliant.plans import workflow_queries as w
+
+    for q in ("resolved_roles", "report_names", "pending_folders", "batch_members", "middle_range", "halves_in_turn"):
+        plan = w.QUERIES[q](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "pages_html" not in plan and "prefix_before_body" not in plan, q
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    from foliant import session
+
+    class Far:
+        conf = type("C", (), {"get": staticmethod(lambda k, d=None: None)})()
+        sparkContext = type("S", (), {"master": "spark://host:7077", "getCheckpointDir": staticmethod(lambda: None)})()
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Far())
+    df = session.kept(spark.range(3))
+    assert df.count() == 3 and session.discard_kept(spark) >= 1 and session.discard_kept(spark) == 0
