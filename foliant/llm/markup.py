@@ -2,9 +2,10 @@
 
 Method: composite text density. A page becomes a DOM; each node gets its characters per tag, adjusted
 for characters and tags inside links; a node's density sum is the sum of its children's densities; the
-subtree of the greatest sum is the body, and the least density on the path from the page's root to it
-is the threshold. Link-dominated blocks outside that subtree and below the threshold (navigation) are
-left out; other blocks stay, since a heading or page number is short but belongs to the page.
+subtree of the greatest sum is the body, and the least density on the path from the page's root to it is
+the threshold. Text comes out of the body, of every other subtree that reaches the threshold, and of loose
+text beside them that is as dense; the rest (navigation, furniture) is left out. Syntaxes are reported of
+all of a page, since what is left out may be markup too.
 
 The content is then turned into text line by line: headings ``# x``, list items ``- x``, code blocks
 indented by four spaces, table cells joined by `` | ``, formulas as written; inline markup of HTML,
@@ -163,16 +164,33 @@ def densities(root: Node) -> tuple[Node, float]:
     return best, threshold
 
 
-def is_navigation(n: Node, threshold: float) -> bool:
-    """A block of links that is thinner than the path to the body."""
-    return n.chars > 0 and n.density < threshold and n.link_chars > 0.5 * n.chars and n.link_tags > 1
+def content_of(root: Node, best: Node, threshold: float) -> set[int]:
+    """Ids of the nodes whose whole subtrees are content: the body, and what reaches the threshold beside the path to it."""
+    path, todo, parent = set(), [root], {}
+    while todo:
+        n = todo.pop()
+        for x in n.kids:
+            parent[id(x)] = n
+        todo += n.kids
+    n = best
+    while id(n) in parent:
+        n = parent[id(n)]
+        path.add(id(n))
+    found, todo = set(), [root]
+    while todo:
+        n = todo.pop()
+        if n is best or id(n) not in path and n.density >= threshold:
+            found.add(id(n))
+        else:
+            todo += n.kids
+    return found
 
 
 SPACES = re.compile(r"[ \t\r\f\v\n\x02]+")
 
 
-def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
-    """Text lines of the content, block structure as marks at the line's start."""
+def lines_of(root: Node, content: set[int] | None = None, threshold: float = 0.0) -> list[str]:
+    """Text lines of the content, block structure as marks at the line's start; without ``content``, of everything."""
     out: list[str] = []
     row: list[str] = []
 
@@ -185,20 +203,22 @@ def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
     def cells(n: Node | str) -> str:
         return SPACES.sub(" ", n if isinstance(n, str) else strings_of(n)).strip()
 
-    inside = [(root, 0)]
-    # an explicit stack: (node, index of its next item); pages may nest deeply
+    def said(x: str, inside: bool) -> bool:
+        return inside or len(x) - x.count(" ") >= max(threshold, 1.0)  # loose text is a node of one tag
+
+    inside_all = content is None
+    inside = [(root, 0, inside_all or id(root) in content)]
+    # an explicit stack: (node, index of its next item, whether it is content); pages may nest deeply
     while inside:
-        n, k = inside.pop()
+        n, k, kept = inside.pop()
         if k == 0:
-            if n is not body and is_navigation(n, threshold):
-                continue
             if n.name in HIDDEN:
                 continue
-            if n.name == "pre":
+            if kept and n.name == "pre":
                 flush()
                 out.extend("    " + x for x in strings_of(n).replace(WORD_MARK, "").strip("\n").split("\n"))
                 continue
-            if n.name == "tr":
+            if kept and n.name == "tr":
                 flush()
                 out.append(" | ".join(cells(x) for x in n.items if isinstance(x, Node)) or cells(n))
                 continue
@@ -208,9 +228,11 @@ def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
                 flush()
                 continue
         if k < len(n.items):
-            inside.append((n, k + 1))
+            inside.append((n, k + 1, kept))
             x = n.items[k]
             if isinstance(x, str):
+                if not said(x, kept):
+                    continue
                 if not n.text_line and "\n" in x and WORD_MARK not in x and n.name in ("#root", "div", "body", "html", "head", "title", "p", "center"):
                     head, *rest = x.split("\n")
                     row.append(head)
@@ -220,7 +242,7 @@ def lines_of(root: Node, body: Node, threshold: float) -> list[str]:
                 else:
                     row.append(x)
             else:
-                inside.append((x, 0))
+                inside.append((x, 0, kept or id(x) in content))
             continue
         if n.name in BLOCKS or n.text_line:
             mark = HEADING if n.name in ("h1", "h2", "h3", "h4", "h5", "h6") else ITEM if n.name == "li" else ""
@@ -247,19 +269,22 @@ LONE_FENCE = re.compile(r"(?m)^[ \t]*(?:```|~~~)[\w+-]*[ \t]*$\n?")
 VERBATIM = re.compile(r"\\begin\{(verbatim|lstlisting)\}(.*?)(?:\\end\{\1\}|\Z)", re.S)
 DISPLAY = re.compile(r"\$\$.+?\$\$|\\\[.+?\\\]|\\begin\{(equation|align|gather|displaymath|eqnarray)(\*?)\}.+?\\end\{\1\2\}", re.S)
 INLINE_MATH = re.compile(r"\\\(.+?\\\)|\$(?=[^\s$])[^$\n]*[\\^_{=][^$\n]*(?<=[^\s\\])\$")
-CODE_SPAN = re.compile(r"(?<!`)(`{1,2})(?=[^`\s])([^`\n]{1,120}?)\1(?!`)")
+CODE_SPAN = re.compile(r"(?<!`)(`{1,2})(?=[^`\s])([^`\n]+?)\1(?!`)")
 MD_LINK = re.compile(r"!?\[([^\[\]]*)\]\(([^()\s]+)(?:\s+\"[^\"]*\")?\)")
 MD_NOTE = re.compile(r"\[\^[\w-]+\]:?")
 MD_HEAD = re.compile(r"(?m)^#{1,6}[ \t]+(?=\S)(.*?)[ \t]*#*$")
 MD_QUOTE = re.compile(r"(?m)^>[ \t]?(?=[^\s>]).*\n>")
 MD_LIST = re.compile(r"(?m)^([*+-])[ \t]+\S.*\n\1[ \t]+\S")
 MD_RULE_ROW = re.compile(r"(?m)^\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$|^\|[ \t]*:?-{3,}:?[ \t]*\|[ \t]*$")
-MD_STARS = re.compile(r"(?<![\w*\\])(\*{1,3})(?=[^\W_])((?:[^*\n]|\n(?!\n)){0,120}?[\w.,;:!?…»”\"'\]\)])\1(?![\w*])")
-MD_LINES = re.compile(r"(?<![\w\\])(_{1,3})(?=[^\W_])((?:[^_\n]|\n(?!\n)){0,120}?[^\W_]?[.,;:!?…]?)\1(?!\w)")
-MD_STRIKE = re.compile(r"(?<![\w~])~~(?=[^\s~])([^~\n]{1,120}?)~~(?![\w~])")
+# Two or three signs hold over any text without the sign; a single one, which may be a note mark, not over a line that ends a sentence.
+MD_STARS = re.compile(r"(?<![\w*\\])(\*{2,3})(?=[^\W_])([^*]*?[\w.,;:!?…»”\"'\]\)])\1(?![\w*])")
+MD_STAR = re.compile(r"(?<![\w*\\])(\*)(?=[^\W_])((?:[^*.!?]|[.!?](?!\s*\n))*?[\w.,;:!?…»”\"'\]\)])\1(?![\w*])")
+MD_LINES = re.compile(r"(?<![\w\\])(_{2,3})(?=[^\W_])([^_]*?[^\W_]?[.,;:!?…]?)\1(?!\w)")
+MD_LINE = re.compile(r"(?<![\w\\])(_)(?=[^\W_])((?:[^_.!?]|[.!?](?!\s*\n))*?[^\W_]?[.,;:!?…]?)\1(?!\w)")
+MD_STRIKE = re.compile(r"(?<![\w~])~~(?=[^\s~])([^~]+?)~~(?![\w~])")
 WIKI_LINK = re.compile(r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]+)\]\]")
 WIKI_TEMPLATE = re.compile(r"\{\{([^{}]+)\}\}")
-WIKI_QUOTES = re.compile(r"(?<![\w'])('{2,3}|'{5})(?=[^\s'])((?:[^'\n]|\n(?!\n)|'(?!')){0,160}?[^\s'])\1(?![\w'])")
+WIKI_QUOTES = re.compile(r"(?<![\w'])('{2,3}|'{5})(?=[^\s'])((?:[^']|'(?!'))*?[^\s'])\1(?![\w'])")
 WIKI_HEAD = re.compile(r"(?m)^(={2,6})[ \t]*(?=[^=\s])(.*?[^=\s])[ \t]*\1[ \t]*$")
 WIKI_TABLE = re.compile(r"(?m)^\{\|.*$")
 TEX_WORD = re.compile(r"\\[A-Za-z]{2,}\*?(?![A-Za-z])|\\[a-zA-Z]\{|\\item\b")
@@ -312,10 +337,9 @@ def convert(text: str, found: set[str]) -> str:
         if TEX_WORD.search(text):
             found.add("latex")
             text = text.replace("~\\", " \\")
-            for _ in range(6):  # nested groups from the inside out
+            n = 1
+            while n:  # nested groups from the inside out
                 text, n = TEX_GROUP.subn(lambda m: "" if m[1] in TEX_SILENT else f"\n{HEADING}{m[2].strip()}\n" if m[1] in TEX_HEADINGS else f" ({m[2].strip()})" if m[1] == "footnote" else m[2], text)
-                if not n:
-                    break
             text = re.sub(r"\\item\b[ \t]*", ITEM, text)
             text = TEX_BARE.sub(" ", text)
     if "{" in text:
@@ -350,8 +374,10 @@ def convert(text: str, found: set[str]) -> str:
             text = re.sub(r"(?m)^\|[ \t]*(.*?)[ \t]*\|[ \t]*$", lambda m: re.sub(r"[ \t]*\|[ \t]*", " | ", m[1]), text)
     if "*" in text:
         note("markdown", MD_STARS, r"\2")
+        note("markdown", MD_STAR, r"\2")
     if "_" in text:
         note("markdown", MD_LINES, r"\2")
+        note("markdown", MD_LINE, r"\2")
     if "~~" in text:
         note("markdown", MD_STRIKE, r"\1")
     if kept:
@@ -366,8 +392,11 @@ def clean_page(page: str | None) -> tuple[str | None, list[str]]:
     found: set[str] = set()
     root = parse(page, found)
     body, threshold = densities(root)
-    lines = lines_of(root, body, threshold)
+    content = content_of(root, body, threshold)
+    every, lines = lines_of(root), lines_of(root, content, threshold)
     text = convert("\n".join(lines), found)
+    if lines != every:
+        convert("\n".join(every), found)  # markup in what is left out is markup of the page
     return text.replace(HEADING, "# ").replace(ITEM, "- ").strip("\n"), sorted(found)
 
 

@@ -26,8 +26,8 @@ SEPARATORS = (
     re.compile(r"</(?:div|p|table|ul|ol|pre|section|h[1-6])\s*>\s*|\n[ \t]*\n\s*", re.I),  # sections: blocks
     re.compile(r"(?=<(?:span|div|p)\b[^<>]*\bocr_line\b)|<br\s*/?>\s*|</(?:li|tr)\s*>\s*", re.I),  # the page's lines
     re.compile(r"\n+"),
-    re.compile(r"(?<=[.!?。؟])[\"'”»)]*\s+(?![^<>]{0,1000}>)"),  # sentences
-    re.compile(r"</span\s*>\s*|\s+(?![^<>]{0,1000}>)", re.I),  # words
+    re.compile(r"(?P<tag><[^<>]*>)|(?<=[.!?。؟])[\"'”»)]*\s+"),  # sentences; what stands within a tag is passed over
+    re.compile(r"</span\s*>\s*|(?P<tag><[^<>]*>)|\s+", re.I),  # words
     re.compile(r">(?=<)|(?<=>)|\s+"),  # tags, or blanks within one
 )
 
@@ -35,7 +35,7 @@ SEPARATORS = (
 def parts(text: str, start: int, end: int, room: int, level: int = 0) -> Iterator[int]:
     """Ends of the parts of text[start:end], none longer than ``room``: coarse separators first."""
     while level < len(SEPARATORS):
-        cuts = [m.end() for m in SEPARATORS[level].finditer(text, start, end) if start < m.end() < end]
+        cuts = [m.end() for m in SEPARATORS[level].finditer(text, start, end) if start < m.end() < end and m.lastgroup != "tag"]
         level += 1
         if cuts:
             break

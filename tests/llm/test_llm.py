@@ -88,6 +88,25 @@ def test_density_leaves_out_navigation():
     assert "Go 3" not in text and "And another one." in text
 
 
+def test_markup_over_long_spans():
+    words = " ".join(f"word{i}" for i in range(60))
+    for sign, syntax in (("**", "markdown"), ("__", "markdown"), ("*", "markdown"), ("~~", "markdown"), ("''", "wiki"), ("`", "markdown")):
+        got, found = markup.clean_page(page(f"see {sign}{words}{sign} here"))
+        assert (got, found) == (f"see {words} here", [syntax]), sign
+    assert markup.clean_page(page("*A note ends.", "And a word* too"))[1] == []
+    assert markup.clean_page(page(r"\textbf{" * 9 + "deep" + "}" * 9)) == ("deep", ["latex"])
+
+
+def test_text_comes_from_the_densest_subtree(monkeypatch):
+    long = "<div class='ocr_carea'>" + "".join(f"<p>{'A long paragraph of text that goes on. ' * 9}</p>" for _ in range(4)) + "</div>"
+    thin = "<ul>" + "".join(f"<li><b>x{i}</b></li>" for i in range(20)) + "</ul>"
+    text, found = markup.clean_page(f"<body>{thin}{long}</body>")
+    assert "x3" not in text and text.count("goes on.") == 36 and found == ["html"]
+    assert markup.clean_page(f"<body>**x**{long}</body>") == (text, ["html", "markdown"])  # left out, but markup of the page
+    monkeypatch.setattr(markup, "content_of", lambda root, best, threshold: {id(root)})
+    assert "x3" in markup.clean_page(f"<body>{thin}{long}</body>")[0]
+
+
 def test_markup_found_takes_current_files(spark):
     rows = [(1, "v", None, None, [page("old <b>x</b>")], T1), (1, "v", None, "\\documentclass{book}", [page("new"), None, ""], T2), (2, "v", None, None, None, None), (None, None, None, None, [page("''w w''")], T1), (None, None, None, None, [page("''w w''")], T1)]
     df = spark.createDataFrame(rows, HOCR).withColumn("text", F.lit("clash"))
@@ -115,6 +134,12 @@ def test_pieces_end_at_lines():
     assert len(pieces.split("x" * 80_000)) == 6  # (80,000 - 400) / 15,600, rounded up
 
 
+def test_a_long_tag_is_not_cut():
+    text = "word " * 30 + '<span title="' + "x y. " * 300 + '">w</span> ' + "word " * 30
+    spans = pieces.split(text, 1900, 100)
+    assert all(b <= 150 or b >= text.index(">w") for _, b in spans)
+
+
 def test_long_pages(spark):
     rows = [(1, "v", None, None, ["x" * 16_000, "x" * 16_001, None, ""], T1), (1, "v", None, None, ["x" * 16_000, "x" * 16_001, None, ""], T2), (2, "v", None, None, None, T1)]
     df = spark.createDataFrame(rows, HOCR)
