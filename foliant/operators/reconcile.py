@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of one side that a bucket holds on average; a bucket of each side is in memory at once.
-ROWS_PER_BUCKET = 100_000
+#: Rows of one side that a bucket holds on average, and the most buckets (beyond, they grow); a bucket of each side is in memory at once.
+ROWS_PER_BUCKET, MOST_BUCKETS = 25_000, 100_000
 
 def encoded(column: Column, kind: T.DataType) -> Column:
     """A string that is equal for two values exactly if they are; null for null."""
@@ -168,7 +168,7 @@ def table_differences(
     kinds = {f.name: f.dataType for f in left.schema.fields}
     spark = left.sparkSession
     rows = max(left.count(), right.count())
-    buckets = max(1, -(-rows // rows_per_bucket), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(1, min(-(-rows // rows_per_bucket), MOST_BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     a, b = (bucketed_side(d, keys, fields, kinds, loaded, digests, buckets) for d in (left, right))
     of_key = [f"k{i}" for i in range(len(keys))]
     shown = {f"v{i}": f for i, f in enumerate(fields)}
