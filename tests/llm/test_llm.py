@@ -338,6 +338,15 @@ def test_skeletons_of_lookalikes_agree():
     assert lookalikes.skeleton("leaf") != lookalikes.skeleton("loaf")
 
 
+def test_forms_come_from_the_skeleton(monkeypatch):
+    same = ["p\u0430per", "\uff50aper", "pa\u200bper", "p\u13aaper".replace("\u13aa", "\u0430"), "\u0585ld", "\u217deaf"]
+    want = ["paper", "paper", "paper", "paper", "old", "\u217deaf"]
+    assert [lookalikes.consistent(w, {}) for w in same] == want
+    assert lookalikes.consistent("\u0430\u0441", {"\u0430\u0441": "LATIN"}) == "ac" and lookalikes.consistent("\u0439ёлка", {}) == "\u0439ёлка"
+    monkeypatch.setattr(lookalikes, "skeleton", lambda w: w)
+    assert [lookalikes.consistent(w, {}) for w in same[:1]] == same[:1]
+
+
 def test_inconsistent_rows_are_current(spark):
     w = spark.createDataFrame([(1, "thе", T1), (1, "the", T2), (2, "the", T1), (2, "thе", T2), (2, "thе", T2), (3, None, T1)], "id long, w string, loaded_at timestamp")
     got = lookalikes.inconsistent_words({"a": (w, "id", "w"), "b": (w.limit(0), "id", "w")})
