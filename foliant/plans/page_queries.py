@@ -57,19 +57,22 @@ def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parsed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines as the parser reads them, of the places that the table of lines has."""
+    """Every line of every page as the parser reads it."""
     read = current_pages(spark, sf_dir).select("hocr_id", "page_idx", F.posexplode(hocr.page_lines_udf("html")).alias("line_idx", "l"))
-    places = current_lines(spark, sf_dir).select("hocr_id", "page_idx", "line_idx")
-    return read.join(places, ["hocr_id", "page_idx", "line_idx"], "left_semi").select("hocr_id", "page_idx", "line_idx", F.col("l.text").alias("text"))
+    return read.select("hocr_id", "page_idx", "line_idx", F.col("l.text").alias("text"))
 
 
 def parsed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words as the parser reads them, of the places that the table of words has."""
-    every = current_pages(spark, sf_dir).select("hocr_id", "page_idx", F.posexplode(hocr.page_lines_udf("html")).alias("line_idx", "l"))
-    read = hocr.words(every.select("hocr_id", "page_idx", "line_idx", F.col("l.words").alias("words")), ["hocr_id", "page_idx"])
-    at = ["hocr_id", "page_idx", "line_idx", "word_idx"]
-    places = current_words(spark, sf_dir).filter(F.length(tx.strip(F.col("ocrx_word"))) > 0).select(*at)
-    return read.join(places, at, "left_semi").select(*at, "text")
+    """Every word of the lines with a box as the parser reads it."""
+    w = hocr.words(hocr.lines(current_pages(spark, sf_dir), ["hocr_id", "page_idx"], "html"), ["hocr_id", "page_idx"])
+    return w.select("hocr_id", "page_idx", "line_idx", "word_idx", "text")
+
+
+def lines_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows of the table of lines, with the text that the parser reads at their place; null where it reads none."""
+    read = current_pages(spark, sf_dir).select("hocr_id", "page_idx", F.posexplode(hocr.page_lines_udf("html")).alias("line_idx", "l"))
+    held = current_lines(spark, sf_dir).select("line_id", "hocr_id", "page_idx", "line_idx")
+    return held.join(read, ["hocr_id", "page_idx", "line_idx"], "left").select("line_id", F.col("l.text").alias("text"))
 
 
 def parsed_styles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,7 +209,7 @@ def answer_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "layout_paragraphs": layout_paragraphs, "page_info": page_info, "parsed_lines": parsed_lines, "parsed_text": parsed_text, "parsed_words": parsed_words, "parsed_styles": parsed_styles, "round_trip": round_trip, "head_metadata": head_metadata, "head_top": head_top,
+    "layout_paragraphs": layout_paragraphs, "page_info": page_info, "parsed_lines": parsed_lines, "parsed_text": parsed_text, "parsed_words": parsed_words, "lines_held": lines_held, "parsed_styles": parsed_styles, "round_trip": round_trip, "head_metadata": head_metadata, "head_top": head_top,
     "document_lines": document_lines, "html_escaped": html_escaped, "latex_escaped": latex_escaped, "diff_lines": diff_lines, "styled_lines": styled_lines, "capitals": capitals, "usual_edges": usual_edges,
     "line_classes": line_classes, "band_words": band_words, "foot_lines": foot_lines, "body_lines": body_lines, "foot_references": foot_references, "markdown_books": markdown_books, "latex_books": latex_books, "answer_status": answer_status,
 }
@@ -234,6 +237,42 @@ _STYLE_TEX = f"(CASE WHEN s THEN '\\textsuperscript{{' || {_latex('w')} || '}}'
 USUAL = f"(SELECT hocr_id, page_idx, arg_max(x, (n, -f)) AS usual_x FROM (SELECT hocr_id, page_idx, (round_even(x0 / 10, 0) * 10)::INTEGER AS x, count(*) AS n, min(line_idx) AS f FROM (SELECT hocr_id, page_idx, line_idx, bbox.x0 AS x0 FROM {LINES} WHERE bbox.x0 IS NOT NULL) GROUP BY ALL) GROUP BY ALL)"
 FEET = f"(SELECT b.hocr_id, b.page_idx, line_idx, y0, regexp_extract(text, '^([0-9]+)', 1) AS number, trim(regexp_replace(text, '^[0-9]+[.\\s]', ''), {SPACE}) AS note FROM {BOXED} b JOIN {EDGES} e USING (hocr_id, page_idx) WHERE y0 >= 0.75 * py AND regexp_matches(text, '^[0-9]+[.\\s]'))"
 
+CLASSIFIED = f"""(
+    WITH a AS (SELECT b.*, px, py, usual_x, length(trim(coalesce(text, ''), {SPACE})) = 0 AS blank FROM {BOXED} b LEFT JOIN {USUAL} USING (hocr_id, page_idx) LEFT JOIN {EDGES} USING (hocr_id, page_idx)),
+    c AS (SELECT *, row_number() OVER w - 1 AS position, sum(blank::INT) OVER w AS run FROM a WINDOW w AS (PARTITION BY hocr_id, page_idx ORDER BY line_idx)),
+    d AS (SELECT *, run - coalesce(last_value(CASE WHEN NOT blank THEN run END IGNORE NULLS) OVER p, 0) AS blanks,
+      last_value(CASE WHEN NOT blank THEN y0 END IGNORE NULLS) OVER p AS by0, last_value(CASE WHEN NOT blank THEN y1 END IGNORE NULLS) OVER p AS by1
+      FROM c WINDOW p AS (PARTITION BY hocr_id, page_idx ORDER BY line_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    e AS (SELECT *, NOT blank AND coalesce(abs((x0 + x1) / 2.0 - px / 2.0) < 0.1 * px AND x1 - x0 < 0.8 * px, false)
+      AND coalesce(length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')), 0) > 0.8, false) AND (blanks > 1 OR position < 2) AS heading,
+      coalesce(abs(x0 - usual_x) > 20, false) AS indented FROM d)
+    SELECT *, coalesce(NOT blank AND NOT heading AND by1 IS NOT NULL AND (indented OR y0 - by1 > 1.5 * (by1 - by0)), false) AS starts FROM e)"""
+
+# The markup itself in SQL: lines and words by their start tags.
+_BARE = f"(SELECT hocr_id, page_idx, regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '<!--.*$', '', 's') AS h FROM {PAGES})"
+_START = "(?i)<(?:{0})\\b[^<>]*\\bclass\\s*=\\s*[\"''][^\"''<>]*\\b{1}\\b[^<>]*>"
+_LINE_TAG, _WORD_TAG = _START.format("span|div|p", "ocr_line"), _START.format("span", "ocrx_word")
+_HAS_BOX = "regexp_matches(tag, 'bbox\\s+[0-9]+\\s+[0-9]+\\s+[0-9]+\\s+[0-9]+')"
+
+
+def _said(c: str) -> str:
+    c = f"regexp_replace(regexp_replace({c}, '<[^<>]*>', '', 'g'), '<[^<>]*$', '')"
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
+        c = f"replace({c}, '{a}', '{b}')"
+    return c
+
+
+MARKED_LINES = f"""(SELECT hocr_id, page_idx, (k - 2)::INTEGER AS line_idx, parts[k] AS part, tags[k - 1] AS tag
+    FROM (SELECT hocr_id, page_idx, string_split_regex(h, '{_LINE_TAG}') AS parts, regexp_extract_all(h, '{_LINE_TAG}') AS tags FROM {_BARE}), unnest(range(2, len(parts) + 1)) AS t(k))"""
+MARKED_WORDS = f"""(SELECT hocr_id, page_idx, line_idx, (k - 2)::INTEGER AS word_idx, wt[k - 1] AS tag, trim({_said("regexp_extract(ws[k], '(?is)^(.*?)(</span|$)', 1)")}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text
+    FROM (SELECT *, string_split_regex(part, '{_WORD_TAG}') AS ws, regexp_extract_all(part, '{_WORD_TAG}') AS wt FROM {MARKED_LINES} WHERE {_HAS_BOX}), unnest(range(2, len(ws) + 1)) AS t(k))"""
+SPOKEN_LINES = f"(SELECT hocr_id, page_idx, line_idx, trim(regexp_replace({_said('part')}, '[ \\t\\r\\n\\f\\v]+', ' ', 'g'), ' ') AS text FROM {MARKED_LINES})"
+
+
+def _attribute(name: str) -> str:
+    return f"coalesce(nullif(regexp_extract(tag, '(?i)\\b{name}\\s*=\\s*\"([^\"]*)\"', 1), ''), regexp_extract(tag, '(?i)\\b{name}\\s*=\\s*''([^'']*)''', 1), '')"
+
+
 ORACLE = {
     "layout_paragraphs": f"""
         SELECT hocr_id, page_idx, paragraph, md5(string_agg(text, ' ' ORDER BY line_id)) AS digest FROM (
@@ -245,8 +284,16 @@ ORACLE = {
           nullif(regexp_extract(tag, 'bbox\\s+[0-9]+\\s+[0-9]+\\s+[0-9]+\\s+([0-9]+)', 1), '')::INTEGER AS height, nullif(regexp_extract(tag, 'ppageno\\s+([0-9]+)', 1), '') AS page_num,
           nullif(regexp_extract(html, '(?is)<!--[^>]*?overall page[^>]*?image[:\\s]+([^\\s]+)', 1), '') AS image
         FROM (SELECT *, regexp_extract(html, '(?i)<div\\b[^>]*>') AS tag FROM {PAGES})""",
-    "parsed_text": f"SELECT hocr_id, page_idx, line_idx, ocr_line AS text FROM {LINES}",
-    "parsed_words": f"SELECT hocr_id, page_idx, line_idx, word_idx, ocrx_word AS text FROM {WORDS} WHERE length(trim(ocrx_word, {SPACE})) > 0",
+    "parsed_lines": f"""
+        SELECT hocr_id, n_lines, coalesce(n_words, 0)::BIGINT AS n_words FROM (SELECT hocr_id, count(*) AS n_lines FROM {MARKED_LINES} WHERE {_HAS_BOX} GROUP BY 1)
+        LEFT JOIN (SELECT hocr_id, count(*) AS n_words FROM {MARKED_WORDS} WHERE length(text) > 0 GROUP BY 1) USING (hocr_id)""",
+    "parsed_text": f"SELECT hocr_id, page_idx, line_idx, text FROM {SPOKEN_LINES}",
+    "lines_held": f"SELECT line_id, ocr_line AS text FROM {LINES}",
+    "parsed_words": f"SELECT hocr_id, page_idx, line_idx, word_idx, text FROM {MARKED_WORDS} WHERE length(text) > 0",
+    "parsed_styles": f"""
+        SELECT hocr_id, lower(title) LIKE '%bold%' OR lower(style) LIKE '%bold%' AS bold, lower(title) LIKE '%italic%' OR lower(style) LIKE '%italic%' AS italic,
+          regexp_matches(style, 'vertical-align\\s*:\\s*super') OR title LIKE '%superscript%' AS superscript, count(*) AS n
+        FROM (SELECT hocr_id, {_attribute("title")} AS title, {_attribute("style")} AS style FROM {MARKED_WORDS} WHERE length(text) > 0) GROUP BY ALL""",
     "head_metadata": f"""
         SELECT hocr_id, length(k)::INTEGER AS n_chars, md5(k) AS digest FROM (SELECT hocr_id, array_to_string(list_filter(string_split(prefix_before_body, chr(10)),
           lambda x: NOT regexp_matches(x, '(?i)<meta\\s[^>]*name\\s*=\\s*["'']?(font-metrics|layout|layout-data-table)["''\\s/>]')), chr(10)) AS k FROM {FILES})""",
@@ -268,16 +315,17 @@ ORACLE = {
           SELECT line_id, length(regexp_replace(ocr_line, '[^\\p{{L}}]', '', 'g')) AS l, length(regexp_replace(ocr_line, '[^\\p{{Lu}}]', '', 'g')) AS u FROM {LINES})""",
     "usual_edges": USUAL[1:-1],
     "line_classes": f"""
-        WITH a AS (SELECT b.*, px, py, usual_x, length(trim(coalesce(text, ''), {SPACE})) = 0 AS blank FROM {BOXED} b LEFT JOIN {USUAL} USING (hocr_id, page_idx) LEFT JOIN {EDGES} USING (hocr_id, page_idx)),
-        c AS (SELECT *, row_number() OVER w - 1 AS position, sum(blank::INT) OVER w AS run FROM a WINDOW w AS (PARTITION BY hocr_id, page_idx ORDER BY line_idx)),
-        d AS (SELECT *, run - coalesce(last_value(CASE WHEN NOT blank THEN run END IGNORE NULLS) OVER p, 0) AS blanks,
-          last_value(CASE WHEN NOT blank THEN y0 END IGNORE NULLS) OVER p AS by0, last_value(CASE WHEN NOT blank THEN y1 END IGNORE NULLS) OVER p AS by1
-          FROM c WINDOW p AS (PARTITION BY hocr_id, page_idx ORDER BY line_idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-        e AS (SELECT *, NOT blank AND coalesce(abs((x0 + x1) / 2.0 - px / 2.0) < 0.1 * px AND x1 - x0 < 0.8 * px, false)
-          AND coalesce(length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) / nullif(length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')), 0) > 0.8, false) AND (blanks > 1 OR position < 2) AS heading,
-          coalesce(abs(x0 - usual_x) > 20, false) AS indented FROM d)
-        SELECT hocr_id, page_idx, sum(heading::INT)::BIGINT AS n_is_heading, sum((NOT blank AND NOT heading AND by1 IS NOT NULL AND (indented OR y0 - by1 > 1.5 * (by1 - by0)))::INT)::BIGINT AS n_is_break,
-          sum(CASE WHEN NOT blank THEN indented::INT END)::BIGINT AS n_indented FROM e GROUP BY ALL""",
+        SELECT hocr_id, page_idx, sum(heading::INT)::BIGINT AS n_is_heading, sum(starts::INT)::BIGINT AS n_is_break, sum(CASE WHEN NOT blank THEN indented::INT END)::BIGINT AS n_indented FROM {CLASSIFIED} GROUP BY ALL""",
+    "markdown_books": f"""
+        SELECT hocr_id, length(text)::INTEGER AS n_chars, md5(text) AS digest FROM (
+          SELECT hocr_id, string_agg('### Page' || coalesce(' ' || page_num, '') || coalesce(chr(10) || chr(10) || body, ''), chr(10) || chr(10) ORDER BY page_idx) AS text
+          FROM (SELECT hocr_id, page_idx, max(page_num) AS page_num FROM {LINES} GROUP BY ALL) LEFT JOIN (
+            SELECT hocr_id, page_idx, string_agg(CASE WHEN heading THEN '## ' || text || chr(10) ELSE CASE WHEN starts THEN chr(10) ELSE '' END || coalesce(words, '') END, chr(10) ORDER BY line_idx) AS body
+            FROM {CLASSIFIED} LEFT JOIN (
+              SELECT hocr_id, page_idx, line_idx, string_agg(CASE WHEN b AND i THEN '***' || m || '***' WHEN b THEN '**' || m || '**' WHEN i THEN '*' || m || '*' ELSE m END, ' ' ORDER BY word_idx) AS words
+              FROM (SELECT *, CASE WHEN s THEN '^' || w || '^' ELSE w END AS m
+                FROM (SELECT hocr_id, page_idx, line_idx, word_idx, ocrx_word AS w, coalesce(bold, false) AS b, coalesce(italic, false) AS i, coalesce(superscript, false) AS s FROM {WORDS} WHERE length(trim(ocrx_word, {SPACE})) > 0)) GROUP BY ALL) USING (hocr_id, page_idx, line_idx)
+            WHERE NOT blank GROUP BY ALL) USING (hocr_id, page_idx) GROUP BY hocr_id)""",
     "band_words": f"""
         SELECT l.hocr_id, l.page_idx, l.line_idx, count(word_id) AS n_words, sum(word_id)::BIGINT AS sum_word_id
         FROM (SELECT hocr_id, page_idx, line_idx, bbox.y0 AS y FROM {LINES} WHERE bbox IS NOT NULL) l LEFT JOIN (SELECT hocr_id, page_idx, word_id, bbox.y0 AS y FROM {WORDS} WHERE bbox IS NOT NULL) w
