@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm import bpe, lookalikes, markup, mixing, pieces, residue, scan, truncation
-from foliant.sources.tables import table
+from foliant.sources.tables import only_current, table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,17 @@ def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.page_pieces(table(spark, sf_dir, "hocr_structure"))
 
 
+def p3_rejoined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every page over the limit: whether its pieces keep the limit and give back the page."""
+    hocr = table(spark, sf_dir, "hocr_structure")
+    made = pieces.page_pieces(hocr).groupBy("hocr_id", "page_idx").agg(
+        (F.max(F.char_length("piece")) <= pieces.LIMIT).alias("within"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("piece_idx", "piece"))), lambda x: F.when(x["piece_idx"] == 0, x["piece"]).otherwise(F.substring(x["piece"], pieces.OVERLAP + 1, pieces.LIMIT))), "").alias("whole"),
+    )  # a page's own pieces
+    pages = only_current(hocr.select("hocr_id", "loaded_at", F.posexplode("pages_html").alias("page_idx", "html")), hocr, "hocr_id").dropDuplicates(["hocr_id", "page_idx"])
+    return made.join(pages, ["hocr_id", "page_idx"]).select("hocr_id", "page_idx", "within", (F.col("whole") == F.col("html")).alias("rejoins"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running titles, page numbers, broken words and misread words."""
     return scan.noise(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "word_csv", "lexicon")))
@@ -36,7 +47,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every volume as repaired, continuous paragraphs."""
-    return scan.continuous_text(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "word_csv", "lexicon")))
+    return scan.continuous_text(*(table(spark, sf_dir, t) for t in ("ocr_lines", "ocr_words", "lexicon")))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,7 +106,7 @@ def p5_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.judged_pages(table(spark, sf_dir, "hocr_structure"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_reasons": p5_reasons, "p5_shares": p5_shares, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
+QUERIES = {"p1_found": p1_found, "p1_text": p1_text, "p3_found": p3_found, "p3_pieces": p3_pieces, "p3_rejoined": p3_rejoined, "p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_reasons": p5_reasons, "p5_shares": p5_shares, "p6_found": p6_found, "p6_forms": p6_forms, "p7_ids": p7_ids, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_kept": p9_kept}
 
 P3_SQL = """
 SELECT hocr_id, (i - 1)::INTEGER AS page_idx
@@ -103,4 +114,4 @@ FROM (SELECT hocr_id, pages_html, row_number() OVER (PARTITION BY hocr_id ORDER
 WHERE _r = 1 AND length(pages_html[i]) > 16000
 """
 
-ORACLE = {"p3_found": P3_SQL}
+ORACLE = {"p3_found": P3_SQL, "p3_rejoined": f"SELECT hocr_id, page_idx, true AS within, true AS rejoins FROM ({P3_SQL})"}

@@ -313,11 +313,12 @@ def pair_counts(laid: DataFrame, tokens: DataFrame, words: list[str]) -> tuple[d
     count = {r.w: r.n for r in sorted(counted, key=lambda r: (-r.n, r.w))}
     slots = {w: slot(w, k) for k, w in enumerate(count)}
     size = max(slots.values(), default=-1) + 1
+    # pairs are counted by the words' hashes, as words stand in lower case with a stop or comma or without
     seq = laid.filter(F.col("kind") == "body").select(F.split(plain("text"), " ").alias("s"))
     ahead = [F.arrays_zip(F.col("s").alias("a"), F.slice("s", k + 1, F.size("s")).alias("b")) for k in range(1, WINDOW + 1)]
-    pairs = seq.filter(F.size("s") > 1).select(F.explode(F.concat(*ahead)).alias("p")).select(F.col("p.a").alias("a"), F.col("p.b").alias("b")).filter(F.col("b").isNotNull())
-    at = spark.createDataFrame(list(slots.items()), "v string, k int")
-    by_word = pairs.groupBy("a", "b").agg(F.count("*").alias("n")).select(F.rtrim("a", F.lit(".,;:")).alias("a"), F.rtrim("b", F.lit(".,;:")).alias("b"), "n")
+    pairs = seq.filter(F.size("s") > 1).select(F.explode(F.concat(*ahead)).alias("p")).filter(F.col("p.b").isNotNull()).select(F.xxhash64("p.a").alias("a"), F.xxhash64("p.b").alias("b"))
+    at = spark.createDataFrame([(w + sign, k) for w, k in slots.items() for sign in ("", ".", ",", ";", ":")], "v string, k int").select(F.xxhash64("v").alias("v"), "k")
+    by_word = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
     by_slot = by_word.join(F.broadcast(at.select(F.col("v").alias("a"), F.col("k").alias("i"))), "a").join(F.broadcast(at.select(F.col("v").alias("b"), F.col("k").alias("j"))), "b").groupBy("i", "j").agg(F.sum("n").alias("n"))
     n = np.zeros((size, size), np.float32)
     if size:
@@ -570,16 +571,16 @@ class Pages:
         linked = linked.select("hocr_id", "page_idx", F.coalesce("before", "_before", F.when(later, F.col("_first"))).alias("before"))
         return d.drop("_last").join(linked.filter(F.col("before").isNotNull()), ["hocr_id", "page_idx"], "left")
 
-    def misread(self, ocr_words: DataFrame, word_csv: DataFrame) -> DataFrame:
-        """(kind, row_id, hocr_id, page_idx, line_idx, word_idx, word, reading) of misread words of both tables, corrected in context."""
+    def misread(self, ocr_words: DataFrame, word_csv: DataFrame | None) -> DataFrame:
+        """(kind, row_id, hocr_id, page_idx, line_idx, word_idx, word, reading) of misread words of both tables, or the first, corrected in context."""
         plain = self.known.sparkSession.createDataFrame([(w,) for w in as_printed(self.words)], "word string")
         rows_a = kept(unknown_rows(ocr_words, self.known, plain, ["word_id", "hocr_id", "page_idx", "line_idx", "word_idx"], "ocrx_word"))
-        rows_b = kept(unknown_rows(word_csv, self.known, plain, ["csv_id", "filename", "left_x", "upper_y"], "word"))
-        forms = rows_a.select("word", "w").unionByName(rows_b.select("word", "w")).filter(F.length("w") > 1).distinct().repartition("w")  # forms of one word in one task
-        rows_a, rows_b = rows_a.drop("w"), rows_b.drop("w")
+        rows_b = kept(unknown_rows(word_csv, self.known, plain, ["csv_id", "filename", "left_x", "upper_y"], "word")) if word_csv is not None else None
+        forms = rows_a.select("word", "w")
+        forms = forms if rows_b is None else forms.unionByName(rows_b.select("word", "w"))
+        forms = forms.filter(F.length("w") > 1).distinct().repartition("w")  # forms of one word in one task
         read = kept(forms.withColumn("r", readings_udf(self.words, self.vectors)("word")).filter(F.col("r").isNotNull()))
-        rows_a = only_current(rows_a.join(read, "word"), ocr_words, "word_id").drop("loaded_at").dropDuplicates(["word_id"])
-        rows_b = only_current(rows_b.join(read, "word"), word_csv, "csv_id").drop("loaded_at").dropDuplicates(["csv_id"])
+        rows_a = only_current(rows_a.drop("w").join(read, "word"), ocr_words, "word_id").drop("loaded_at").dropDuplicates(["word_id"])
         lines = self.laid.select("line_id", "volume_id", "hocr_id", "page_idx", "page_num", "line_idx", "x0", "y0", "x1", "text", F.col("kind").alias("line_kind"), (F.col("rank") == F.col("n")).alias("is_last"))
 
         a = self.flagged(with_toks(rows_a.join(lines, ["hocr_id", "page_idx", "line_idx"], "left")))
@@ -587,7 +588,14 @@ class Pages:
         is_last = (F.col("word_idx") >= F.size("toks") - 2) & (F.try_element_at("toks", F.lit(-1)) == F.col("word"))
         a = self._kept(a, is_first, is_last).select(F.lit("misread_word").alias("kind"), F.col("word_id").alias("row_id"), "hocr_id", "page_idx", "line_idx", "word_idx", "word", "r", self._around(F.col("word_idx")).alias("around"))
 
+        both = a if rows_b is None else a.unionByName(self._export_words(rows_b, read, word_csv, lines))
+        chosen = both.withColumn("c", choose_udf(self.vectors)("r", "around"))
+        return chosen.filter(F.col("c.word").isNotNull()).select("kind", "row_id", "hocr_id", "page_idx", "line_idx", "word_idx", "word", F.col("c.word").alias("reading"))
+
+    def _export_words(self, rows_b: DataFrame, read: DataFrame, word_csv: DataFrame, lines: DataFrame) -> DataFrame:
+        """Words of the export that may be misread, at the lines that their image and height name."""
         name = r"^(.*)_(\d+)\.[A-Za-z0-9]+$"
+        rows_b = only_current(rows_b.drop("w").join(read, "word"), word_csv, "csv_id").drop("loaded_at").dropDuplicates(["csv_id"])
         b = rows_b.withColumn("volume_id", F.regexp_extract("filename", name, 1)).withColumn("page_no", F.regexp_extract("filename", name, 2).try_cast("int"))
         number = F.col("page_num").try_cast("int")
         shift = lines.groupBy("hocr_id").agg(F.max(number - F.col("page_idx")).alias("shift"))  # page numbers run on within a file
@@ -600,10 +608,7 @@ class Pages:
         is_first = F.coalesce(F.abs(F.col("left_x") - F.col("x0")) <= 8, F.lit(False))
         is_last = F.coalesce(F.col("left_x") + per_sign * F.length("word") >= F.col("x1") - 2 * per_sign, F.lit(False))
         place = F.round((F.col("left_x") - F.col("x0")) / (F.col("x1") - F.col("x0")) * F.size("toks"))
-        b = self._kept(b, is_first, is_last).select(F.lit("misread_csv").alias("kind"), F.col("csv_id").alias("row_id"), *(F.lit(None).cast(t).alias(c) for c, t in (("hocr_id", "long"), ("page_idx", "int"), ("line_idx", "int"), ("word_idx", "int"))), "word", "r", self._around(place).alias("around"))
-        both = a.unionByName(b)
-        chosen = both.withColumn("c", choose_udf(self.vectors)("r", "around"))
-        return chosen.filter(F.col("c.word").isNotNull()).select("kind", "row_id", "hocr_id", "page_idx", "line_idx", "word_idx", "word", F.col("c.word").alias("reading"))
+        return self._kept(b, is_first, is_last).select(F.lit("misread_csv").alias("kind"), F.col("csv_id").alias("row_id"), *(F.lit(None).cast(t).alias(c) for c, t in (("hocr_id", "long"), ("page_idx", "int"), ("line_idx", "int"), ("word_idx", "int"))), "word", "r", self._around(place).alias("around"))
 
     @staticmethod
     def _kept(df: DataFrame, is_first: Column, is_last: Column) -> DataFrame:
@@ -628,8 +633,8 @@ def noise(lines: DataFrame, ocr_words: DataFrame, word_csv: DataFrame, lexicon:
     return pages.furniture().unionByName(hyphens).unionByName(pages.misread(ocr_words, word_csv).select("kind", "row_id")).distinct()
 
 
-def continuous_text(lines: DataFrame, ocr_words: DataFrame, word_csv: DataFrame, lexicon: DataFrame) -> DataFrame:
+def continuous_text(lines: DataFrame, ocr_words: DataFrame, lexicon: DataFrame) -> DataFrame:
     """(hocr_id, page_idx, paragraph, text): all volumes as repaired paragraphs."""
     pages = Pages(lines, lexicon)
-    fixes = pages.misread(ocr_words, word_csv).filter("kind = 'misread_word' AND hocr_id IS NOT NULL").select("hocr_id", "page_idx", "line_idx", "word_idx", "word", "reading")
+    fixes = pages.misread(ocr_words, None).filter("hocr_id IS NOT NULL").select("hocr_id", "page_idx", "line_idx", "word_idx", "word", "reading")
     return pages.paragraphs(fixes)
