@@ -181,7 +181,7 @@ def report(spark: SparkSession, o: argparse.Namespace) -> int:
 def audit_folder(spark: SparkSession, o: argparse.Namespace) -> int:
     pattern = fnmatch.translate(o.pattern).replace("(?s:", "(?:").replace(")\\Z", ")$").replace(")\\z", ")$")
     held = audit.audited(files.listing(spark, o.dir), "dir", "name", "size", o.size_percent, pattern)
-    folders = set(files.subfolders(o.dir))
+    folders = set(files.subfolders(spark, o.dir))
     seen = set()
     for r in held.orderBy("folder", "name").toLocalIterator():
         if r.folder in folders:

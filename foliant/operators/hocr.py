@@ -38,6 +38,21 @@ def page_blocks(body: str) -> tuple[list[str], bool]:
     return out, depth == 0
 
 
+def page_elements(body: str) -> list[str]:
+    """Every ``ocr_page`` division in the order of their start tags, also those within another; an open one goes to the end."""
+    out: list[list[int]] = []
+    stack: list[int | None] = []  # of each open division: its place in out, if it is a page
+    for m in DIV.finditer(body):
+        if not m[1]:
+            page = PAGE_CLASS.search(m[0])
+            stack.append(len(out) if page else None)
+            if page:
+                out.append([m.start(), len(body)])
+        elif stack and (at := stack.pop()) is not None:
+            out[at][1] = m.end()
+    return [body[a:b] for a, b in out]
+
+
 STRUCTURE = T.StructType([
     T.StructField("prefix", T.StringType()), T.StructField("body_open_tag", T.StringType()), T.StructField("pages", T.ArrayType(T.StringType())), T.StructField("status", T.StringType()),
 ])

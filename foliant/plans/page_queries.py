@@ -237,6 +237,8 @@ _STYLE_TEX = f"(CASE WHEN s THEN '\\textsuperscript{{' || {_latex('w')} || '}}'
 USUAL = f"(SELECT hocr_id, page_idx, arg_max(x, (n, -f)) AS usual_x FROM (SELECT hocr_id, page_idx, (round_even(x0 / 10, 0) * 10)::INTEGER AS x, count(*) AS n, min(line_idx) AS f FROM (SELECT hocr_id, page_idx, line_idx, bbox.x0 AS x0 FROM {LINES} WHERE bbox.x0 IS NOT NULL) GROUP BY ALL) GROUP BY ALL)"
 FEET = f"(SELECT b.hocr_id, b.page_idx, line_idx, y0, regexp_extract(text, '^([0-9]+)', 1) AS number, trim(regexp_replace(text, '^[0-9]+[.\\s]', ''), {SPACE}) AS note FROM {BOXED} b JOIN {EDGES} e USING (hocr_id, page_idx) WHERE y0 >= 0.75 * py AND regexp_matches(text, '^[0-9]+[.\\s]'))"
 
+LAST_FEET = f"(SELECT * FROM {FEET} QUALIFY row_number() OVER (PARTITION BY hocr_id, page_idx, number ORDER BY line_idx DESC) = 1)"
+_TEX = [x.replace("'", "''") for x in render.latex_frame()]
 CLASSIFIED = f"""(
     WITH a AS (SELECT b.*, px, py, usual_x, length(trim(coalesce(text, ''), {SPACE})) = 0 AS blank FROM {BOXED} b LEFT JOIN {USUAL} USING (hocr_id, page_idx) LEFT JOIN {EDGES} USING (hocr_id, page_idx)),
     c AS (SELECT *, row_number() OVER w - 1 AS position, sum(blank::INT) OVER w AS run FROM a WINDOW w AS (PARTITION BY hocr_id, page_idx ORDER BY line_idx)),
@@ -326,12 +328,24 @@ ORACLE = {
               FROM (SELECT *, CASE WHEN s THEN '^' || w || '^' ELSE w END AS m
                 FROM (SELECT hocr_id, page_idx, line_idx, word_idx, ocrx_word AS w, coalesce(bold, false) AS b, coalesce(italic, false) AS i, coalesce(superscript, false) AS s FROM {WORDS} WHERE length(trim(ocrx_word, {SPACE})) > 0)) GROUP BY ALL) USING (hocr_id, page_idx, line_idx)
             WHERE NOT blank GROUP BY ALL) USING (hocr_id, page_idx) GROUP BY hocr_id)""",
+    "latex_books": f"""
+        WITH w AS (SELECT hocr_id, page_idx, line_idx, word_idx, ocrx_word AS w, coalesce(bold, false) AS b, coalesce(italic, false) AS i, coalesce(superscript, false) AS s FROM {WORDS} WHERE length(trim(ocrx_word, {SPACE})) > 0),
+        n AS (SELECT hocr_id, page_idx, number, arg_max(note, line_idx) AS note FROM {FEET} GROUP BY ALL),
+        t AS (SELECT w.*, note, {_STYLE_TEX} AS t FROM w LEFT JOIN n ON w.hocr_id = n.hocr_id AND w.page_idx = n.page_idx AND w.s AND regexp_matches(w.w, '^[0-9]+$') AND n.number = w.w),
+        said AS (SELECT hocr_id, page_idx, line_idx, string_agg(CASE WHEN note IS NOT NULL THEN '\\footnote{{' || {_latex('note')} || '}}' WHEN b AND i THEN '\\textbf{{\\textit{{' || t || '}}}}' WHEN b THEN '\\textbf{{' || t || '}}' WHEN i THEN '\\textit{{' || t || '}}' ELSE t END, ' ' ORDER BY word_idx) AS words FROM t GROUP BY ALL),
+        body AS (SELECT b.*, coalesce(y0 - lag(y1) OVER p > 1.5 * (lag(y1) OVER p - lag(y0) OVER p), false) AS brk FROM {BOXED} b
+          WHERE NOT EXISTS (SELECT 1 FROM {LAST_FEET} f WHERE f.hocr_id = b.hocr_id AND f.page_idx = b.page_idx AND abs(f.y0 - b.y0) < 10) WINDOW p AS (PARTITION BY hocr_id, page_idx ORDER BY line_idx)),
+        laid AS (SELECT hocr_id, page_idx, line_idx, CASE WHEN words IS NOT NULL THEN CASE WHEN brk THEN chr(10) ELSE '' END || words || ' \\optionallinebreak' WHEN brk THEN '' END AS x FROM body LEFT JOIN said USING (hocr_id, page_idx, line_idx)),
+        pages AS (SELECT p.hocr_id, p.page_idx, concat_ws(chr(10), '% Page ' || page_num, '', set_lines, chr(10) || '% Footnotes for this page:' || chr(10) || notes) AS text FROM (SELECT hocr_id, page_idx, max(page_num) AS page_num FROM {LINES} GROUP BY ALL) p
+          LEFT JOIN (SELECT hocr_id, page_idx, string_agg(x, chr(10) ORDER BY line_idx) AS set_lines FROM laid WHERE x IS NOT NULL GROUP BY ALL) USING (hocr_id, page_idx)
+          LEFT JOIN (SELECT hocr_id, page_idx, string_agg('% [' || number || '] ' || note, chr(10) ORDER BY line_idx) AS notes FROM {FEET} GROUP BY ALL) USING (hocr_id, page_idx))
+        SELECT hocr_id, length(d)::INTEGER AS n_chars, md5(d) AS digest FROM (SELECT hocr_id, '{_TEX[0]}' || string_agg(text, '{_TEX[1]}' ORDER BY page_idx) || '{_TEX[2]}' AS d FROM pages GROUP BY hocr_id)""",
     "band_words": f"""
         SELECT l.hocr_id, l.page_idx, l.line_idx, count(word_id) AS n_words, sum(word_id)::BIGINT AS sum_word_id
         FROM (SELECT hocr_id, page_idx, line_idx, bbox.y0 AS y FROM {LINES} WHERE bbox IS NOT NULL) l LEFT JOIN (SELECT hocr_id, page_idx, word_id, bbox.y0 AS y FROM {WORDS} WHERE bbox IS NOT NULL) w
           ON l.hocr_id = w.hocr_id AND l.page_idx = w.page_idx AND abs(l.y - w.y) < 5 GROUP BY ALL""",
     "foot_lines": f"SELECT hocr_id, page_idx, line_idx, number, note FROM {FEET}",
-    "body_lines": f"SELECT hocr_id, page_idx, count(*) AS n_lines FROM {BOXED} b WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM {FEET} QUALIFY row_number() OVER (PARTITION BY hocr_id, page_idx, number ORDER BY line_idx DESC) = 1) f WHERE f.hocr_id = b.hocr_id AND f.page_idx = b.page_idx AND abs(f.y0 - b.y0) < 10) GROUP BY ALL",
+    "body_lines": f"SELECT hocr_id, page_idx, count(*) AS n_lines FROM {BOXED} b WHERE NOT EXISTS (SELECT 1 FROM {LAST_FEET} f WHERE f.hocr_id = b.hocr_id AND f.page_idx = b.page_idx AND abs(f.y0 - b.y0) < 10) GROUP BY ALL",
     "foot_references": f"""
         SELECT word_id, w.number, note FROM (SELECT word_id, hocr_id, page_idx, ocrx_word AS number FROM {WORDS} WHERE superscript AND regexp_matches(ocrx_word, '^[0-9]+$')) w
         LEFT JOIN (SELECT hocr_id, page_idx, number, arg_max(note, line_idx) AS note FROM {FEET} GROUP BY ALL) f ON w.hocr_id = f.hocr_id AND w.page_idx = f.page_idx AND w.number = f.number""",

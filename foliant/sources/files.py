@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import json
+import logging
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,8 @@ from pyspark.sql import types as T
 
 from foliant.functions import text as tx
 
+log = logging.getLogger("foliant")
+
 QUOTA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("quota_type", T.StringType()), T.StructField("quota_limit", T.LongType()), T.StructField("reset_time", T.StringType()), T.StructField("reset_timezone", T.StringType()),
 ])
@@ -85,9 +88,11 @@ def head_lines(text: Column, n: int = 25, compat: bool = False) -> Column:
 def quota_config(spark: SparkSession, path: str) -> DataFrame:
     """A quota configuration as rows; missing or broken files give none, and tracking is off."""
     try:
-        models = json.loads(Path(path).read_text("utf-8")).get("models", {})
+        text = spark.read.text(path, wholetext=True).first()[0]
+        models = json.loads(text).get("models", {})
         rows = [(m, q, int(v["limit"]), v.get("reset_time"), v.get("reset_timezone")) for m, c in models.items() for q, v in (c.get("quotas") or {}).items()]
-    except (OSError, ValueError, AttributeError, KeyError, TypeError):
+    except (AnalysisException, ValueError, AttributeError, KeyError, TypeError) as e:
+        log.warning("no quotas from %s: %s", path, e)
         rows = []
     return spark.createDataFrame(rows, QUOTA)
 
@@ -98,9 +103,27 @@ def last_temperature(text: Column) -> Column:
     return F.when(t.between(0.0, 1.0), t)
 
 
-def subfolders(folder: str) -> list[str]:
+def _file_system(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
     """Names of the immediate subfolders, sorted; also of empty ones, which a listing of files does not show."""
-    return sorted(p.name for p in Path(folder).iterdir() if p.is_dir())
+    at, fs = _file_system(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory())
+
+
+def existing(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths that are files, in their order; others are left out with a warning."""
+    out = []
+    for p in paths:
+        at, fs = _file_system(spark, p)
+        if fs.exists(at) and fs.getFileStatus(at).isFile():
+            out.append(p)
+        else:
+            log.warning("no file %s", p)
+    return out
 
 
 def export_texts(df: DataFrame, folder: str, name: str, text: str) -> None:

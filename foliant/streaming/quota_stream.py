@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.operators.quota import quota_day
+from foliant.operators.quota import MINUTE_US
 
 
 def minute_use(calls: DataFrame, late: str = "10 minutes", slide: str = "10 seconds") -> DataFrame:
@@ -15,10 +15,16 @@ def minute_use(calls: DataFrame, late: str = "10 minutes", slide: str = "10 seco
     return g.select("model", F.col("window.start").alias("start"), F.col("window.end").alias("end"), "requests", "tokens")
 
 
-def day_use(calls: DataFrame, quotas: DataFrame, late: str = "1 day") -> DataFrame:
-    """model, day, requests, tokens, limit, over of each quota day so far; the quota table is static."""
+def day_use(calls: DataFrame, quotas: DataFrame, late: str = "2 days") -> DataFrame:
+    """model, day, requests, tokens, limit, over of each quota day so far; the quota table is static.
+
+    Days are windows over the model's own clock, set back by its reset time, and the watermark is that
+    clock's: a day's state is dropped when it is over by ``late``, which covers the zones' distance.
+    """
     q = quotas.filter(F.col("quota_type") == "requests_per_day").select("model", F.col("quota_limit").alias("limit"), "reset_time", "reset_timezone")
-    once = calls.withWatermark("ts", late).dropDuplicatesWithinWatermark(["call_id"])
-    d = once.join(q, "model", "left").withColumn("day", quota_day(F.col("ts"), F.coalesce("reset_time", F.lit("00:00")), F.col("reset_timezone")))
-    g = d.groupBy("model", "day").agg(F.count("*").alias("requests"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.max("limit").alias("limit"))
-    return g.withColumn("over", F.coalesce(F.col("requests") > F.col("limit"), F.lit(False)))
+    minutes = F.coalesce(F.split("reset_time", ":")[0].cast("int") * 60 + F.split("reset_time", ":")[1].cast("int"), F.lit(0))
+    local = F.from_utc_timestamp(F.col("ts").cast("timestamp"), F.coalesce("reset_timezone", F.lit("UTC")))
+    own = F.timestamp_micros(F.unix_micros(local) - minutes.cast("long") * MINUTE_US)
+    d = calls.join(q, "model", "left").withColumn("own", own).withWatermark("own", late).dropDuplicatesWithinWatermark(["call_id"])
+    g = d.groupBy("model", F.window("own", "1 day")).agg(F.count("*").alias("requests"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.max("limit").alias("limit"))
+    return g.select("model", F.to_date("window.start").alias("day"), "requests", "tokens", "limit", F.coalesce(F.col("requests") > F.col("limit"), F.lit(False)).alias("over"))

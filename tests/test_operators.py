@@ -3,13 +3,14 @@
 import datetime as dt
 import difflib
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from foliant.operators import audit, batching, diff, hocr, profile, quota, reconcile, render, retry, roles
+from foliant.operators import audit, batching, diff, hocr, pixels, profile, quota, reconcile, render, retry, roles
 from foliant.sources import files, remote, tables
 
 PAGE = """<div class="ocr_page" id="p1" title="image 0001.jpg; bbox 0 0 1000 1400; ppageno 1">
@@ -26,6 +27,8 @@ def test_nested_and_open_pages():
     two = '<div class="x ocr_page"><div>a</div></div> <div class=\'ocr_page\'>b</div><div class="other">c</div>'
     assert hocr.page_blocks(two) == (['<div class="x ocr_page"><div>a</div></div>', "<div class='ocr_page'>b</div>"], True)
     assert hocr.page_blocks('<div class="ocr_page"><div>') == ([], False)
+    nested = '<div class="ocr_page">a<div class="ocr_page">b</div></div><div class="ocr_page">c'
+    assert hocr.page_elements(nested) == ['<div class="ocr_page">a<div class="ocr_page">b</div></div>', '<div class="ocr_page">b</div>', '<div class="ocr_page">c']
 
 
 def test_structure_statuses(spark):
@@ -186,6 +189,26 @@ def test_column_profiles(spark):
     assert got == [([0.0, 20.0, 255.0], [0, 2, 2]), (None, None), (None, None)]
 
 
+def test_pixels(spark):
+    flat = np.full((40, 50), 90, np.uint8)
+    assert (pixels.smoothed(flat) == flat).all() and (pixels.sharpened(flat) == flat).all()
+    colour = np.dstack([np.full((4, 4), v, np.uint8) for v in (10, 20, 30)])
+    assert (pixels.grey(colour) == round(0.114 * 10 + 0.587 * 20 + 0.299 * 30)).all()
+    edge = np.where(np.arange(64)[None, :] < 32, 80, 160).astype(np.uint8).repeat(64, 0)
+    sharp = pixels.sharpened(edge)
+    assert sharp[5, 31] < 80 and sharp[5, 32] > 160 and sharp[5, 10] == 80  # across the edge the difference grows
+    assert abs(int(pixels.smoothed(edge)[5, 31]) - 80) < 15  # and smoothing keeps it
+    wide = pixels.equalised(np.tile(np.linspace(100, 140, 64).astype(np.uint8), (64, 1)), tiles=1, clip=40.0)
+    assert wide.min() < 20 and wide.max() > 235
+    assert pixels.enhanced(colour).shape == (4, 4) and pixels.enhanced(colour).dtype == np.uint8
+    left, right = pixels.halves_of(edge, 32)
+    assert left.shape == (64, 42) and right.shape == (64, 42)
+    rows = spark.createDataFrame([(1, bytearray([0, 10, 20, 30]), 2), (2, None, 2), (3, bytearray(), 2)], "k int, p binary, w int")
+    assert {r.k: r.m for r in rows.select("k", pixels.pixel_means("p", "w").alias("m")).collect()} == {1: [10.0, 20.0], 2: None, 3: None}
+    done = remote.converted(spark.createDataFrame([(1, bytearray(edge.tobytes()))], "k int, c binary"), ["k"], "c", lambda: pixels.enhancer(lambda b: np.frombuffer(b, np.uint8).reshape(64, 64), lambda i: i.tobytes()))
+    assert done.collect()[0].content == pixels.enhanced(edge).tobytes()
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "b1").mkdir()
     (tmp_path / "b1" / "a.JPG").write_bytes(b"x")
@@ -196,7 +219,8 @@ def test_files(spark, tmp_path):
     assert {(r.dir, r.name, r.ext, r.size) for r in found.filter("dir = 'b1'").collect()} == {("b1", "a.JPG", "jpg", 1), ("b1", "a.hocr", "hocr", 5)}
     assert [tuple(r) for r in files.single_pairs(found).collect()] == [("b1", "a.JPG", "a.hocr")]
     assert [r.name for r in files.images(spark, str(tmp_path), recursive=True).collect()] == ["a.JPG"]
-    assert files.subfolders(str(tmp_path)) == ["b1", "empty"]
+    assert files.subfolders(spark, str(tmp_path)) == ["b1", "empty"]
+    assert files.existing(spark, [str(tmp_path / "q.json"), str(tmp_path / "no"), str(tmp_path / "b1")]) == [str(tmp_path / "q.json")]
     assert [tuple(r) for r in files.quota_config(spark, str(tmp_path / "q.json")).collect()] == [("m", "requests_per_day", 3, "00:00", None)]
     assert files.quota_config(spark, str(tmp_path / "none.json")).count() == 0
     lines = files.text_lines(files.texts(spark, str(tmp_path), "*.hocr"), [], "text")
