@@ -21,7 +21,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -269,6 +270,11 @@ def readings_udf(words: list[str], vectors: Vectors, limit: int = 3):
     return run
 
 
+def listed(spark: SparkSession, words: list[str], name: str = "w") -> DataFrame:
+    """Words of a checked number as a table in the plan itself: reading it takes no tasks."""
+    return spark.createDataFrame(pa.table({name: pa.array(words, pa.string())}))
+
+
 def lexicon_words(lexicon: DataFrame) -> list[str]:
     rows = lexicon.select("word").filter(F.length("word") > 0).distinct().limit(LEXICON_BOUND + 1).collect()
     if len(rows) > LEXICON_BOUND:
@@ -307,7 +313,7 @@ def token_counts(laid: DataFrame) -> DataFrame:
 def pair_counts(laid: DataFrame, tokens: DataFrame, words: list[str]) -> tuple[dict[str, int], dict[str, int], np.ndarray]:
     """Counts of known words, their slots, and counts of neighbouring words within ``WINDOW`` over all lines of the text, by slots."""
     spark = laid.sparkSession
-    known = spark.createDataFrame([(w,) for w in words], "w string")
+    known = listed(spark, words)
     plain = lambda c: F.replace(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), F.lit("ς"), F.lit("σ"))
     counted = tokens.groupBy(F.rtrim(plain("t"), F.lit(".,;:")).alias("w")).agg(F.sum("n_body").alias("n")).filter("n > 0").join(F.broadcast(known), "w").collect()  # no more rows than the checked lexicon
     count = {r.w: r.n for r in sorted(counted, key=lambda r: (-r.n, r.w))}
@@ -317,7 +323,8 @@ def pair_counts(laid: DataFrame, tokens: DataFrame, words: list[str]) -> tuple[d
     seq = laid.filter(F.col("kind") == "body").select(F.split(plain("text"), " ").alias("s"))
     ahead = [F.arrays_zip(F.col("s").alias("a"), F.slice("s", k + 1, F.size("s")).alias("b")) for k in range(1, WINDOW + 1)]
     pairs = seq.filter(F.size("s") > 1).select(F.explode(F.concat(*ahead)).alias("p")).filter(F.col("p.b").isNotNull()).select(F.xxhash64("p.a").alias("a"), F.xxhash64("p.b").alias("b"))
-    at = spark.createDataFrame([(w + sign, k) for w, k in slots.items() for sign in ("", ".", ",", ";", ":")], "v string, k int").select(F.xxhash64("v").alias("v"), "k")
+    forms = [(w + sign, k) for w, k in slots.items() for sign in ("", ".", ",", ";", ":")]
+    at = spark.createDataFrame(pa.table({"v": pa.array([f for f, _ in forms], pa.string()), "k": pa.array([k for _, k in forms], pa.int32())})).select(F.xxhash64("v").alias("v"), "k")
     by_word = pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
     by_slot = by_word.join(F.broadcast(at.select(F.col("v").alias("a"), F.col("k").alias("i"))), "a").join(F.broadcast(at.select(F.col("v").alias("b"), F.col("k").alias("j"))), "b").groupBy("i", "j").agg(F.sum("n").alias("n"))
     n = np.zeros((size, size), np.float32)
@@ -422,7 +429,7 @@ def choose_udf(vectors: Vectors):
 
 
 def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: DataFrame, vectors: Vectors) -> DataFrame:
-    """(line_id, next_id, t1, t2, marked) of lines whose last word goes on in the next line of the text, or of its foot notes.
+    """(line_id, hocr_id, page_idx, next_id, t1, t2, marked) of lines whose last word goes on in the next line of the text, or of its foot notes.
 
     With a sign: every word but a compound parted at its own hyphen and a suspended compound. Without: if
     the two parts together are a known word or a frequent name, or a misread known word, and not both parts
@@ -430,7 +437,7 @@ def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: Da
     """
     flow = laid.filter(F.col("kind").isin("body", "foot") & F.col("line_idx").isNotNull() & F.col("hocr_id").isNotNull() & F.col("page_idx").isNotNull() & ~F.col("text").rlike(ASIDE))
     body = next_on_page(with_toks(flow).select("line_id", "hocr_id", "page_idx", "volume_id", "line_idx", "kind", F.get("toks", F.lit(0)).alias("tok"), F.try_element_at("toks", F.lit(-1)).alias("t1")))
-    d = body.filter(F.col("t1").isNotNull()).select("line_id", F.col("nxt.line_id").alias("next_id"), "t1", F.col("nxt.tok").alias("t2"))
+    d = body.filter(F.col("t1").isNotNull()).select("line_id", "hocr_id", "page_idx", F.col("nxt.line_id").alias("next_id"), "t1", F.col("nxt.tok").alias("t2"))
     d = d.filter(F.col("t1").rlike(r"[\p{L}\p{M}]" + SIGNS + r"?$")).withColumn("marked", F.col("t1").rlike(SIGNS + "$"))
     capital = F.col("t2").rlike(r"^[^\p{L}]*\p{Lu}") & ~F.col("t1").rlike(r"\p{Lu}\p{Lu}")
     d = d.filter(F.col("marked") | (~F.coalesce(capital, F.lit(False)) & F.col("t2").rlike(r"^[\p{L}\p{M}]")))
@@ -457,7 +464,7 @@ def broken_lines(laid: DataFrame, known: DataFrame, words: list[str], tokens: Da
     # one edit at most: two parts that two edits make a word are too often two words
     read = tries.select("joined").distinct().withColumn("r", readings_udf(words, vectors, 1)("joined")).filter(F.col("r").isNotNull()).select("joined")
     misread = tries.join(read, "joined")
-    names_out = ["line_id", "next_id", "t1", "t2", "marked"]
+    names_out = ["line_id", "hocr_id", "page_idx", "next_id", "t1", "t2", "marked"]
     return sure.select(names_out).unionByName(misread.select(names_out)).dropDuplicates(["line_id"])
 
 
@@ -492,7 +499,7 @@ class Pages:
 
     def __init__(self, lines: DataFrame, lexicon: DataFrame):
         self.words = lexicon_words(lexicon)
-        self.known = lines.sparkSession.createDataFrame([(w,) for w in self.words], "w string")
+        self.known = listed(lines.sparkSession, self.words)
         self.laid = laid_out(lines)
         tokens = token_counts(self.laid)
         count, slots, pairs = pair_counts(self.laid, tokens, self.words)
@@ -535,17 +542,22 @@ class Pages:
         opens = (F.col("paragraph") == 0) & F.col("before").isNotNull()
         home = F.when(opens, F.col("before")).otherwise(F.struct(F.col("hocr_id").alias("h"), F.col("page_idx").alias("p"), F.col("paragraph").cast("long").alias("k")))
         d = with_toks(d.withColumn("home", home))
+        # what belongs to a page's lines comes to them by page, as they lie: its broken lines, and its corrections by the word's
+        # place in its line; where the line's words are not those of the table, by the word, if it has one reading there
+        at_page = self.broken.groupBy("hocr_id", "page_idx").agg(F.collect_set("line_id").alias("broken"))
         if corrections is not None:
-            # by the word's place in its line; where the line's words are not those of the table, by the word, if it has one reading there
+            each = corrections.filter("word_idx IS NOT NULL").select("hocr_id", "page_idx", "line_idx", F.col("word_idx").cast("int").alias("at"), "word", "reading").dropDuplicates(["hocr_id", "page_idx", "line_idx", "at", "word"])
             by_word = corrections.groupBy("hocr_id", "page_idx", "line_idx", "word").agg(F.max("reading").alias("reading"), F.min("reading").alias("_other")).filter("reading = _other").select("hocr_id", "page_idx", "line_idx", F.lit(-1).alias("at"), "word", "reading")
-            each = corrections.filter("word_idx IS NOT NULL").select("hocr_id", "page_idx", "line_idx", F.col("word_idx").alias("at"), "word", "reading").dropDuplicates(["hocr_id", "page_idx", "line_idx", "at", "word"])
-            by_line = each.unionByName(by_word).groupBy("hocr_id", "page_idx", "line_idx").agg(F.map_from_entries(F.collect_list(F.struct(F.struct(F.col("at").cast("int").alias("at"), F.col("word").alias("word")), "reading"))).alias("fixes"))
-            key = lambda at, t: F.struct(at.cast("int").alias("at"), t.alias("word"))
+            fixes = each.unionByName(by_word).groupBy("hocr_id", "page_idx").agg(F.map_from_entries(F.collect_list(F.struct(F.struct(F.col("line_idx").cast("int").alias("line"), "at", "word"), "reading"))).alias("fixes"))
+            at_page = at_page.join(fixes, ["hocr_id", "page_idx"], "full")
+            key = lambda at, t: F.struct(F.col("line_idx").cast("int").alias("line"), at.alias("at"), t.alias("word"))
             fixed = F.transform("toks", lambda t, i: _set_right(t, F.coalesce(F.try_element_at("fixes", key(i, t)), F.try_element_at("fixes", key(F.lit(-1), t)))))
-            d = d.join(by_line, ["hocr_id", "page_idx", "line_idx"], "left").withColumn("toks", F.when(F.col("fixes").isNotNull(), fixed).otherwise(F.col("toks"))).drop("fixes")
-        ends = self.broken.select("line_id", F.lit(True).alias("ends_broken"))
+            d = d.join(at_page, ["hocr_id", "page_idx"], "left").withColumn("toks", F.when(F.col("fixes").isNotNull(), fixed).otherwise(F.col("toks"))).drop("fixes")
+        else:
+            d = d.join(at_page, ["hocr_id", "page_idx"], "left")
         said = F.array_join("toks", " ")
-        d = d.join(ends, "line_id", "left").withColumn("said", F.when(F.col("ends_broken"), F.regexp_replace(said, SIGNS + "$", "")).otherwise(F.concat(said, F.lit(" "))))
+        ends_broken = F.coalesce(F.array_contains("broken", F.col("line_id")), F.lit(False))
+        d = d.withColumn("said", F.when(ends_broken, F.regexp_replace(said, SIGNS + "$", "")).otherwise(F.concat(said, F.lit(" "))))
         parts = F.array_sort(F.collect_list(F.struct("hocr_id", "page_idx", "line_idx", "line_id", "said")))
         g = d.groupBy("home").agg(F.trim(F.array_join(F.transform(parts, lambda x: x["said"]), "")).alias("text"))
         lost = text_lines.filter(~placed).select("hocr_id", "page_idx", F.lit(None).cast("long").alias("paragraph"), "text")
@@ -573,7 +585,7 @@ class Pages:
 
     def misread(self, ocr_words: DataFrame, word_csv: DataFrame | None) -> DataFrame:
         """(kind, row_id, hocr_id, page_idx, line_idx, word_idx, word, reading) of misread words of both tables, or the first, corrected in context."""
-        plain = self.known.sparkSession.createDataFrame([(w,) for w in as_printed(self.words)], "word string")
+        plain = listed(self.known.sparkSession, as_printed(self.words), "word")
         rows_a = kept(unknown_rows(ocr_words, self.known, plain, ["word_id", "hocr_id", "page_idx", "line_idx", "word_idx"], "ocrx_word"))
         rows_b = kept(unknown_rows(word_csv, self.known, plain, ["csv_id", "filename", "left_x", "upper_y"], "word")) if word_csv is not None else None
         forms = rows_a.select("word", "w")
@@ -637,4 +649,4 @@ def continuous_text(lines: DataFrame, ocr_words: DataFrame, lexicon: DataFrame)
     """(hocr_id, page_idx, paragraph, text): all volumes as repaired paragraphs."""
     pages = Pages(lines, lexicon)
     fixes = pages.misread(ocr_words, None).filter("hocr_id IS NOT NULL").select("hocr_id", "page_idx", "line_idx", "word_idx", "word", "reading")
-    return pages.paragraphs(fixes)
+    return pages.paragraphs(kept(fixes))  # used by word and by place
