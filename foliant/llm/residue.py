@@ -98,7 +98,7 @@ FIELD = re.compile(
 )
 # Forms that are a field or a link or emphasis; the classifier tells by the word.
 MAYBE_FIELD = re.compile(r"(?<!\w)__[a-z]+__(?!\w)|\[\[\s*[a-z]+\s*\]\]")
-#: A sign or word that every field has; Java syntax is the same.
+#: A sign or word that every field has.
 SIGNS = r"[{}$%@<>‹«\[]|__|XX|YYYY|JJJJ|&lt;"
 HAS_SIGNS = re.compile(SIGNS)
 MATH = re.compile(r"\$\$.*?\$\$|\\\[.*?\\\]|\\\(.*?\\\)|(?<!\\)\$(?=\S)(?![A-Za-z._]+\$)[^$\n]*?[^$\s\\]\$|\\(?:new|renew)command\{[^\n]*", re.S)
@@ -287,7 +287,11 @@ def labelled(text: str) -> Iterator[tuple[str, str, str, bool, int]]:
 
 
 def stratum(text: Column) -> Column:
-    return F.when(text.rlike(SIGNS), "signs").when(F.char_length(text) <= SHORT, "short").otherwise("other")
+    """``signs``: texts with what every field has (as ``SIGNS``); else ``short`` or ``other``."""
+    signs = text.rlike(r"[{}$%@<>‹«\[]")
+    for word in ("__", "XX", "YYYY", "JJJJ", "&lt;"):
+        signs = signs | text.contains(word)
+    return F.when(signs, "signs").when(F.char_length(text) <= SHORT, "short").otherwise("other")
 
 
 def labelled_sample(documents: DataFrame, text: str = "text", host: str = "volume_id") -> pd.DataFrame:
