@@ -226,6 +226,16 @@ def test_misread_words(spark):
     assert got == {("misread_word", "tbe", "the"), ("misread_word", "brittlc", "brittle"), ("misread_word", "hcld", "held"), ("misread_word", "1n", "in"), ("misread_word", "lcaf", "leaf"), ("misread_csv", "lcaf", "leaf"), ("misread_csv", "1eaf", "leaf")}
 
 
+def test_noise_of_empty_and_odd_tables(spark, sf):
+    from foliant.sources.tables import table
+
+    t = [table(spark, sf, n) for n in ("ocr_lines", "ocr_words", "word_csv", "lexicon")]
+    assert scan.noise(*(d.limit(0) for d in t)).count() == 0
+    clash = [d.withColumn("kind", F.lit("k")).withColumn("w", F.lit("q")).withColumn("text", F.lit("z")).withColumn("rank", F.lit(1)) for d in t]
+    nulls = [d.unionByName(d.limit(2).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in d.schema.fields))) for d in clash]
+    assert scan.noise(*nulls).exceptAll(scan.noise(*t)).count() == 0
+
+
 def test_reflowed_paragraphs(spark):
     rows = [_line(100, 60, "Running title here", h=26), _line(101, 130, "the collec-", x=140), _line(102, 171, "tion is tbe end."), _line(103, 212, "A new one be-", x=140), _line(104, 1600, "[12]", x=550), _line(200, 60, "gins here.", p=1), _line(201, 101, "Next", p=1, x=140)]
     fixed = spark.createDataFrame([(1, 0, 2, 2, "tbe", "the")], "hocr_id long, page_idx int, line_idx int, word_idx int, word string, reading string")
